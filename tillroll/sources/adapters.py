@@ -1,0 +1,230 @@
+"""Entities built from the driver's generated tables.
+
+The generated tables are TPC-H-like (customer, nation, orders, lineitem, part)
+plus an ``events`` stream. The mapping below turns them into the retail
+entities the analytics read. It is test scaffolding: in production the
+entities are catalog tables (``CatalogTables``). The oracle SQL in
+``tillroll.plans.oracle`` repeats the same expressions for DuckDB.
+
+Two clocks: orders run 1995-01-01..2001-08-01, events 2024-01-01..2024-01-30,
+so event times are shifted back by ``EVENT_SHIFT_DAYS`` to land in the last
+month before ``AS_OF``.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Fixed values of the mapping (the oracle SQL uses the same numbers).
+AS_OF = dt.date(2001, 8, 1)             # last order date in the generated data
+EVENT_SHIFT_DAYS = 8218                 # 2024-01-01 - 8218 days = 2001-07-02
+HISTORY_BEFORE = dt.date(1998, 1, 1)    # older orders form the history table
+CAMPAIGN_CHUNK = 4096                   # max interactions per campaign row
+PRODUCT_FAMILIES = 20                   # product_id = l_partkey % 20 variant
+
+
+def _k() -> Column:
+    return F.col("c_custkey")
+
+
+def _str(c: Column) -> Column:
+    return c.cast("string")
+
+
+def shifted_ts(col: str = "ts") -> Column:
+    return F.col(col) - F.expr(f"INTERVAL {EVENT_SHIFT_DAYS} DAYS")
+
+
+class TestdataTables:
+    """Reads ``{sf_dir}/{name}.parquet`` and exposes the retail entities.
+
+    ``product_families=True`` folds product ids to ``l_partkey % 20`` (with the
+    first 20 parts as the product table) so that (customer, product, month)
+    triples recur across years.
+    """
+
+    __test__ = False  # not a pytest class
+
+    def __init__(self, spark: SparkSession, sf_dir: str, product_families: bool = False):
+        self.spark = spark
+        self.sf_dir = sf_dir.rstrip("/")
+        self.product_families = product_families
+
+    def raw(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+
+    def table(self, name: str) -> DataFrame:
+        builders = {
+            "customers": self.customers,
+            "orders": self.orders,
+            "products": self.products,
+            "order_items": self.order_items,
+            "sales_orders": self.sales_orders,
+            "historical_customer_sales": self.historical_customer_sales,
+            "loginhistory": self.loginhistory,
+            "enterprisecampaigns": self.enterprisecampaigns,
+            "customersupport": self.customersupport,
+            "usage_history": self.usage_history,
+        }
+        return builders[name]()
+
+    # -- customers -----------------------------------------------------------
+    def customers(self) -> DataFrame:
+        """customer ⋈ nation with messy contact fields derived from the key.
+
+        e-mail classes by ``c_custkey % 10``: 0 has no "@", 1 has no dot after
+        the "@" (passes only the as-run pattern), 2 is upper case with blanks,
+        the rest are plain. Every third first name is padded, every 50th
+        (``% 50 = 7``) last name is NULL.
+        """
+        k = _k()
+        part1 = F.split_part(F.col("c_name"), F.lit("#"), F.lit(1))
+        part2 = F.split_part(F.col("c_name"), F.lit("#"), F.lit(2))
+        email = (
+            F.when(k % 10 == 0, F.concat(F.lit("user"), _str(k), F.lit(".example.com")))
+            .when(k % 10 == 1, F.concat(F.lit("user"), _str(k), F.lit("@examplecom")))
+            .when(k % 10 == 2, F.concat(F.lit("  USER"), _str(k), F.lit("@Example.COM ")))
+            .otherwise(F.concat(F.lit("user"), _str(k), F.lit("@example.com")))
+        )
+        phone = F.concat(
+            F.lit("("), F.lpad(_str(k % 1000), 3, "0"), F.lit(") 555-"),
+            F.lpad(_str(k % 10000), 4, "0"),
+        )
+        # nation has 25 rows by definition of the generator: a fixed bound.
+        nation = F.broadcast(self.raw("nation").select("n_nationkey", "n_name"))
+        return (
+            self.raw("customer")
+            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+            .select(
+                k.alias("customer_id"),
+                F.when(k % 3 == 0, F.concat(F.lit("  "), part1, F.lit(" "))).otherwise(part1).alias("first_name"),
+                F.when(k % 50 == 7, F.lit(None).cast("string")).otherwise(part2).alias("last_name"),
+                email.alias("email"),
+                phone.alias("phone"),
+                F.concat(F.lit(" "), _str(k), F.lit(" Market Street  ")).alias("address"),
+                F.concat(F.lit("City"), _str(F.col("c_nationkey"))).alias("city"),
+                F.col("c_mktsegment").alias("state"),
+                (F.lit(10000) + k % 90000).cast("int").alias("zip_code"),
+                F.col("n_name").alias("country"),
+            )
+        )
+
+    # -- orders and lines ----------------------------------------------------
+    def orders(self) -> DataFrame:
+        return self.raw("orders").select(
+            F.col("o_orderkey").alias("order_id"),
+            F.col("o_custkey").alias("customer_id"),
+            F.col("o_orderdate").cast("date").alias("order_date"),
+            F.col("o_orderstatus").alias("status"),
+            F.col("o_totalprice").cast("decimal(10,2)").alias("total_amount"),
+        )
+
+    def products(self) -> DataFrame:
+        part = self.raw("part")
+        if self.product_families:
+            part = part.filter(F.col("p_partkey") < PRODUCT_FAMILIES)
+        return part.select(
+            F.col("p_partkey").alias("product_id"),
+            F.col("p_name").alias("name"),
+            F.col("p_type").alias("category"),
+        )
+
+    def order_items(self) -> DataFrame:
+        """lineitem ⋈ part: unit price is the part's retail price."""
+        product = F.col("l_partkey")
+        if self.product_families:
+            product = product % PRODUCT_FAMILIES
+        part = self.raw("part").select("p_partkey", "p_retailprice")
+        return (
+            self.raw("lineitem")
+            .select("l_orderkey", "l_partkey", "l_quantity")
+            .join(part, F.col("l_partkey") == F.col("p_partkey"))
+            .select(
+                F.col("l_orderkey").alias("order_id"),
+                product.alias("product_id"),
+                F.col("l_quantity").cast("int").alias("quantity"),
+                F.col("p_retailprice").cast("decimal(10,2)").alias("unit_price"),
+            )
+        )
+
+    def sales_orders(self) -> DataFrame:
+        """Orders of the current period (the sales job's ``orders``)."""
+        return self.orders().filter(F.col("order_date") >= F.lit(HISTORY_BEFORE))
+
+    def historical_customer_sales(self) -> DataFrame:
+        """Lines of orders before ``HISTORY_BEFORE``, stored as a flat table."""
+        old = self.orders().filter(F.col("order_date") < F.lit(HISTORY_BEFORE))
+        return (
+            old.select("order_id", "customer_id", "order_date")
+            .join(self.order_items(), "order_id")
+            .select(
+                "order_id", "customer_id", "order_date", "product_id", "quantity", "unit_price",
+                (F.col("quantity") * F.col("unit_price")).alias("sales_amount"),
+                F.year("order_date").alias("order_year"),
+                F.month("order_date").alias("order_month"),
+            )
+        )
+
+    # -- event-derived entities ---------------------------------------------
+    def loginhistory(self) -> DataFrame:
+        return self.raw("events").select(
+            F.col("user_id").alias("customer_id"),
+            F.date_sub(F.col("ts").cast("date"), EVENT_SHIFT_DAYS).alias("login_date"),
+            F.concat(F.lit("10.0.0."), F.get_json_object("props", "$.k")).alias("ip_address"),
+        )
+
+    def enterprisecampaigns(self) -> DataFrame:
+        """Click and view events of users with ``user_id % 4 <> 0``, nested.
+
+        One row per (user, day, block of ``CAMPAIGN_CHUNK`` event ids): the
+        array of interactions is bounded by the block size whatever the skew.
+        """
+        ev = (
+            self.raw("events")
+            .filter(F.col("event_type").isin("click", "view") & (F.col("user_id") % 4 != 0))
+            .select(
+                "user_id", "event_id", "event_type",
+                shifted_ts().alias("sts"),
+            )
+            .withColumn("day", F.col("sts").cast("date"))
+            .withColumn("chunk", F.expr(f"event_id div {CAMPAIGN_CHUNK}"))
+        )
+        interaction = F.struct(
+            _str(F.col("event_id")).alias("InteractionID"),
+            F.col("sts").alias("Timestamp"),
+            F.when(F.col("event_id") % 3 == 0, "Email")
+            .when(F.col("event_id") % 3 == 1, "Web")
+            .otherwise("App").alias("Channel"),
+            F.when(F.col("event_type") == "click", "Clicked").otherwise("Opened").alias("Action"),
+        )
+        grouped = ev.groupBy("user_id", "day", "chunk").agg(
+            F.count_if(F.col("event_type") == "view").alias("Opens"),
+            F.count_if(F.col("event_type") == "click").alias("Clicks"),
+            F.collect_list(interaction).alias("Interactions"),
+        )
+        return grouped.select(
+            F.col("user_id").alias("CustomerID"),
+            F.concat(F.lit("CMP-"), _str(F.col("day")), F.lit("-"), _str(F.col("chunk"))).alias("CampaignID"),
+            F.struct("Opens", "Clicks").alias("Engagement"),
+            "Interactions",
+        )
+
+    def customersupport(self) -> DataFrame:
+        return (
+            self.raw("events")
+            .filter(F.col("event_type") == "error")
+            .select(
+                F.col("user_id").alias("CustomerID"),
+                F.col("event_id").alias("TicketID"),
+                shifted_ts().alias("Timestamp"),
+                F.struct(
+                    F.when(F.col("event_id") % 2 == 0, "Open").otherwise("Resolved").alias("Status")
+                ).alias("Issue"),
+            )
+        )
+
+    def usage_history(self) -> DataFrame:
+        return self.raw("events").filter(F.col("event_type") == "purchase")
