@@ -86,10 +86,21 @@ def _sum_type(df: DataFrame, col: str) -> T.DataType:
     return dtype
 
 
+def _month_start() -> Column:
+    # Grouping by the first day of the month is the same partition of rows as
+    # grouping by 'yyyy-MM', but avoids formatting a string on every line;
+    # the label is formatted once per group afterwards.
+    return F.trunc("order_date", "MM").alias("_month")
+
+
+def _year_month() -> Column:
+    return F.date_format("_month", "yyyy-MM").alias("year_month")
+
+
 def peak_sales_months(fact: DataFrame, ordered: bool = True) -> DataFrame:
     """Output: year_month ('yyyy-MM'), monthly_product_sales; largest first."""
-    out = fact.groupBy(F.date_format("order_date", "yyyy-MM").alias("year_month")).agg(
-        F.sum("sales_amount").alias("monthly_product_sales")
+    out = fact.groupBy(_month_start()).agg(F.sum("sales_amount").alias("monthly_product_sales")).select(
+        _year_month(), "monthly_product_sales"
     )
     return out.orderBy(F.desc("monthly_product_sales")) if ordered else out
 
@@ -127,17 +138,15 @@ def top_customer_products(fact: DataFrame, products: DataFrame, k: int = 5, orde
     sales descending. Lines are aggregated per (customer, month, product)
     before the product join, which then carries one row per group.
     """
-    pre = _top_lines(fact, k).groupBy(
-        "customer_id", F.date_format("order_date", "yyyy-MM").alias("year_month"), "product_id"
-    ).agg(
+    pre = _top_lines(fact, k).groupBy("customer_id", _month_start(), "product_id").agg(
         F.count("product_id").alias("product_count"),
         F.sum("sales_amount").alias("monthly_sales"),
     )
     agg = _attach_products(
-        pre, products, ["customer_id", "year_month", "product_id"],
+        pre, products, ["customer_id", "_month", "product_id"],
         {"product_count": "bigint", "monthly_sales": _sum_type(fact, "sales_amount")},
     )
-    out = agg.select("customer_id", "year_month", "product_count", "product_name", "category", "monthly_sales")
+    out = agg.select("customer_id", _year_month(), "product_count", "product_name", "category", "monthly_sales")
     return out.orderBy("customer_id", F.desc("monthly_sales")) if ordered else out
 
 
