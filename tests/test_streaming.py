@@ -1,0 +1,24 @@
+from pyspark.sql import functions as F
+
+from tillroll.sources import TestdataTables
+from tillroll.streaming import publish_incrementally
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_incremental_publish_copies_each_file_once(spark, tmp_path):
+    events = TestdataTables(spark, SF).usage_history()
+    src, dst, ckpt = str(tmp_path / "bronze"), str(tmp_path / "silver"), str(tmp_path / "ckpt")
+    first = events.filter(F.col("event_id") % 2 == 0)
+    second = events.filter(F.col("event_id") % 2 == 1)
+    first.write.mode("append").parquet(src)
+    n1 = publish_incrementally(spark, src, dst, events.schema, "usage", checkpoint_path=ckpt)
+    assert n1 == first.count()
+    n0 = publish_incrementally(spark, src, dst, events.schema, "usage", checkpoint_path=ckpt)
+    assert n0 == 0                                   # nothing new: nothing copied
+    second.write.mode("append").parquet(src)
+    n2 = publish_incrementally(spark, src, dst, events.schema, "usage", checkpoint_path=ckpt)
+    assert n2 == second.count()
+    out = spark.read.parquet(dst)
+    assert out.count() == events.count()
+    assert out.select("event_id").distinct().count() == events.count()

@@ -1,0 +1,13 @@
+"""Incremental publishing with Structured Streaming.
+
+The reference is batch only: it has no stream source, watermark or stateful
+operator. The one part of it that maps onto a stream without changing its
+meaning is the pass-through publish of bronze tables to silver, which is a
+plain copy: ``publish_incrementally`` runs it as a file stream so that only
+files that arrived since the last run are copied, exactly once (the
+checkpoint records what was done). The analytics themselves stay batch jobs.
+"""
+
+from tillroll.streaming.incremental import publish_incrementally
+
+__all__ = ["publish_incrementally"]
