@@ -26,6 +26,22 @@ CAMPAIGN_CHUNK = 4096                   # max interactions per campaign row
 PRODUCT_FAMILIES = 20                   # product_id = l_partkey % 20 variant
 
 
+# Declared schemas of the generated tables the mapping reads (no inference).
+RAW_SCHEMAS: dict[str, str] = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": ("p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+             "p_retailprice double"),
+    "orders": ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+               "o_orderdate timestamp_ntz, o_orderpriority string"),
+    "lineitem": ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                 "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                 "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"),
+    "events": ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+               "props string"),
+}
+
+
 def _k() -> Column:
     return F.col("c_custkey")
 
@@ -52,9 +68,17 @@ class TestdataTables:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.product_families = product_families
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """The raw table; the DataFrame (a plan, not data) is built once per
+        instance, so file listing and footer reads are not repeated."""
+        if name not in self._raw:
+            reader = self.spark.read
+            if name in RAW_SCHEMAS:
+                reader = reader.schema(RAW_SCHEMAS[name])
+            self._raw[name] = reader.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._raw[name]
 
     def table(self, name: str) -> DataFrame:
         builders = {
