@@ -25,6 +25,20 @@ class CatalogTables:
         return self.spark.read.table(f"{self.database}.{name}")
 
 
+class SessionTables:
+    """Temp views or tables already known to the session, by name
+    (``spark.table``); names resolve case-insensitively, so the views the
+    reference registers (``orders``, ``LoginHistory``, ...) can be used as
+    they are. ``aliases`` maps entity names to view names."""
+
+    def __init__(self, spark: SparkSession, aliases: dict[str, str] | None = None):
+        self.spark = spark
+        self.aliases = aliases or {}
+
+    def table(self, name: str) -> DataFrame:
+        return self.spark.table(self.aliases.get(name, name))
+
+
 class ParquetTables:
     """One parquet folder (or file) per entity under ``root``."""
 
