@@ -29,11 +29,15 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
+    conf = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
+    if os.environ.get("BENCH_EVENT_LOG_DIR"):  # stage/task times for later reading
+        conf["spark.eventLog.enabled"] = "true"
+        conf["spark.eventLog.dir"] = os.environ["BENCH_EVENT_LOG_DIR"]
     spark = build_session(
         f"local[{cpus}]",
         app_name="tillroll-bench",
         shuffle_partitions=int(cpus) * 2,
-        conf={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")},
+        conf=conf,
     )
     qs = {k: v for k, v in queries().items() if not only or k in only}
     for fn in qs.values():  # warm-up: JIT, file listing, codegen caches
