@@ -25,7 +25,7 @@ from tillroll import operators as op
 from tillroll.session import scratch_path
 from tillroll.sources.files import read_csv_with_header
 from tillroll.sources.sinks import append_audit, publish_table, write_output
-from tillroll.sources.tables import Tables
+from tillroll.sources.tables import CatalogTables, Tables
 
 # Tables the cleaning stage copies from bronze to silver unchanged.
 PASSTHROUGH_TABLES = [
@@ -225,3 +225,32 @@ def run_csv_to_parquet(
 def write_all(outputs: Mapping[str, DataFrame], root: str) -> dict[str, int]:
     """Write several results under ``root/<name>``."""
     return {name: write_output(df, f"{root.rstrip('/')}/{name}") for name, df in outputs.items()}
+
+
+def run_pipeline(
+    spark: SparkSession,
+    bronze: Tables,
+    root: str,
+    database: str,
+    as_of: dt.date,
+    country_like: str = "United %",
+) -> dict[str, JobResult]:
+    """Bronze -> silver -> gold in dependency order.
+
+    The cleaning stage publishes the nine silver tables; every analytic job
+    then reads the published silver tables from the catalog (files written
+    once, so a failure later in the run does not recompute the cleaning).
+    Gold outputs go to ``root/gold/<job>``. A failing job stops the run.
+    """
+    root = root.rstrip("/")
+    results = {"pre_processing": run_cleaning(spark, bronze, f"{root}/silver", database, as_of)}
+    silver = CatalogTables(spark, database)
+    gold = f"{root}/gold"
+    results["churn_prediction"] = run_churn(spark, silver, f"{gold}/churn_prediction", as_of)
+    results["fraud_detection"] = run_fraud(spark, silver, f"{gold}/fraud_detection", as_of)
+    results["purchase_behavior"] = run_top_customers(
+        spark, silver, f"{gold}/purchase_behavior", as_of, country_like, audit_base=gold
+    )
+    results["omni_channel_engagement"] = run_omni(spark, silver, f"{gold}/omni_channel_engagement", as_of)
+    results["pricing_trends"] = run_sales_trends(spark, silver, f"{gold}/pricing_trends")
+    return results
