@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -44,5 +46,6 @@ def pct_change(curr: Column | str, prev: Column | str, scale: int = 2) -> Column
 
 
 def safe_pct(part: Column | str, whole: Column | str, scale: int = 2) -> Column:
-    """``round(100.0 * part / nullif(whole, 0), scale)``."""
-    return F.round(F.lit(100.0) * _c(part) / F.nullif(_c(whole), F.lit(0)), scale)
+    """``round(100.0 * part / nullif(whole, 0), scale)`` with ``100.0`` as the
+    SQL decimal literal, so the division is exact decimal arithmetic."""
+    return F.round(F.lit(Decimal("100.0")) * _c(part) / F.nullif(_c(whole), F.lit(0)), scale)

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.functions.columns import pct_change
+from tillroll.functions.columns import pct_change, safe_pct
 from tillroll.operators.generic import previous_value, top_k
 
 FACT_COLUMNS = [
@@ -197,11 +195,7 @@ def retention_rate(fact: DataFrame, ordered: bool = True) -> DataFrame:
             "current_year",
             "total_customers_current_year",
             "retained_customers",
-            F.round(
-                F.lit(Decimal("100.0")) * F.col("retained_customers")
-                / F.nullif(F.col("total_customers_current_year"), F.lit(0)),
-                2,
-            ).alias("retention_rate_pct"),
+            safe_pct("retained_customers", "total_customers_current_year").alias("retention_rate_pct"),
         )
     )
     return out.orderBy("current_year") if ordered else out
