@@ -30,6 +30,18 @@ def test_query_matches_oracle(spark, con, name):
     assert digest(sdf.columns, srows)[0] == digest(ocols, orows)[0]
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_query_types_match_oracle(spark, con, name):
+    sdt = dict(queries()[name](spark, SF).dtypes)
+    rel = con.sql(oracle_sql()[name])
+    odt = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in sdt.items()} == odt
+
+
 def test_entry_smoke(spark):
     df = entry(spark)
     assert df.count() > 0
