@@ -91,3 +91,23 @@ def test_pipeline_bronze_to_gold(spark, tmp_path):
     assert peak.count() == 80
     audit = spark.read.parquet(str(tmp_path / "lake" / "gold" / "audit_log")).collect()
     assert [a.job_name for a in audit] == ["purchase_behavior"]
+
+
+def test_bucketed_silver_joins_without_shuffle(spark, tmp_path):
+    from conftest import plan_text
+
+    t = TestdataTables(spark, SF)
+    jobs.run_cleaning(spark, t, str(tmp_path / "silver"), "silver_bkt", AS_OF, audit=False, order_buckets=4)
+    orders = spark.read.table("silver_bkt.orders")
+    items = spark.read.table("silver_bkt.order_items")
+    products = spark.read.table("silver_bkt.products")
+    previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # force a sort-merge join
+    try:
+        text = plan_text(op.sales_fact(orders, items, products))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
+    assert "SortMergeJoin" in text
+    assert "Exchange hashpartitioning(order_id" not in text
+    assert "Bucketed: true" in text
+    assert spark.read.table("silver_bkt.orders").count() == QUERIES["clean_orders"](spark, SF).count()

@@ -42,18 +42,28 @@ def publish_table(
     fmt: str = "parquet",
     mode: str = "overwrite",
     partition_by: Sequence[str] | None = None,
+    bucket_by: tuple[int, Sequence[str]] | None = None,
 ) -> int:
     """Write ``df`` once as an EXTERNAL catalog table stored at ``path``.
 
     ``saveAsTable`` with an explicit ``path`` both writes the files and
     registers the table, so the data is written a single time.
+
+    ``bucket_by=(n, cols)`` stores the table hash-bucketed and sorted by
+    ``cols``. Two tables bucketed the same way on a join key are joined later
+    without shuffling either side. The rows are shuffled once here, into one
+    file per bucket.
     """
     spark = df.sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    if bucket_by:
+        df = df.repartition(bucket_by[0], *bucket_by[1])
     observed, obs = _observed(df, f"publish:{database}.{table}")
     writer = observed.write.format(fmt).mode(mode).option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if bucket_by:
+        writer = writer.bucketBy(bucket_by[0], *bucket_by[1]).sortBy(*bucket_by[1])
     writer.saveAsTable(f"{database}.{table}")
     return int(obs.get["rows"])
 
