@@ -25,16 +25,16 @@ def test_cleaning_stage_publishes_nine_tables(spark, tmp_path):
     assert any(r.col_name == "Type" and r.data_type == "EXTERNAL" for r in ext)
     assert res.rows["customers"] == spark.read.table("silver_test.customers").count()
     assert res.rows["orders"] == QUERIES["clean_orders"](spark, SF).count()
-    audit = spark.read.parquet(str(tmp_path / "silver" / "pre_processing" / "audit_log")).collect()
+    audit = spark.read.parquet(str(tmp_path / "silver" / "cleaning" / "audit_log")).collect()
     assert [(a.job_name, a.status, a.record_count) for a in audit] == [
-        ("pre_processing", "SUCCESS", res.rows["customers"])]
+        ("cleaning", "SUCCESS", res.rows["customers"])]
 
 
 def test_failure_writes_audit_and_reraises(spark, tmp_path):
     broken = MappedTables({})        # no tables at all
     with pytest.raises(KeyError):
         jobs.run_cleaning(spark, broken, str(tmp_path / "s"), "silver_fail", AS_OF)
-    audit = spark.read.parquet(str(tmp_path / "s" / "pre_processing" / "audit_log")).collect()
+    audit = spark.read.parquet(str(tmp_path / "s" / "cleaning" / "audit_log")).collect()
     assert [(a.status, a.record_count) for a in audit] == [("FAILURE", 0)]
 
 
@@ -85,12 +85,12 @@ def test_pipeline_bronze_to_gold(spark, tmp_path):
         | {"orders": t.sales_orders()})
     res = jobs.run_pipeline(spark, bronze, str(tmp_path / "lake"), "silver_pipe", AS_OF, country_like="NATION_1%")
     assert all(r.status == "SUCCESS" for r in res.values())
-    assert set(res["pricing_trends"].rows) >= {"peak_sales_months", "yoy_comparison"}
+    assert set(res["sales_trends"].rows) >= {"peak_sales_months", "yoy_comparison"}
     # gold sales trends read silver orders = the cleaned current orders
-    peak = spark.read.parquet(str(tmp_path / "lake" / "gold" / "pricing_trends" / "peak_sales_months"))
+    peak = spark.read.parquet(str(tmp_path / "lake" / "gold" / "sales_trends" / "peak_sales_months"))
     assert peak.count() == 80
     audit = spark.read.parquet(str(tmp_path / "lake" / "gold" / "audit_log")).collect()
-    assert [a.job_name for a in audit] == ["purchase_behavior"]
+    assert [a.job_name for a in audit] == ["top_customers"]
 
 
 def test_bucketed_silver_joins_without_shuffle(spark, tmp_path):

@@ -90,13 +90,13 @@ def run_cleaning(
     target_root: str,
     database: str,
     as_of: dt.date,
-    job_name: str = "pre_processing",
+    job_name: str = "cleaning",
     strict_email: bool = False,
     audit: bool = True,
     order_buckets: int | None = None,
 ) -> JobResult:
     """Bronze -> silver: clean customers and orders, copy seven tables, publish
-    all nine as external tables under ``target_root/<name>_clean``, audit with
+    all nine as external tables under ``target_root/<name>``, audit with
     the clean customer count.
 
     ``order_buckets=n`` publishes orders and order_items bucketed by
@@ -113,29 +113,28 @@ def run_cleaning(
     def body() -> dict[str, int]:
         rows: dict[str, int] = {}
         customers = op.clean_customers(bronze.table("customers"), strict_email)
-        rows["customers"] = publish_table(customers, f"{root}/customers_clean", database, "customers")
+        rows["customers"] = publish_table(customers, f"{root}/customers", database, "customers")
         # Orders are checked against the published customers: the cleaned
         # set is read back instead of being recomputed.
         published = spark.read.table(f"{database}.customers")
         orders = op.clean_orders(bronze.table("orders"), published, as_of)
-        rows["orders"] = publish_table(orders, f"{root}/orders_clean", database, "orders", bucket_by=by_order)
+        rows["orders"] = publish_table(orders, f"{root}/orders", database, "orders", bucket_by=by_order)
         for name in PASSTHROUGH_TABLES:
-            folder = "product_clean" if name == "products" else f"{name}_clean"
             bucket = by_order if name == "order_items" else None
-            rows[name] = publish_table(bronze.table(name), f"{root}/{folder}", database, name, bucket_by=bucket)
+            rows[name] = publish_table(bronze.table(name), f"{root}/{name}", database, name, bucket_by=bucket)
         return rows
 
     return _run(spark, job_name, f"{root}/{job_name}" if audit else None, body, "customers")
 
 
 def run_churn(spark: SparkSession, tables: Tables, output_path: str, as_of: dt.date) -> JobResult:
-    return _run(spark, "churn_prediction", None, lambda: {
+    return _run(spark, "churn", None, lambda: {
         "churn_risk": write_output(op.churn_risk(tables.table("orders"), as_of), output_path)
     })
 
 
 def run_fraud(spark: SparkSession, tables: Tables, output_path: str, as_of: dt.date) -> JobResult:
-    return _run(spark, "fraud_detection", None, lambda: {
+    return _run(spark, "fraud", None, lambda: {
         "high_risk_customers": write_output(
             op.high_risk_customers(tables.table("orders"), tables.table("loginhistory"), as_of), output_path
         )
@@ -151,7 +150,7 @@ def run_top_customers(
     audit_base: str | None = None,
 ) -> JobResult:
     """Purchase behaviour: top-10 spenders per matching country."""
-    return _run(spark, "purchase_behavior", audit_base, lambda: {
+    return _run(spark, "top_customers", audit_base, lambda: {
         "top_customers": write_output(
             op.top_customers_by_country(
                 tables.table("orders"), tables.table("customers"), as_of, country_like=country_like
@@ -172,7 +171,7 @@ def run_omni(
     engagement = op.flatten_interactions(tables.table("enterprisecampaigns"))
     tickets = op.support_view(tables.table("customersupport"))
     build = op.omni_profile_unified if unified else op.omni_profile_reference
-    return _run(spark, "omni_channel_engagement", None, lambda: {
+    return _run(spark, "omni_channel", None, lambda: {
         "profile": write_output(build(engagement, tables.table("orders"), tickets, as_of), output_path)
     })
 
@@ -212,7 +211,7 @@ def run_sales_trends(
         outputs.pop("customer_segmented").createOrReplaceTempView("customer_segmented")
         return {name: write_output(df, f"{root}/{name}") for name, df in outputs.items()}
 
-    return _run(spark, "pricing_trends", None, body)
+    return _run(spark, "sales_trends", None, body)
 
 
 def run_csv_to_parquet(
@@ -256,16 +255,16 @@ def run_pipeline(
     Gold outputs go to ``root/gold/<job>``. A failing job stops the run.
     """
     root = root.rstrip("/")
-    results = {"pre_processing": run_cleaning(
+    results = {"cleaning": run_cleaning(
         spark, bronze, f"{root}/silver", database, as_of, order_buckets=order_buckets
     )}
     silver = CatalogTables(spark, database)
     gold = f"{root}/gold"
-    results["churn_prediction"] = run_churn(spark, silver, f"{gold}/churn_prediction", as_of)
-    results["fraud_detection"] = run_fraud(spark, silver, f"{gold}/fraud_detection", as_of)
-    results["purchase_behavior"] = run_top_customers(
-        spark, silver, f"{gold}/purchase_behavior", as_of, country_like, audit_base=gold
+    results["churn"] = run_churn(spark, silver, f"{gold}/churn", as_of)
+    results["fraud"] = run_fraud(spark, silver, f"{gold}/fraud", as_of)
+    results["top_customers"] = run_top_customers(
+        spark, silver, f"{gold}/top_customers", as_of, country_like, audit_base=gold
     )
-    results["omni_channel_engagement"] = run_omni(spark, silver, f"{gold}/omni_channel_engagement", as_of)
-    results["pricing_trends"] = run_sales_trends(spark, silver, f"{gold}/pricing_trends")
+    results["omni_channel"] = run_omni(spark, silver, f"{gold}/omni_channel", as_of)
+    results["sales_trends"] = run_sales_trends(spark, silver, f"{gold}/sales_trends")
     return results
