@@ -65,15 +65,24 @@ def align_history(history: DataFrame) -> DataFrame:
     )
 
 
-def sales_fact_all(current: DataFrame, history: DataFrame) -> DataFrame:
-    """Current lines ∪ aligned history, matched by column name."""
+def sales_fact_all(current: DataFrame, history: DataFrame, current_flag: str | None = None) -> DataFrame:
+    """Current lines ∪ aligned history, matched by column name.
+
+    ``current_flag`` adds a boolean column of that name (true for current
+    lines), so one stored table can serve both the full fact and the
+    current-only segments.
+    """
     cur = current.select(
         F.col("order_id").cast("bigint").alias("order_id"),
         F.col("customer_id").cast("bigint").alias("customer_id"),
         F.to_date("order_date").alias("order_date"),
         *[F.col(c) for c in FACT_COLUMNS[3:]],
     )
-    return cur.unionByName(align_history(history))
+    hist = align_history(history)
+    if current_flag:
+        cur = cur.withColumn(current_flag, F.lit(True))
+        hist = hist.withColumn(current_flag, F.lit(False))
+    return cur.unionByName(hist)
 
 
 def _sum_type(df: DataFrame, col: str) -> T.DataType:
