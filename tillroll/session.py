@@ -52,6 +52,31 @@ def build_session(
     return spark
 
 
+MB = 1 << 20
+
+
+def scale_conf(shuffle_bytes: int, total_cores: int, partition_bytes: int = 256 * MB) -> dict[str, str]:
+    """Partition sizing for a cluster run.
+
+    ``shuffle_bytes`` is the largest shuffle of the run (for the sales fact,
+    roughly its compressed width × lines); ``total_cores`` is executors ×
+    cores. The initial shuffle partition count gives ``partition_bytes`` per
+    task and at least two waves of tasks; AQE then coalesces small stages to
+    the same advisory size and splits partitions over four times it. Scans
+    split files to the same size, so a task's input fits in executor memory
+    with room for sort and aggregation buffers (spill, not OOM, beyond).
+    Example: 30 TB of shuffle on 8,000 cores -> 111,759 partitions of 256 MiB.
+    """
+    partitions = max(2 * total_cores, -(-shuffle_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor": "0.2",
+    }
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for materialised intermediates.
 
