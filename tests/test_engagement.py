@@ -85,3 +85,15 @@ def test_profile_unified_one_row_per_customer(spark):
     assert got[5].purchases == 1 and got[5].total_ticket == 1 and got[5].emails_opened == 0
     assert got[1].total_spent == Decimal("15.50") and got[2].total_spent == 0
     assert (got[None].emails_opened, got[None].ad_clicks) == (1, 1)
+
+
+def test_profile_dataframe_form(spark):
+    flat = op.flatten_interactions(campaigns(spark))
+    prof = op.omni_profile_reference(flat, orders(spark), op.support_view(support(spark)), AS_OF,
+                                     dataframe_form=True)
+    got = {r.customer_id: r for r in prof.collect() if r.customer_id is not None}
+    # ids are coalesced over the four sides; missing sides stay NULL (not 0)
+    assert set(got) == {1, 2, 5, 7, 8}
+    assert got[2].purchases is None and got[2].total_ticket is None and got[2].ad_views == 1
+    assert got[8].emails_opened is None and got[8].purchases == 1
+    assert prof.count() == 8        # same rows as the SQL form, incl. customer 5 twice

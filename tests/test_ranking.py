@@ -49,3 +49,13 @@ def test_rank_filter_becomes_group_limit(spark):
     plan = plan_text(op.top_customers_by_country(o, c, AS_OF))
     assert "WindowGroupLimit" in plan
     assert "StartsWith(country" in plan
+
+
+def test_dataframe_form_keeps_customer_columns(spark):
+    o = spark.createDataFrame([(1, 1, AS_OF, Decimal("5")), (2, 2, AS_OF, Decimal("7"))], ORD)
+    c = spark.createDataFrame([(1, "A", "B", "a@x.com", "United States"),
+                               (2, "C", "D", "c@x.com", "United States")], CUST)
+    out = op.top_customers_by_country(o, c, AS_OF, all_customer_columns=True)
+    assert "full_name" not in out.columns
+    assert {"first_name", "last_name", "email", "country", "total_spent", "spending_rank"} <= set(out.columns)
+    assert rows(out, "customer_id", "spending_rank") == [(1, 2), (2, 1)]

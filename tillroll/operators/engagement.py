@@ -17,6 +17,10 @@ CLICKED = "Clicked"
 TICKET_OPEN = "Open"
 TICKET_RESOLVED = "Resolved"
 
+_SOURCE_COUNTS = [
+    "EmailsOpened", "EmailsClicked", "AdClicks", "AdViews",
+    "purchases", "total_spent", "TotalTickets", "OpenTickets", "ResolvedTickets",
+]
 COUNT_COLUMNS = [
     "emails_opened", "emails_clicked", "ad_clicks", "ad_views",
     "purchases", "total_spent", "total_ticket", "open_ticket", "resolved_ticket",
@@ -108,9 +112,14 @@ def omni_profile_reference(
     as_of: dt.date | str,
     days: int = 90,
     ordered: bool = True,
+    dataframe_form: bool = False,
 ) -> DataFrame:
     """The profile exactly as the reference's SQL form joins it.
 
+    ``dataframe_form=True`` gives the reference's DataFrame form instead:
+    the same joins, but the id is the first non-NULL id of the four sides and
+    counts are *not* replaced by 0 (a missing side stays NULL).
+
     email FULL JOIN ad ON email.id = ad.id, then purchases and support are
     both FULL JOINed on the *ad* side's id, and the output id is the purchase
     side's ``customer_id``. Consequences kept on purpose: customers without
@@ -139,6 +148,12 @@ def omni_profile_reference(
     joined = ea.join(p, ea["_ad_id"] == p["customer_id"], "full_outer").join(
         s, F.col("_ad_id") == F.col("_support_id"), "full_outer"
     )
+    if dataframe_form:
+        out = joined.select(
+            F.coalesce("_ad_id", "customer_id", "_support_id").alias("customer_id"),
+            *[F.col(src).alias(dst) for src, dst in zip(_SOURCE_COUNTS, COUNT_COLUMNS)],
+        )
+        return out.orderBy(F.desc("total_spent")) if ordered else out
     out = joined.select(
         F.col("customer_id"),
         _zero("EmailsOpened").alias("emails_opened"),

@@ -33,27 +33,36 @@ def top_customers_by_country(
     days: int = 365,
     k: int = 10,
     country_like: str | None = "United %",
+    all_customer_columns: bool = False,
 ) -> DataFrame:
     """Top-``k`` spenders per country (``rank()``, ties share a rank) among
     countries matching the LIKE pattern ``country_like``.
 
     Output: country, customer_id, full_name, email, total_spent,
-    total_orders, last_purchase_date, spending_rank.
+    total_orders, last_purchase_date, spending_rank. With
+    ``all_customer_columns=True`` the shape of the reference's DataFrame form:
+    customer_id, the spending columns, every customer column, spending_rank
+    (no full_name).
 
     The country filter is on the window's partition key, so it is applied to
     the customers scan before the join; the rank filter becomes a partial
     WindowGroupLimit ahead of the shuffle by country.
     """
-    cust = customers.select(
-        "customer_id",
-        "country",
-        full_name("first_name", "last_name").alias("full_name"),
-        "email",
-    )
+    if all_customer_columns:
+        cust = customers
+    else:
+        cust = customers.select(
+            "customer_id",
+            "country",
+            full_name("first_name", "last_name").alias("full_name"),
+            "email",
+        )
     if country_like is not None:
         cust = cust.filter(F.col("country").like(country_like))
     joined = customer_spending(orders, as_of, days).join(cust, "customer_id")
     ranked = top_k_per_group(joined, ["country"], [F.desc("total_spent")], k, "spending_rank")
+    if all_customer_columns:
+        return ranked
     return ranked.select(
         "country", "customer_id", "full_name", "email",
         "total_spent", "total_orders", "last_purchase_date", "spending_rank",

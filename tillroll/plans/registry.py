@@ -98,6 +98,14 @@ def q_top_customers_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(op.top_customers_by_country(t.orders(), t.customers(), AS_OF, country_like=COUNTRY_LIKE))
 
 
+def q_top_customers_by_country_all_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reference's DataFrame form of the ranking: every customer column."""
+    t = _tables(spark, sf_dir)
+    return present(op.top_customers_by_country(
+        t.orders(), t.customers(), AS_OF, country_like=COUNTRY_LIKE, all_customer_columns=True
+    ))
+
+
 # -- omni-channel --------------------------------------------------------------
 
 def q_flatten_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,6 +137,11 @@ def q_omni_profile_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(op.omni_profile_reference(_engagement(t), t.orders(), _tickets(t), AS_OF))
 
 
+def q_omni_profile_dataframe_form(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _tables(spark, sf_dir)
+    return present(op.omni_profile_reference(_engagement(t), t.orders(), _tickets(t), AS_OF, dataframe_form=True))
+
+
 def q_omni_profile_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _tables(spark, sf_dir)
     return present(op.omni_profile_unified(_engagement(t), t.orders(), _tickets(t), AS_OF))
@@ -200,11 +213,13 @@ QUERIES: dict[str, Query] = {
     "high_risk_customers": q_high_risk_customers,
     "customer_spending": q_customer_spending,
     "top_customers_by_country": q_top_customers_by_country,
+    "top_customers_by_country_all_columns": q_top_customers_by_country_all_columns,
     "flatten_interactions": q_flatten_interactions,
     "channel_engagement": q_channel_engagement,
     "purchase_activity": q_purchase_activity,
     "support_activity": q_support_activity,
     "omni_profile_reference": q_omni_profile_reference,
+    "omni_profile_dataframe_form": q_omni_profile_dataframe_form,
     "omni_profile_unified": q_omni_profile_unified,
     "sales_fact": q_sales_fact,
     "sales_fact_all": q_sales_fact_all,
