@@ -3,7 +3,7 @@ from decimal import Decimal
 
 import pytest
 
-from conftest import AS_OF, d, rows
+from conftest import AS_OF, rows
 from tillroll import operators as op
 
 CUST = ("customer_id bigint, first_name string, last_name string, email string, phone string, "

@@ -1,4 +1,3 @@
-import datetime as dt
 from decimal import Decimal
 
 from conftest import d, rows
