@@ -18,7 +18,8 @@ def test_write_output_counts_rows(spark, tmp_path):
 def test_cleaning_stage_publishes_nine_tables(spark, tmp_path):
     t = TestdataTables(spark, SF)
     res = jobs.run_cleaning(spark, t, str(tmp_path / "silver"), "silver_test", AS_OF)
-    assert res.status == "SUCCESS" and len(res.rows) == 9
+    assert res.status == "SUCCESS" and len(res.rows) == 10
+    assert res.rows["orders_amount_quarantined"] == 0
     tables = {r.tableName for r in spark.sql("SHOW TABLES IN silver_test").collect()}
     assert tables == {"customers", "orders", *jobs.PASSTHROUGH_TABLES}
     ext = spark.sql("DESCRIBE TABLE EXTENDED silver_test.orders").collect()

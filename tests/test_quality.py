@@ -76,3 +76,16 @@ def test_dq_gate(spark):
         op.dq_gate(spark.createDataFrame([(1,), (None,)], "k bigint"), "t", "k")
     rep = op.dq_report({"a": (ok, "k"), "b": (ok.filter("k > 5"), None)})
     assert rows(rep) == [("a", 2, 0, True), ("b", 0, 0, False)]
+
+
+def test_amount_overflow_is_quarantined_not_fatal(spark, tmp_path):
+    from tillroll.plans import jobs
+    from tillroll.sources import MappedTables
+
+    c = cust(spark, [base(1, "a@b.co")])
+    o = spark.createDataFrame([(1, 1, dt.datetime(2024, 6, 1), "F", 5.0),
+                               (2, 1, dt.datetime(2024, 6, 1), "F", 1e12)], ORD)   # does not fit (10,2)
+    empty = spark.createDataFrame([], "x int")
+    bronze = MappedTables({"customers": c, "orders": o} | {n: empty for n in jobs.PASSTHROUGH_TABLES})
+    res = jobs.run_cleaning(spark, bronze, str(tmp_path / "s"), "silver_q", AS_OF, audit=False)
+    assert res.rows["orders"] == 2 and res.rows["orders_amount_quarantined"] == 1

@@ -19,7 +19,8 @@ import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tillroll import operators as op
 from tillroll.session import scratch_path
@@ -122,7 +123,12 @@ def run_cleaning(
         # set is read back instead of being recomputed.
         published = spark.read.table(f"{database}.customers")
         orders = op.clean_orders(bronze.table("orders"), published, as_of)
+        # Amounts that do not fit decimal(10,2) become NULL (try_cast); their
+        # number is observed during the same write and reported.
+        quarantine = Observation("orders_quarantine")
+        orders = orders.observe(quarantine, F.count_if(F.col("total_amount").isNull()).alias("n"))
         rows["orders"] = publish_table(orders, f"{root}/orders", database, "orders", bucket_by=by_order)
+        rows["orders_amount_quarantined"] = int(quarantine.get["n"])
         for name in PASSTHROUGH_TABLES:
             bucket = by_order if name == "order_items" else None
             rows[name] = publish_table(bronze.table(name), f"{root}/{name}", database, name, bucket_by=bucket)
