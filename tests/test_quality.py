@@ -89,3 +89,13 @@ def test_amount_overflow_is_quarantined_not_fatal(spark, tmp_path):
     bronze = MappedTables({"customers": c, "orders": o} | {n: empty for n in jobs.PASSTHROUGH_TABLES})
     res = jobs.run_cleaning(spark, bronze, str(tmp_path / "s"), "silver_q", AS_OF, audit=False)
     assert res.rows["orders"] == 2 and res.rows["orders_amount_quarantined"] == 1
+
+
+def test_clean_orders_same_with_ids_only(spark):
+    from tillroll.sources import TestdataTables
+
+    t = TestdataTables(spark, "/root/testdata/sf0.001")
+    full = op.clean_orders(t.orders(), op.clean_customers(t.customers()), "2001-08-01")
+    ids = op.clean_orders(t.orders(), op.clean_customer_ids(t.customers()), "2001-08-01")
+    assert rows(full) == rows(ids)
+    assert len(rows(ids)) > 1000

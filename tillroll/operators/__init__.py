@@ -12,6 +12,7 @@ from tillroll.operators.engagement import (
 from tillroll.operators.generic import previous_value, top_k, top_k_per_group
 from tillroll.operators.quality import (
     DataQualityError,
+    clean_customer_ids,
     clean_customers,
     clean_orders,
     dq_gate,
@@ -39,6 +40,7 @@ __all__ = [
     "align_history",
     "channel_engagement",
     "churn_risk",
+    "clean_customer_ids",
     "clean_customers",
     "clean_orders",
     "customer_purchase_trend",

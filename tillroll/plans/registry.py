@@ -45,15 +45,14 @@ def q_clean_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_clean_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _tables(spark, sf_dir)
-    return present(op.clean_orders(t.orders(), op.clean_customers(t.customers()), AS_OF))
+    return present(op.clean_orders(t.orders(), op.clean_customer_ids(t.customers()), AS_OF))
 
 
 def silver_tables(t: TestdataTables) -> dict[str, tuple[DataFrame, str | None]]:
     """The nine silver tables of the cleaning stage with their key columns."""
-    clean_c = op.clean_customers(t.customers())
     return {
-        "customers": (clean_c, "customer_id"),
-        "orders": (op.clean_orders(t.orders(), clean_c, AS_OF), "order_id"),
+        "customers": (op.clean_customers(t.customers()), "customer_id"),
+        "orders": (op.clean_orders(t.orders(), op.clean_customer_ids(t.customers()), AS_OF), "order_id"),
         "order_items": (t.order_items(), "order_id"),
         "products": (t.products(), "product_id"),
         "loginhistory": (t.loginhistory(), "customer_id"),
