@@ -76,7 +76,7 @@ def test_other_jobs_write(spark, tmp_path):
     assert mat.count() == 25
 
 
-def test_pipeline_bronze_to_gold(spark, tmp_path):
+def test_all_jobs_bronze_to_gold(spark, tmp_path):
     t = TestdataTables(spark, SF)
     # bronze as the reference's jobs see it: 'orders' holds the current
     # period, older lines live in the history table
@@ -84,7 +84,7 @@ def test_pipeline_bronze_to_gold(spark, tmp_path):
         "customers", "order_items", "products", "loginhistory", "usage_history",
         "customersupport", "enterprisecampaigns", "historical_customer_sales"]}
         | {"orders": t.sales_orders()})
-    res = jobs.run_pipeline(spark, bronze, str(tmp_path / "lake"), "silver_pipe", AS_OF, country_like="NATION_1%")
+    res = jobs.run_all_jobs(spark, bronze, str(tmp_path / "lake"), "silver_pipe", AS_OF, country_like="NATION_1%")
     assert all(r.status == "SUCCESS" for r in res.values())
     assert set(res["sales_trends"].rows) >= {"peak_sales_months", "yoy_comparison"}
     # gold sales trends read silver orders = the cleaned current orders

@@ -251,7 +251,7 @@ def write_all(outputs: Mapping[str, DataFrame], root: str) -> dict[str, int]:
     return {name: write_output(df, f"{root.rstrip('/')}/{name}") for name, df in outputs.items()}
 
 
-def run_pipeline(
+def run_all_jobs(
     spark: SparkSession,
     bronze: Tables,
     root: str,
