@@ -123,3 +123,14 @@ def test_peak_months(spark):
     f = fact(spark, [(1, 1, "2023-01-05", 1, 1, "5"), (2, 1, "2023-01-25", 1, 1, "5"), (3, 1, "2023-11-01", 1, 1, "3")])
     assert op.peak_sales_months(f).collect()[0].year_month == "2023-01"
     assert rows(op.peak_sales_months(f)) == [("2023-01", Decimal("10.00")), ("2023-11", Decimal("3.00"))]
+
+
+def test_top_k_broadcast_only_within_bound(spark):
+    from conftest import plan_text
+
+    f = fact(spark, [(1, 1, "2023-01-01", 1, 1, "5"), (2, 2, "2023-01-01", 1, 1, "7")])
+    p = spark.createDataFrame([(1, "bolt", "HW")], PRODUCTS)
+    small = plan_text(op.top_customer_products(f, p, k=5))
+    assert "BroadcastExchange" in small
+    big = op.top_customer_products(f, p, k=op.sales.BROADCAST_MAX_ROWS + 1)
+    assert sorted(r.customer_id for r in big.collect()) == [1, 2]

@@ -119,9 +119,16 @@ def top_customers(fact: DataFrame, k: int = 5) -> DataFrame:
     return top_k(totals, k, [F.desc("_total")], ["customer_id"]).select("customer_id")
 
 
+# Largest top-k side that is broadcast explicitly (k rows of one bigint id).
+BROADCAST_MAX_ROWS = 100_000
+
+
 def _top_lines(fact: DataFrame, k: int) -> DataFrame:
-    # The top-k side has at most k rows: a proven bound, so it is broadcast.
-    return fact.join(F.broadcast(top_customers(fact, k)), "customer_id")
+    # The top-k side has at most k rows: a proven bound, so it is broadcast
+    # and the fact is joined without a shuffle. Beyond the cap the join is
+    # left to Spark/AQE, which choose by measured size.
+    top = top_customers(fact, k)
+    return fact.join(F.broadcast(top) if k <= BROADCAST_MAX_ROWS else top, "customer_id")
 
 
 def _attach_products(pre: DataFrame, products: DataFrame, keys: list[str], sums: dict[str, str]) -> DataFrame:

@@ -117,8 +117,7 @@ class TestdataTables:
             F.lit("("), F.lpad(_str(k % 1000), 3, "0"), F.lit(") 555-"),
             F.lpad(_str(k % 10000), 4, "0"),
         )
-        # nation has 25 rows by definition of the generator: a fixed bound.
-        nation = F.broadcast(self.raw("nation").select("n_nationkey", "n_name"))
+        nation = self.raw("nation").select("n_nationkey", "n_name")
         return (
             self.raw("customer")
             .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
