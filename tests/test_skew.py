@@ -58,3 +58,33 @@ def test_sales_outputs_under_skew(spark, skewed):
     assert ret.agg(F.sum("retained_customers")).first()[0] <= ret.agg(F.sum("total_customers_current_year")).first()[0]
     yoy = op.yoy_comparison(fact, t.products(), ordered=False)
     assert yoy.filter(F.col("customer_id") == HOT).count() > 0
+
+
+def test_aqe_splits_hot_customer_in_semi_join(spark, skewed):
+    """With thresholds scaled down to the test size, AQE's final plan splits
+    the hot customer's partition of the clean_orders semi join."""
+    t, orders = skewed
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    previous = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        df = op.clean_orders(orders, op.clean_customer_ids(t.customers()), AS_OF)
+        n = len(df.collect())                 # runs this DataFrame's own plan
+        final = plan_text(df, "simple")
+    finally:
+        for k, v in previous.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert n > 0
+    assert "isFinalPlan=true" in final
+    assert "SortMergeJoin(skew=true)" in final
