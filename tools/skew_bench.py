@@ -1,7 +1,8 @@
 """Time customer-keyed operators with and without a hot customer.
 
-The hot variant moves every third order (a third of all orders and their
-lines) to one customer id. Prints one JSON line per variant.
+The hot-customer variant moves every third order (a third of all orders and
+their lines) to one customer id; the hot-product variant moves the lines of
+every third order to one product id. Prints one JSON line per variant.
 
     python tools/skew_bench.py [sf_dir] [repeats]
 """
@@ -23,6 +24,7 @@ from tillroll.session import build_session  # noqa: E402
 from tillroll.sources import AS_OF, TestdataTables  # noqa: E402
 
 HOT_CUSTOMER = 7
+HOT_PRODUCT = 7
 
 
 def timed(df, repeats: int) -> float:
@@ -56,6 +58,20 @@ def main(argv: list[str]) -> None:
             "customer_segments": timed(op.customer_segments(fact), repeats),
         }
         print(json.dumps({"variant": label, "sf_dir": sf_dir, "seconds": result}))
+    items = t.order_items()
+    hot_items = items.withColumn(
+        "product_id",
+        F.when(F.col("order_id") % 3 == 0, F.lit(HOT_PRODUCT).cast("bigint")).otherwise(F.col("product_id")),
+    )
+    for label, lines in (("plain", items), ("hot_product_third", hot_items)):
+        fact = op.sales_fact(plain, lines, t.products())
+        result = {
+            "sales_fact": timed(fact, repeats),
+            "product_mom_growth": timed(op.product_mom_growth(fact, t.products()), repeats),
+            "top_customer_products": timed(op.top_customer_products(fact, t.products()), repeats),
+            "peak_sales_months": timed(op.peak_sales_months(fact), repeats),
+        }
+        print(json.dumps({"variant": label, "sf_dir": sf_dir, "seconds": result}))
     spark.stop()
 
 
