@@ -53,3 +53,11 @@ def test_top5_broadcast_is_bounded(plans):
 def test_unified_profile_single_aggregate(plans):
     text = plans["omni_profile_unified"]
     assert "Union" in text and "SortMergeJoin" not in text and "BroadcastHashJoin" not in text
+
+
+def test_reference_profile_spreads_rows_without_ad_id(plans):
+    # buyers without engagement have no ad-side id; the support join shuffles
+    # them by their own id instead of piling them onto the NULL key
+    text = plans["omni_profile_reference"]
+    assert "hashpartitioning(_spread_id" in text
+    assert "hashpartitioning(_ad_id" not in text

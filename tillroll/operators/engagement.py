@@ -145,8 +145,22 @@ def omni_profile_reference(
     )
     p = purchase_activity(orders, as_of, days)
     s = support_activity(tickets, as_of, days).withColumnRenamed("CustomerID", "_support_id")
-    joined = ea.join(p, ea["_ad_id"] == p["customer_id"], "full_outer").join(
-        s, F.col("_ad_id") == F.col("_support_id"), "full_outer"
+    ea_p = ea.join(p, ea["_ad_id"] == p["customer_id"], "full_outer")
+    # The support side joins on the ad side's id, which is NULL for every
+    # buyer without engagement. NULL never matches, but all those rows would
+    # hash to one partition of the next shuffle (a full outer join cannot be
+    # split by AQE). Keying them by (no-ad flag, buyer id) keeps them
+    # unmatched -- the support side's flag is always false -- and spreads them.
+    left = ea_p.select(
+        "*",
+        F.col("_ad_id").isNull().alias("_no_ad"),
+        F.coalesce(F.col("_ad_id"), F.col("customer_id")).alias("_spread_id"),
+    )
+    right = s.withColumn("_no_ad_support", F.lit(False))
+    joined = left.join(
+        right,
+        (F.col("_no_ad") == F.col("_no_ad_support")) & (F.col("_spread_id") == F.col("_support_id")),
+        "full_outer",
     )
     if dataframe_form:
         out = joined.select(
