@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tillroll import operators as op
 from tillroll.session import scratch_path
 from tillroll.sources.files import read_csv_with_header
-from tillroll.sources.sinks import append_audit, publish_table, write_output
+from tillroll.sources.sinks import append_audit, publish_table, write_output, write_outputs
 from tillroll.sources.tables import CatalogTables, Tables
 
 # Tables the cleaning stage copies from bronze to silver unchanged.
@@ -222,7 +222,7 @@ def run_sales_trends(
         fact = stored.drop("_current")
         outputs = sales_outputs(fact, stored.filter("_current").drop("_current"), products)
         outputs.pop("customer_segmented").createOrReplaceTempView("customer_segmented")
-        return {name: write_output(df, f"{root}/{name}") for name, df in outputs.items()}
+        return write_outputs(outputs, root)
 
     return _run(spark, "sales_trends", None, body)
 
@@ -246,11 +246,6 @@ def run_csv_to_parquet(
     return _run(spark, "csv_to_parquet", None, body)
 
 
-def write_all(outputs: Mapping[str, DataFrame], root: str) -> dict[str, int]:
-    """Write several results under ``root/<name>``."""
-    return {name: write_output(df, f"{root.rstrip('/')}/{name}") for name, df in outputs.items()}
-
-
 def run_all_jobs(
     spark: SparkSession,
     bronze: Tables,
