@@ -17,6 +17,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -99,6 +100,7 @@ def run_cleaning(
     strict_email: bool = False,
     audit: bool = True,
     order_buckets: int | None = None,
+    concurrency: int = 4,
 ) -> JobResult:
     """Bronze -> silver: clean customers and orders, copy seven tables, publish
     all nine as external tables under ``target_root/<name>``, audit with
@@ -129,9 +131,15 @@ def run_cleaning(
         orders = orders.observe(quarantine, F.count_if(F.col("total_amount").isNull()).alias("n"))
         rows["orders"] = publish_table(orders, f"{root}/orders", database, "orders", bucket_by=by_order)
         rows["orders_amount_quarantined"] = int(quarantine.get["n"])
-        for name in PASSTHROUGH_TABLES:
+        # The seven copies are independent: submitted from several driver
+        # threads, their small stages share the cores.
+        def copy(name: str) -> int:
             bucket = by_order if name == "order_items" else None
-            rows[name] = publish_table(bronze.table(name), f"{root}/{name}", database, name, bucket_by=bucket)
+            return publish_table(bronze.table(name), f"{root}/{name}", database, name, bucket_by=bucket)
+
+        with ThreadPoolExecutor(max_workers=max(1, concurrency)) as pool:
+            copied = {name: pool.submit(copy, name) for name in PASSTHROUGH_TABLES}
+            rows.update({name: f.result() for name, f in copied.items()})
         return rows
 
     return _run(spark, job_name, f"{root}/{job_name}" if audit else None, body, "customers")
@@ -204,11 +212,13 @@ def run_sales_trends(
     tables: Tables,
     output_path: str,
     orders_table: str = "orders",
+    concurrency: int = 4,
 ) -> JobResult:
     """Sales trends: the fact (current and history lines, flagged) is built
     and written once, partitioned by year and month; six results are written
-    under ``output_path/<name>``, and the customer segments (current lines
-    only) are registered as the temp view ``customer_segmented``.
+    under ``output_path/<name>`` (``concurrency`` writes at a time), and the
+    customer segments (current lines only) are registered as the temp view
+    ``customer_segmented``.
     """
     root = output_path.rstrip("/")
 
@@ -222,7 +232,7 @@ def run_sales_trends(
         fact = stored.drop("_current")
         outputs = sales_outputs(fact, stored.filter("_current").drop("_current"), products)
         outputs.pop("customer_segmented").createOrReplaceTempView("customer_segmented")
-        return write_outputs(outputs, root)
+        return write_outputs(outputs, root, concurrency=concurrency)
 
     return _run(spark, "sales_trends", None, body)
 

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -68,9 +69,24 @@ def publish_table(
     return int(obs.get["rows"])
 
 
-def write_outputs(outputs: Mapping[str, DataFrame], base_path: str, fmt: str = "parquet") -> dict[str, int]:
-    """Write several named datasets under ``base_path/<name>``."""
-    return {name: write_output(df, f"{base_path.rstrip('/')}/{name}", fmt) for name, df in outputs.items()}
+def write_outputs(
+    outputs: Mapping[str, DataFrame],
+    base_path: str,
+    fmt: str = "parquet",
+    concurrency: int = 1,
+) -> dict[str, int]:
+    """Write several named datasets under ``base_path/<name>``.
+
+    With ``concurrency > 1`` independent writes are submitted from that many
+    driver threads, so the scheduler can fill cores that one output's small
+    stages leave idle; each output is still one job, written once.
+    """
+    root = base_path.rstrip("/")
+    if concurrency <= 1:
+        return {name: write_output(df, f"{root}/{name}", fmt) for name, df in outputs.items()}
+    with ThreadPoolExecutor(max_workers=concurrency) as pool:
+        futures = {name: pool.submit(write_output, df, f"{root}/{name}", fmt) for name, df in outputs.items()}
+        return {name: f.result() for name, f in futures.items()}
 
 
 def audit_row(
