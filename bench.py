@@ -1,4 +1,4 @@
-"""Benchmark: run every registered query over ``$BENCH_SF_DIR`` on
+"""Benchmark: run every query of the reference's analytics over ``$BENCH_SF_DIR`` on
 ``local[$BENCH_CPUS]`` and print one JSON line.
 
 Each query is executed in full through the ``noop`` sink (the whole plan runs,
@@ -16,7 +16,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from __spark_entry__ import queries  # noqa: E402
+from tillroll.plans.registry import QUERIES  # noqa: E402
 from tillroll.session import build_session  # noqa: E402
 
 
@@ -39,7 +39,7 @@ def main() -> None:
         shuffle_partitions=int(cpus) * 2,
         conf=conf,
     )
-    qs = {k: v for k, v in queries().items() if not only or k in only}
+    qs = {k: v for k, v in QUERIES.items() if not only or k in only}
     for fn in qs.values():  # warm-up: JIT, file listing, codegen caches
         run(fn(spark, sf_dir))
     timings: dict[str, float] = {}

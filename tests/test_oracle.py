@@ -4,7 +4,9 @@
 import pytest
 
 from tools.compare_oracle import digest, duck
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tillroll.plans.oracle import ORACLE_SQL
+from tillroll.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -15,14 +17,14 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    sdf = queries()[name](spark, SF)
+    sdf = QUERIES[name](spark, SF)
     srows = [tuple(r) for r in sdf.collect()]
-    cur = con.execute(oracle_sql()[name])
+    cur = con.execute(ORACLE_SQL[name])
     ocols = [c[0] for c in cur.description]
     orows = cur.fetchall()
     assert sorted(sdf.columns) == sorted(ocols)
@@ -34,10 +36,10 @@ SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "stri
                  "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_types_match_oracle(spark, con, name):
-    sdt = dict(queries()[name](spark, SF).dtypes)
-    rel = con.sql(oracle_sql()[name])
+    sdt = dict(QUERIES[name](spark, SF).dtypes)
+    rel = con.sql(ORACLE_SQL[name])
     odt = {c: str(t) for c, t in zip(rel.columns, rel.types)}
     assert {c: SPARK_TO_DUCK.get(t, t) for c, t in sdt.items()} == odt
 
