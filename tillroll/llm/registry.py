@@ -6,14 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import id_files, packing, token_counts
+from tillroll.llm import id_files, mixing, packing, quality, simhash, token_counts
 from tillroll.llm.common import table
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.grade_documents(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), "byte_bpe_50k.json", end_id=1, capacity=2048)
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return mixing.mix_documents(docs, mixing.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), "byte_bpe_50k.json", limit=512)
 
@@ -22,9 +32,13 @@ def op7_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_files.read_ids(*id_files.write_ids(table(spark, sf_dir, "documents"), "word_bpe_49k.json", end_id=2))
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op3_packing, op6_token_counts, op7_id_files,
+        op1_quality, op3_packing, op4_mixing, op6_token_counts, op7_id_files, op10_simhash,
     )
 }
 
