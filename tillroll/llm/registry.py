@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillroll.llm import id_files, mixing, packing, quality, simhash, token_counts
+from tillroll.llm import (
+    id_files, license_scan, lm_score, mixing, packing, quality, simhash, span_prints, token_counts, topk_search,
+)
 from tillroll.llm.common import table
 
 
@@ -15,6 +18,11 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.grade_documents(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lm_score.score_documents(docs, lm_score.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), "byte_bpe_50k.json", end_id=1, capacity=2048)
 
@@ -24,6 +32,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(docs, mixing.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"), license_scan.known_digests(spark))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), "byte_bpe_50k.json", limit=512)
 
@@ -32,14 +44,45 @@ def op7_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_files.read_ids(*id_files.write_ids(table(spark, sf_dir, "documents"), "word_bpe_49k.json", end_id=2))
 
 
+def op8_span_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_prints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+def op9_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_quality, op3_packing, op4_mixing, op6_token_counts, op7_id_files, op10_simhash,
+        op1_quality, op2_lm_score, op3_packing, op4_mixing, op5_license_scan, op6_token_counts, op7_id_files,
+        op8_span_prints, op9_topk_search, op10_simhash,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# Exact integers throughout; lists end with the shorter one, as only vectors of one length are compared.
+_TOPK_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         coalesce(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])), 0)::BIGINT AS score
+  FROM v q JOIN v c ON len(q.v) = len(c.v) AND q.vec_id <> c.vec_id
+  WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+  FROM pairs
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op5_license_scan": license_scan.oracle_sql(),
+    "op9_topk_search": _TOPK_SQL,
+}
