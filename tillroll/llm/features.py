@@ -1,17 +1,19 @@
 """Hashed text features shared by the two text classifiers.
 
-A text's features are the distinct words of its lower case, hashed to
-``WIDTH`` places, and the tenths of a few shares (distinct words, upper case,
-digits, signs, words with signs inside, most frequent word) with its
-length in powers of two. Each is there or not. The whole text counts.
+A text's features are the distinct words of its lower case and their first four
+and five letters, hashed to ``HASHED`` places, and in places of their own the
+twentieths of a few shares (distinct words, upper case, digits, signs, words
+with signs, the most frequent word) with its length in powers of two. Each is
+there or not. The whole text counts.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,34 +22,89 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.common import prepare, text_column
 
-WIDTH = 1 << 18
+HASHED = 1 << 18
+SHARES = 6
+STEPS = 20
+WIDTH = HASHED + SHARES * STEPS + 64
+DEPENDENT = 23.0   # chance of about 1 in 100,000 for three classes
+MEMO = 200_000   # words whose places a worker keeps
 _WORD = re.compile(r"\w+")
 
 
-def text_features(text: str) -> list[int]:
-    """Places of the features of a text, each once."""
-    raw = text.split()
-    counts = Counter(raw)
-    n, chars = len(raw), len(text)
-    words = {w for r in counts for w in _WORD.findall(r.lower())}
-    out = {zlib.crc32(w.encode("utf-8", "surrogatepass")) % WIDTH for w in words}
-    upper = signs = digits = marked = 0
-    for r, c in counts.items():
-        s = sum(not x.isalnum() for x in r) if not r.isalnum() else 0
-        signs += c * s
-        marked += c * (s > 1)
-        if not r.islower():
-            upper += c * sum(map(str.isupper, r))
-            digits += c * sum(map(str.isdigit, r))
-    shares = {
-        "distinct": len(counts) / n if n else 1.0, "upper": upper / max(1, chars), "signs": signs / max(1, chars),
-        "digits": digits / max(1, chars), "marked": marked / max(1, n),
-        "most": max(counts.values(), default=0) / max(1, n),
-    }
-    for name, share in shares.items():
-        out.add(zlib.crc32(f"\t{name}={min(9, int(share * 10))}".encode()) % WIDTH)
-    out.add(zlib.crc32(f"\tlength={n.bit_length()}".encode()) % WIDTH)
-    return sorted(out)
+def _place(feature: str) -> int:
+    return zlib.crc32(feature.encode("utf-8", "surrogatepass")) % HASHED
+
+
+class Features:
+    """Places of the features of a text; with ``active`` (a flag for each
+    place) only of the words' places that have it."""
+
+    def __init__(self, active: np.ndarray | None = None):
+        self.active, self.memo = active, {}
+
+    def _word(self, raw: str) -> tuple[tuple[int, ...], int, int, int]:
+        """Places of a white-space word; its signs, upper-case letters and digits."""
+        core = raw.rstrip(".,")
+        if core.isalpha():   # most words
+            found, signs, digits = (core.lower(),), len(raw) - len(core), 0
+        else:
+            found, signs, digits = _WORD.findall(raw.lower()), sum(not x.isalnum() for x in raw), sum(map(str.isdigit, raw))
+        upper = 0 if raw.islower() else sum(map(str.isupper, raw))
+        places = []
+        for w in found:
+            places.append(_place(w))
+            if len(w) > 4:
+                places.append(_place(w[:4] + "\t"))
+            if len(w) > 5:
+                places.append(_place(w[:5] + "\t"))
+        if self.active is not None:
+            places = [x for x in places if self.active[x]]
+        got = (tuple(places), signs, upper, digits)
+        if len(self.memo) < MEMO and len(raw) <= 64:
+            self.memo[raw] = got
+        return got
+
+    def __call__(self, text: str) -> list[int]:
+        counts = Counter(text.split())
+        n, chars = counts.total(), max(1, len(text))
+        out: set[int] = set()
+        signs = upper = digits = marked = 0
+        known = self.memo.get
+        for raw, c in counts.items():
+            places, s, u, d = known(raw) or self._word(raw)
+            if places:
+                out.update(places)
+            if s:
+                signs += c * s
+                marked += c * (s > 1)
+            if u:
+                upper += c * u
+            if d:
+                digits += c * d
+        most = max(counts.values(), default=0)
+        shares = (len(counts) / max(1, n), upper / chars, signs / chars, digits / chars, marked / max(1, n), most / max(1, n))
+        for k, share in enumerate(shares):
+            out.add(HASHED + k * STEPS + min(STEPS - 1, int(share * STEPS)))
+        out.add(HASHED + SHARES * STEPS + n.bit_length())
+        return sorted(out)
+
+
+class Scorer:
+    """Sums of weights (place, output) over the features of texts; made on the
+    driver, and again in each worker that gets it."""
+
+    def __init__(self, weights: np.ndarray):
+        self.weights, self.key = weights, uuid.uuid4().hex
+
+    def __call__(self, texts: Iterable[str]) -> np.ndarray:
+        if self.key not in _FEATURES:
+            _FEATURES.clear()   # one model at a time in a worker
+            _FEATURES[self.key] = Features(self.weights.any(axis=1))
+        places = _FEATURES[self.key]
+        return np.array([self.weights[places(t)].sum(axis=0, dtype=np.float64) for t in texts]).reshape(-1, self.weights.shape[1])
+
+
+_FEATURES: dict[str, Features] = {}
 
 
 def labelled_features(docs: DataFrame, labels: DataFrame, grade, max_rows: int) -> tuple[list[np.ndarray], np.ndarray]:
@@ -63,8 +120,9 @@ def labelled_features(docs: DataFrame, labels: DataFrame, grade, max_rows: int)
     rows = docs.select("doc_id", text_column().alias("text")).join(F.broadcast(sample), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = Features()
         for batch in batches:
-            got = [np.array(text_features(t), "<i4").tobytes() for t in batch.column("text").to_pylist()]
+            got = [np.array(places(t), "<i4").tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("grade"), pa.array(got, pa.binary())],
                                              names=["doc_id", "grade", "places"])
 
@@ -75,17 +133,27 @@ def labelled_features(docs: DataFrame, labels: DataFrame, grade, max_rows: int)
 
 
 class Design:
-    """Sparse 0/1 rows over the places that occur in ``min_rows`` rows."""
-
-    def __init__(self, rows: list[np.ndarray], min_rows: int):
-        flat = np.concatenate(rows) if rows else np.zeros(0, np.int32)
-        times = np.bincount(flat, minlength=WIDTH)
-        self.places = np.flatnonzero(times >= min_rows)
+    """Sparse 0/1 rows over the places whose presence depends on the class: in
+    ``min_rows`` rows at least, with a chi-squared statistic of ``DEPENDENT``."""
+
+    def __init__(self, rows: list[np.ndarray], classes: np.ndarray, n_classes: int, min_rows: int):
+        self.n = len(rows)
+        flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+        row = np.repeat(np.arange(self.n), [len(r) for r in rows])
+        times = np.bincount(flat * n_classes + classes[row], minlength=WIDTH * n_classes).reshape(-1, n_classes)
+        each = times.sum(axis=1)
+        size = np.bincount(classes, minlength=n_classes)
+        statistic = np.zeros(WIDTH)
+        for k in np.flatnonzero(size):
+            expected = each * (size[k] / self.n)
+            absent = size[k] - expected
+            gap = (times[:, k] - expected) ** 2
+            statistic += np.where(expected > 0, gap / np.maximum(expected, 1e-9), 0) + np.where(absent > 0, gap / np.maximum(absent, 1e-9), 0)
+        self.places = np.flatnonzero((each >= min_rows) & (statistic >= DEPENDENT))
         where = np.full(WIDTH, -1, np.int64)
         where[self.places] = np.arange(len(self.places))
         column = where[flat]
-        row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-        self.row, self.column, self.n = row[column >= 0], column[column >= 0], len(rows)
+        self.row, self.column = row[column >= 0], column[column >= 0]
 
     def times(self, weights: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, weights[self.column], self.n)
@@ -101,12 +169,12 @@ class Design:
 
 
 class Adam:
-    def __init__(self, rate: float):
-        self.rate, self.step, self.state = rate, 0, {}
+    def __init__(self):
+        self.step, self.state = 0, {}
 
-    def __call__(self, name: str, value: np.ndarray, gradient: np.ndarray) -> np.ndarray:
+    def __call__(self, name: str, value: np.ndarray, gradient: np.ndarray, rate) -> np.ndarray:
         m, v = self.state.get(name, (0.0, 0.0))
         m, v = 0.9 * m + 0.1 * gradient, 0.99 * v + 0.01 * gradient**2
         self.state[name] = m, v
         t = self.step + 1
-        return value - self.rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
+        return value - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import materialize, prepare, text_column
-from tillroll.llm.features import Adam, Design, labelled_features, text_features
+from tillroll.llm.features import Adam, Design, Scorer, labelled_features
 from tillroll.llm.quality import MAX_ROWS, MIN_ROWS, RIDGE, ROUNDS, rating
 
 DOMAINS = ("bad", "toxic", "clean")          # in the order of the ratings
@@ -51,23 +51,26 @@ class DomainModel:
     weights: np.ndarray   # place, domain
     bias: np.ndarray
 
-    def posterior(self, text: str) -> np.ndarray:
-        z = self.bias + self.weights[text_features(text)].sum(axis=0, dtype=np.float64)
-        e = np.exp(z - z.max())
-        return e / e.sum()
+    def __post_init__(self):
+        self.scorer = Scorer(self.weights)
+
+    def posteriors(self, texts: pd.Series) -> np.ndarray:
+        z = self.bias + self.scorer(texts)
+        e = np.exp(z - z.max(axis=1, keepdims=True))
+        return e / e.sum(axis=1, keepdims=True)
 
 
 def fit_domains(rows: list[np.ndarray], domains: np.ndarray, n: int = len(DOMAINS), min_rows: int = MIN_ROWS) -> DomainModel:
-    design = Design(rows, min_rows)
-    w, bias, adam = np.zeros((len(design.places), n)), np.zeros(n), Adam(0.1)
+    design = Design(rows, domains, n, min_rows)
+    w, bias, adam = np.zeros((len(design.places), n)), np.zeros(n), Adam()
     for _ in range(ROUNDS if len(rows) else 0):
         z = np.column_stack([design.times(w[:, k]) for k in range(n)]) + bias
         p = np.exp(z - z.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
         p[np.arange(len(rows)), domains] -= 1
         p /= len(rows)
-        w = adam("w", w, np.column_stack([design.back(p[:, k]) for k in range(n)]) + RIDGE * w)
-        bias = adam("b", bias, p.sum(axis=0))
+        w = adam("w", w, np.column_stack([design.back(p[:, k]) for k in range(n)]) + RIDGE * w, 0.1)
+        bias = adam("b", bias, p.sum(axis=0), 0.1)
         adam.step += 1
     return DomainModel(np.column_stack([design.spread(w[:, k]) for k in range(n)]), bias)
 
@@ -83,8 +86,7 @@ def posterior(docs: DataFrame, model: DomainModel) -> Column:
 
     @F.pandas_udf("p array<double>, n_tokens long")
     def run(texts: pd.Series) -> pd.DataFrame:
-        m = shared.value
-        return pd.DataFrame({"p": [m.posterior(t).tolist() for t in texts], "n_tokens": [len(t.split()) for t in texts]})
+        return pd.DataFrame({"p": list(shared.value.posteriors(texts)), "n_tokens": [len(t.split()) for t in texts]})
 
     return run(text_column())
 
@@ -163,7 +165,6 @@ def mixed(docs: DataFrame, model: DomainModel, shares: dict[str, float] = SHARES
 
     @F.pandas_udf("double")
     def rate(texts: pd.Series) -> pd.Series:
-        p = np.array([shared.value.posterior(t) for t in texts]).reshape(len(texts), -1)
-        return pd.Series(rates(p, steps))
+        return pd.Series(rates(shared.value.posteriors(texts), steps))
 
     return docs.filter(copies(rate(text_column()), F.col("doc_id")) > 0)

@@ -7,8 +7,8 @@ gives each of its slots a run of ranks, and an item finds its pack by its rank
 among the items of its length. Ranks come from counts per (length, bucket), so
 a length that holds a third of all items is numbered by many tasks.
 
-Each step of the placement splits at most one pattern or opens one, so there
-are at most two patterns per length, whatever the number of documents.
+A length splits at most one pattern and opens at most two, so there are at most
+three patterns per length, whatever the number of documents.
 
 A null text packs as an empty one: just the end id. Null and repeated
 ``doc_id``s are items like others. An empty table gives no rows.
@@ -37,8 +37,11 @@ def shortest_pack_first(histogram: dict[int, int], capacity: int) -> list[tuple[
         left = histogram[length]
         while left:
             space = max(by_space, default=0)
-            if space < length:
-                by_space.setdefault(capacity - length, []).append((left, (length,)))
+            if space < length:  # new packs, which take the next ones of this length until they are full
+                fit = capacity // length
+                for count, times in ((left // fit, fit), (1, left % fit)):
+                    if count and times:
+                        by_space.setdefault(capacity - times * length, []).append((count, (length,) * times))
                 break
             count, lengths = by_space[space].pop()
             n = min(left, count)

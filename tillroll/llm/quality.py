@@ -22,13 +22,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import prepare, text_column
-from tillroll.llm.features import Adam, Design, labelled_features, text_features
+from tillroll.llm.features import Adam, Design, Scorer, labelled_features
 
 GRADES = 3
 MAX_ROWS = 8_000   # labelled documents of a fit
 MIN_ROWS = 5       # a feature in fewer of them gets no weight
-ROUNDS = 120
-RIDGE = 2e-4
+ROUNDS = 400
+RIDGE = 1e-4
 ACCEPT = 0.5       # least P(grade >= 1) of a document that is kept
 
 
@@ -48,13 +48,13 @@ class OrdinalModel:
 
 
 def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, n_grades: int = GRADES, min_rows: int = MIN_ROWS) -> OrdinalModel:
-    design = Design(rows, min_rows)
+    design = Design(rows, grades, n_grades, min_rows)
     w = np.zeros(len(design.places))
     counts = np.bincount(grades, minlength=n_grades) + 0.5
     above = counts[::-1].cumsum()[::-1][1:]
     t = np.log((counts.sum() - above) / above) if len(rows) else np.zeros(n_grades - 1)
     first, gaps = t[:1].copy(), np.log(np.maximum(np.diff(t), 1e-3))  # t_k = t_1 + sums of exp(gaps)
-    adam = Adam(0.1)
+    adam = Adam()
     for _ in range(ROUNDS if len(rows) else 0):
         t = first[0] + np.append(0, np.cumsum(np.exp(gaps)))
         # P(y = k) = F_k - F_(k+1), F_k = sigmoid(s - t_k), F_0 = 1, F_n = 0
@@ -68,9 +68,9 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, n_grades: int = GRAD
         dt[i, grades] += slope[i, grades] / p / len(s)
         dt[i, grades + 1] -= slope[i, grades + 1] / p / len(s)
         dt = dt.sum(axis=0)[1:n_grades]
-        w = adam("w", w, design.back(ds) + RIDGE * w)
+        w = adam("w", w, design.back(ds) + RIDGE * w, 0.1)
         gap_slopes = np.exp(gaps) * dt[::-1].cumsum()[::-1][1:]
-        first, gaps = adam("t", first, np.array([dt.sum()])), adam("g", gaps, gap_slopes)
+        first, gaps = adam("t", first, np.array([dt.sum()]), 0.1), adam("g", gaps, gap_slopes, 0.1)
         adam.step += 1
     t = first[0] + np.append(0, np.cumsum(np.exp(gaps))) if len(rows) else np.zeros(n_grades - 1)
     return OrdinalModel(design.spread(w), t)
@@ -83,12 +83,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, min_rows:
 def score(docs: DataFrame, model: OrdinalModel) -> Column:
     """The score of each text, as a column over ``docs``."""
     prepare(docs.sparkSession)
-    weights = docs.sparkSession.sparkContext.broadcast(model.weights)
+    scorer = docs.sparkSession.sparkContext.broadcast(Scorer(model.weights[:, None]))
 
     @F.pandas_udf("double")
     def latent(texts: pd.Series) -> pd.Series:
-        w = weights.value
-        return pd.Series([float(w[text_features(t)].sum(dtype=np.float64)) for t in texts])
+        return pd.Series(scorer.value(texts)[:, 0])
 
     return latent(text_column())
 

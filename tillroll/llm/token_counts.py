@@ -6,7 +6,8 @@ offsets by itself, on whatever executor gets it. Neighbours are spliced at the
 first character of their overlap that starts a token in both and where the cut
 is proven (``pieces``: a space before a character that is certainly no white
 space). Texts with an overlap that has no such place are encoded again with
-overlaps four times as wide, in the end with one chunk.
+overlaps four times as wide and chunks of four overlaps at least, so in the end
+as one chunk.
 
 Null text counts as empty: 0 bytes, 0 tokens. Null and repeated ``doc_id``s
 keep a row each. Extra columns are not carried. An empty table gives no rows.
@@ -70,12 +71,12 @@ def _counts(tokenizer: str):
     return run
 
 
-def _chunks(tokenizer: str, overlap: int):
+def _chunks(tokenizer: str, chunk: int, overlap: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         for batch in batches:
             rows = batch.to_pydict()
-            got = [splice(enc, t, i > 0, i < n - 1, CHUNK, overlap)
+            got = [splice(enc, t, i > 0, i < n - 1, chunk, overlap)
                    for t, i, n in zip(rows["text"], rows["i"], rows["n"])]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), batch.column("i"), *(pa.array(x, pa.int64()) for x in zip(*got))]
@@ -86,19 +87,20 @@ def _chunks(tokenizer: str, overlap: int):
 
 def _huge_counts(huge: DataFrame, tokenizer: str, overlap: int) -> tuple[DataFrame, DataFrame]:
     """(row, n_tokens) of the texts whose chunks all align, and the rows that don't."""
+    chunk = max(CHUNK, 4 * overlap)
     chunks = (
-        huge.withColumn("n", F.ceil(F.col("n_chars") / CHUNK).cast("int"))
+        huge.withColumn("n", F.ceil(F.col("n_chars") / chunk).cast("int"))
         .select("row", "n", F.posexplode(F.transform(
             F.sequence(F.lit(0), F.col("n") - 1),
-            lambda i: F.substring("text", i * CHUNK + 1, F.lit(CHUNK + overlap)))).alias("i", "text"))
+            lambda i: F.substring("text", i * chunk + 1, F.lit(chunk + overlap)))).alias("i", "text"))
         .withColumn("i", F.col("i").cast("long"))
         .repartition("row", "i")
-        .mapInArrow(_chunks(tokenizer, overlap), "row long, i long, first long, last long, n_tokens long")
+        .mapInArrow(_chunks(tokenizer, chunk, overlap), "row long, i long, first long, last long, n_tokens long")
     )
     # A chunk's last place and the next one's first are the same character.
     both = chunks.withColumns({
-        "end": F.when(F.col("last") >= 0, F.col("last") + F.col("i") * CHUNK),
-        "begin": F.when(F.col("first") >= 0, F.col("first") + F.col("i") * CHUNK),
+        "end": F.when(F.col("last") >= 0, F.col("last") + F.col("i") * chunk),
+        "begin": F.when(F.col("first") >= 0, F.col("first") + F.col("i") * chunk),
     })
     sums = materialize(both.groupBy("row").agg(
         F.sum("n_tokens").alias("n_tokens"),
