@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -41,15 +42,19 @@ def prepare(spark: SparkSession) -> None:
         _SHIPPED.add(app)
 
 
+_OWN_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``; one of its own only where that
     is unset and the master is local, as in tests."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not re.match(r"local(\[|$)", context.master):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        root = tempfile.mkdtemp(prefix="tillroll-llm-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _OWN_DIRS.setdefault(context.applicationId, "") or tempfile.mkdtemp(prefix="tillroll-llm-")
+        _OWN_DIRS[context.applicationId] = root
     return root.rstrip("/")
 
 
