@@ -17,7 +17,8 @@ def spark():
 
     s = build_session(
         "local[*]", app_name="tillroll-tests", shuffle_partitions=8,
-        conf={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tillroll-wh-")},
+        conf={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tillroll-wh-"),
+              "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tillroll-ckpt-")},
     )
     yield s
     s.stop()

@@ -1,6 +1,8 @@
 import datetime as dt
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from conftest import AS_OF, rows, sort_rows
 from tillroll import operators as op
 from tillroll.schema import CAMPAIGNS, SUPPORT
@@ -97,3 +99,42 @@ def test_profile_dataframe_form(spark):
     assert got[2].purchases is None and got[2].total_ticket is None and got[2].ad_views == 1
     assert got[8].emails_opened is None and got[8].purchases == 1
     assert prof.count() == 8        # same rows as the SQL form, incl. customer 5 twice
+
+
+def test_flatten_filters_arrays(spark):
+    flat = op.flatten_interactions(campaigns(spark), AS_OF)
+    assert rows(flat) == rows(op.flatten_interactions(campaigns(spark)).filter(F.col("Timestamp") > OLD))
+
+
+def test_profiles_take_string_ids(spark):
+    """The same profiles whatever the ids' type; mixed types meet as strings."""
+    def named(df, *cols):
+        return df.withColumns({c: F.concat(F.lit("id-"), F.col(c).cast("string")) for c in cols})
+
+    plain = (op.flatten_interactions(campaigns(spark)), orders(spark), op.support_view(support(spark)))
+    texts = (named(plain[0], "CustomerID"), named(plain[1], "customer_id", "order_id"), named(plain[2], "CustomerID", "TicketID"))
+    for build in (op.omni_profile_unified, op.omni_profile_reference,
+                  lambda *a: op.omni_profile_reference(*a, dataframe_form=True)):
+        want = named(build(*plain, AS_OF), "customer_id")
+        assert rows(build(*texts, AS_OF)) == rows(want)
+    mixed = op.omni_profile_unified(plain[0], plain[1].withColumn("customer_id", F.col("customer_id").cast("string")), plain[2], AS_OF)
+    assert dict(mixed.dtypes)["customer_id"] == "string"
+    assert sorted(r.customer_id or "" for r in mixed.collect()) == ["", "1", "2", "5", "7", "8"]
+
+
+def test_profile_order_and_tickets_without_engagement(spark):
+    """Largest amount first, equal amounts by id; customer 5 bought and asked
+    but was never engaged."""
+    tables = (op.flatten_interactions(campaigns(spark)), orders(spark), op.support_view(support(spark)))
+    got = [(r.total_spent, r.customer_id) for r in op.omni_profile_unified(*tables, AS_OF).collect()]
+    assert got == [(Decimal("15.50"), 1), (Decimal("7.00"), 5), (Decimal("1.00"), 8), (0, None), (0, 2), (0, 7)]
+    ref = [(r.total_spent, r.customer_id) for r in op.omni_profile_reference(*tables, AS_OF).collect()]
+    assert ref[:3] == got[:3] and all(r == (0, None) for r in ref[3:])
+
+
+def test_events_have_a_date_of_their_own(spark):
+    tables = (op.flatten_interactions(campaigns(spark)), orders(spark), op.support_view(support(spark)))
+    late = AS_OF + dt.timedelta(days=365)
+    for build in (op.omni_profile_unified, op.omni_profile_reference):
+        got = build(*tables, AS_OF, events_as_of=late).collect()
+        assert sorted(r.customer_id for r in got) == [1, 5, 8] and all(r.total_ticket == 0 for r in got)

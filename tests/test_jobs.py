@@ -1,10 +1,13 @@
+import os
+
 import pytest
 
 from conftest import rows
 from tillroll import operators as op
 from tillroll.plans import jobs
 from tillroll.plans.registry import QUERIES, present
-from tillroll.sources import AS_OF, MappedTables, TestdataTables, write_output
+from tillroll.sources import MappedTables, write_output
+from tillroll.testdata import AS_OF, EVENTS_AS_OF, TestdataTables
 
 SF = "/root/testdata/sf0.001"
 
@@ -19,7 +22,7 @@ def test_cleaning_stage_publishes_nine_tables(spark, tmp_path):
     t = TestdataTables(spark, SF)
     res = jobs.run_cleaning(spark, t, str(tmp_path / "silver"), "silver_test", AS_OF)
     assert res.status == "SUCCESS" and len(res.rows) == 10
-    assert res.rows["orders_amount_quarantined"] == 0
+    assert res.rows["rejected_orders"] == 0
     tables = {r.tableName for r in spark.sql("SHOW TABLES IN silver_test").collect()}
     assert tables == {"customers", "orders", *jobs.PASSTHROUGH_TABLES}
     ext = spark.sql("DESCRIBE TABLE EXTENDED silver_test.orders").collect()
@@ -67,13 +70,16 @@ def test_csv_to_parquet(spark, tmp_path):
 def test_other_jobs_write(spark, tmp_path):
     t = TestdataTables(spark, SF)
     assert jobs.run_churn(spark, t, str(tmp_path / "churn"), AS_OF).rows["churn_risk"] == 25
-    assert jobs.run_fraud(spark, t, str(tmp_path / "fraud"), AS_OF).rows["high_risk_customers"] == 1
+    assert jobs.run_fraud(spark, t, str(tmp_path / "fraud"), AS_OF, EVENTS_AS_OF).rows["high_risk_customers"] == 1
     res = jobs.run_top_customers(spark, t, str(tmp_path / "top"), AS_OF, country_like="NATION_1%",
                                  audit_base=str(tmp_path / "top_audit"))
     assert res.rows["top_customers"] == 59
-    assert jobs.run_omni(spark, t, str(tmp_path / "omni"), AS_OF).rows["profile"] == 65
-    mat = jobs.materialize(op.churn_risk(t.orders(), AS_OF), "churn")
-    assert mat.count() == 25
+    assert jobs.run_omni(spark, t, str(tmp_path / "omni"), AS_OF, events_as_of=EVENTS_AS_OF).rows["profile"] == QUERIES["omni_profile_reference"](spark, SF).count()
+    with jobs.materialized(op.churn_risk(t.orders(), AS_OF), "churn") as stored:
+        assert stored.count() == 25
+        files = stored.inputFiles()
+        assert files and all(os.path.exists(f.removeprefix("file://")) for f in files)
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in files)
 
 
 def test_all_jobs_bronze_to_gold(spark, tmp_path):
@@ -84,7 +90,8 @@ def test_all_jobs_bronze_to_gold(spark, tmp_path):
         "customers", "order_items", "products", "loginhistory", "usage_history",
         "customersupport", "enterprisecampaigns", "historical_customer_sales"]}
         | {"orders": t.sales_orders()})
-    res = jobs.run_all_jobs(spark, bronze, str(tmp_path / "lake"), "silver_pipe", AS_OF, country_like="NATION_1%")
+    res = jobs.run_all_jobs(spark, bronze, str(tmp_path / "lake"), "silver_pipe", AS_OF, country_like="NATION_1%",
+                            events_as_of=EVENTS_AS_OF)
     assert all(r.status == "SUCCESS" for r in res.values())
     assert set(res["sales_trends"].rows) >= {"peak_sales_months", "yoy_comparison"}
     # gold sales trends read silver orders = the cleaned current orders

@@ -70,29 +70,34 @@ def test_dq_gate(spark):
     ok = spark.createDataFrame([(1,), (2,)], "k bigint")
     assert op.dq_gate(ok, "t", "k") == 2
     assert op.dq_gate(ok, "t") == 2
-    with pytest.raises(op.DataQualityError, match="0 records"):
+    with pytest.raises(op.DataQualityError, match="is empty"):
         op.dq_gate(ok.filter("k > 5"), "t", "k")
-    with pytest.raises(op.DataQualityError, match="1 NULLs in k"):
+    with pytest.raises(op.DataQualityError, match="1 rows of t lack k"):
         op.dq_gate(spark.createDataFrame([(1,), (None,)], "k bigint"), "t", "k")
     rep = op.dq_report({"a": (ok, "k"), "b": (ok.filter("k > 5"), None)})
     assert rows(rep) == [("a", 2, 0, True), ("b", 0, 0, False)]
 
 
-def test_amount_overflow_is_quarantined_not_fatal(spark, tmp_path):
+def test_overflowing_amounts_are_kept_apart(spark, tmp_path):
     from tillroll.plans import jobs
     from tillroll.sources import MappedTables
 
     c = cust(spark, [base(1, "a@b.co")])
-    o = spark.createDataFrame([(1, 1, dt.datetime(2024, 6, 1), "F", 5.0),
-                               (2, 1, dt.datetime(2024, 6, 1), "F", 1e12)], ORD)   # does not fit (10,2)
+    day = dt.datetime(2024, 6, 1)
+    o = spark.createDataFrame([(1, 1, day, "F", 5.0), (2, 1, day, "F", 1e12), (3, 1, day, "F", -1e12),
+                               (4, 1, day, "F", 99_999_999.99), (5, 1, day, "F", 99_999_999.996)], ORD)
     empty = spark.createDataFrame([], "x int")
     bronze = MappedTables({"customers": c, "orders": o} | {n: empty for n in jobs.PASSTHROUGH_TABLES})
     res = jobs.run_cleaning(spark, bronze, str(tmp_path / "s"), "silver_q", AS_OF, audit=False)
-    assert res.rows["orders"] == 2 and res.rows["orders_amount_quarantined"] == 1
+    assert res.rows["orders"] == 2 and res.rows["rejected_orders"] == 2
+    silver = spark.read.table("silver_q.orders")
+    assert rows(silver, "order_id") == [(1,), (4,)] and silver.filter("total_amount IS NULL").isEmpty()
+    assert rows(spark.read.parquet(str(tmp_path / "s" / "rejected_orders")), "order_id", "total_amount") == [
+        (2, 1e12), (5, 99_999_999.996)]
 
 
 def test_clean_orders_same_with_ids_only(spark):
-    from tillroll.sources import TestdataTables
+    from tillroll.testdata import TestdataTables
 
     t = TestdataTables(spark, "/root/testdata/sf0.001")
     full = op.clean_orders(t.orders(), op.clean_customers(t.customers()), "2001-08-01")

@@ -1,3 +1,7 @@
+from types import SimpleNamespace
+
+import pytest
+
 from tillroll.session import MB, checkpoint_root, scale_conf
 
 
@@ -11,3 +15,6 @@ def test_scale_conf_sizes_partitions():
 
 def test_checkpoint_root_reads_session_setting(spark):
     assert checkpoint_root(spark) == spark.conf.get("spark.checkpoint.dir")
+    unset = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default))
+    with pytest.raises(RuntimeError, match="shared folder"):
+        checkpoint_root(unset)

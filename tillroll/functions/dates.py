@@ -1,6 +1,7 @@
 """Date helpers. ``as_of`` is always an explicit date, never the wall clock,
-so results are reproducible and the bound folds into a constant that
-reaches the parquet scan as a pushed filter."""
+so results are reproducible and the bound folds into a constant. It reaches
+the parquet scan as a pushed filter where the compared column is a column of
+the file as it stands (or a cast that Catalyst unwraps)."""
 
 from __future__ import annotations
 

@@ -18,6 +18,7 @@ from tillroll.operators.quality import (
     dq_gate,
     dq_metrics,
     dq_report,
+    rejected_orders,
 )
 from tillroll.operators.ranking import customer_spending, top_customers_by_country
 from tillroll.operators.risk import churn_risk, high_risk_customers, high_risk_orders, suspicious_logins
@@ -58,6 +59,7 @@ __all__ = [
     "previous_value",
     "product_mom_growth",
     "purchase_activity",
+    "rejected_orders",
     "retention_rate",
     "sales_fact",
     "sales_fact_all",

@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.functions.dates import trailing_window
 
@@ -17,6 +18,7 @@ CLICKED = "Clicked"
 TICKET_OPEN = "Open"
 TICKET_RESOLVED = "Resolved"
 
+# Names of the counts per source and in the profile.
 _SOURCE_COUNTS = [
     "EmailsOpened", "EmailsClicked", "AdClicks", "AdViews",
     "purchases", "total_spent", "TotalTickets", "OpenTickets", "ResolvedTickets",
@@ -27,19 +29,24 @@ COUNT_COLUMNS = [
 ]
 
 
-def flatten_interactions(campaigns: DataFrame) -> DataFrame:
+def flatten_interactions(campaigns: DataFrame, as_of: dt.date | str | None = None, days: int = 90) -> DataFrame:
     """One row per interaction (explode drops NULL and empty arrays), with the
-    campaign id and the campaign's Opens/Clicks repeated.
+    campaign id and the campaign's Opens/Clicks repeated. With ``as_of`` only
+    interactions of the trailing window: the arrays are filtered before they
+    are exploded, so old interactions never become rows.
 
     Output: CustomerID, CampaignID, Opens, Clicks, InteractionID, Timestamp,
     Channel, Action. Narrow: no shuffle.
     """
+    interactions = F.col("Interactions")
+    if as_of is not None:
+        interactions = F.filter(interactions, lambda x: trailing_window(x["Timestamp"], as_of, days))
     return campaigns.select(
         "CustomerID",
         "CampaignID",
         F.col("Engagement.Opens").alias("Opens"),
         F.col("Engagement.Clicks").alias("Clicks"),
-        F.explode("Interactions").alias("Interaction"),
+        F.explode(interactions).alias("Interaction"),
     ).select(
         "CustomerID", "CampaignID", "Opens", "Clicks",
         F.col("Interaction.InteractionID").alias("InteractionID"),
@@ -113,6 +120,7 @@ def omni_profile_reference(
     days: int = 90,
     ordered: bool = True,
     dataframe_form: bool = False,
+    events_as_of: dt.date | str | None = None,
 ) -> DataFrame:
     """The profile exactly as the reference's SQL form joins it.
 
@@ -131,10 +139,16 @@ def omni_profile_reference(
     match itself and yields two rows (e-mail half, ad half), reproduced here
     with a two-element explode on that group alone.
 
+    ``events_as_of`` is the date for interactions and tickets where it differs
+    from the orders'. Equal amounts are ordered by the ids of the three sides,
+    so the range shuffle of the sort can cut between customers who spent the
+    same (most profiles spent nothing).
+
     Output: customer_id, emails_opened, emails_clicked, ad_clicks, ad_views,
     purchases, total_spent, total_ticket, open_ticket, resolved_ticket.
     """
-    ea = channel_engagement(engagement, as_of, days)
+    events_as_of = events_as_of or as_of
+    ea = channel_engagement(engagement, events_as_of, days)
     halves = F.when(F.col("CustomerID").isNull(), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(0)))
     ea = ea.select("*", F.explode(halves).alias("_half")).select(
         F.col("CustomerID").alias("_ad_id"),
@@ -144,7 +158,7 @@ def omni_profile_reference(
         F.when(F.col("_half") != 1, F.col("AdViews")).alias("AdViews"),
     )
     p = purchase_activity(orders, as_of, days)
-    s = support_activity(tickets, as_of, days).withColumnRenamed("CustomerID", "_support_id")
+    s = support_activity(tickets, events_as_of, days).withColumnRenamed("CustomerID", "_support_id")
     ea_p = ea.join(p, ea["_ad_id"] == p["customer_id"], "full_outer")
     # The support side joins on the ad side's id, which is NULL for every
     # buyer without engagement. NULL never matches, but all those rows would
@@ -163,24 +177,22 @@ def omni_profile_reference(
         "full_outer",
     )
     if dataframe_form:
-        out = joined.select(
-            F.coalesce("_ad_id", "customer_id", "_support_id").alias("customer_id"),
-            *[F.col(src).alias(dst) for src, dst in zip(_SOURCE_COUNTS, COUNT_COLUMNS)],
-        )
-        return out.orderBy(F.desc("total_spent")) if ordered else out
-    out = joined.select(
-        F.col("customer_id"),
-        _zero("EmailsOpened").alias("emails_opened"),
-        _zero("EmailsClicked").alias("emails_clicked"),
-        _zero("AdClicks").alias("ad_clicks"),
-        _zero("AdViews").alias("ad_views"),
-        _zero("purchases").alias("purchases"),
-        _zero("total_spent").alias("total_spent"),
-        _zero("TotalTickets").alias("total_ticket"),
-        _zero("OpenTickets").alias("open_ticket"),
-        _zero("ResolvedTickets").alias("resolved_ticket"),
-    )
-    return out.orderBy(F.desc("total_spent")) if ordered else out
+        joined = joined.withColumns({dst: F.col(src) for src, dst in zip(_SOURCE_COUNTS, COUNT_COLUMNS) if src != dst})
+        profile_id = F.coalesce("_ad_id", "customer_id", "_support_id")
+    else:
+        joined = joined.withColumns({dst: _zero(src) for src, dst in zip(_SOURCE_COUNTS, COUNT_COLUMNS)})
+        profile_id = F.col("customer_id")
+    if ordered:
+        joined = joined.orderBy(F.desc("total_spent"), "customer_id", "_ad_id", "_support_id")
+    return joined.select(profile_id.alias("customer_id"), *COUNT_COLUMNS)
+
+
+def _common_id_type(*types: T.DataType) -> T.DataType:
+    """One type for the customer ids of all sources: their own where they
+    agree, bigint for integers, else string."""
+    if all(t == types[0] for t in types):
+        return types[0]
+    return T.LongType() if all(isinstance(t, T.IntegralType) for t in types) else T.StringType()
 
 
 def omni_profile_unified(
@@ -190,6 +202,7 @@ def omni_profile_unified(
     as_of: dt.date | str,
     days: int = 90,
     ordered: bool = True,
+    events_as_of: dt.date | str | None = None,
 ) -> DataFrame:
     """One row per customer id seen in any of the three sources, counts
     COALESCEd to 0 (the profile the reference's DataFrame form aims at).
@@ -197,58 +210,43 @@ def omni_profile_unified(
     Plan: the three filtered sources are projected to one shape, unioned,
     and aggregated once by customer id. Partial aggregation runs per input
     partition before the single shuffle, instead of three aggregates and
-    three full outer joins. NULL ids from all sources form one group.
+    three full outer joins. NULL ids from all sources form one group. Ids keep
+    their type; orders and tickets are counted by flags, so their ids of any
+    type never leave the scan.
 
     Output columns as ``omni_profile_reference``.
     """
-    null_bool = F.lit(None).cast("boolean")
-    null_id = F.lit(None).cast("bigint")
-    eng = engagement.filter(trailing_window("Timestamp", as_of, days)).select(
-        F.col("CustomerID").cast("bigint").alias("customer_id"),
-        _is(OPENED, EMAIL_CHANNELS).alias("e_open"),
-        _is(CLICKED, EMAIL_CHANNELS).alias("e_click"),
-        _is(CLICKED, AD_CHANNELS).alias("a_click"),
-        _is(OPENED, AD_CHANNELS).alias("a_view"),
-        null_id.alias("order_id"),
-        F.lit(None).cast(orders.schema["total_amount"].dataType).alias("amount"),
-        null_id.alias("ticket_id"),
-        null_bool.alias("t_open"),
-        null_bool.alias("t_resolved"),
+    events_as_of = events_as_of or as_of
+    id_type = _common_id_type(
+        engagement.schema["CustomerID"].dataType, orders.schema["customer_id"].dataType, tickets.schema["CustomerID"].dataType
     )
-    buy = orders.filter(trailing_window("order_date", as_of, days)).select(
-        F.col("customer_id").cast("bigint").alias("customer_id"),
-        null_bool.alias("e_open"), null_bool.alias("e_click"),
-        null_bool.alias("a_click"), null_bool.alias("a_view"),
-        F.col("order_id").cast("bigint").alias("order_id"),
-        F.col("total_amount").alias("amount"),
-        null_id.alias("ticket_id"), null_bool.alias("t_open"), null_bool.alias("t_resolved"),
-    )
-    sup = tickets.filter(trailing_window("Timestamp", as_of, days)).select(
-        F.col("CustomerID").cast("bigint").alias("customer_id"),
-        null_bool.alias("e_open"), null_bool.alias("e_click"),
-        null_bool.alias("a_click"), null_bool.alias("a_view"),
-        null_id.alias("order_id"),
-        F.lit(None).cast(orders.schema["total_amount"].dataType).alias("amount"),
-        F.col("TicketID").cast("bigint").alias("ticket_id"),
-        (F.col("Status") == TICKET_OPEN).alias("t_open"),
-        (F.col("Status") == TICKET_RESOLVED).alias("t_resolved"),
-    )
-    out = (
-        eng.unionByName(buy).unionByName(sup)
-        .groupBy("customer_id")
-        .agg(
-            F.count_if("e_open").alias("emails_opened"),
-            F.count_if("e_click").alias("emails_clicked"),
-            F.count_if("a_click").alias("ad_clicks"),
-            F.count_if("a_view").alias("ad_views"),
-            F.count("order_id").alias("purchases"),
-            _zero_sum("amount").alias("total_spent"),
-            F.count("ticket_id").alias("total_ticket"),
-            F.count_if("t_open").alias("open_ticket"),
-            F.count_if("t_resolved").alias("resolved_ticket"),
+    flags = {
+        "emails_opened": _is(OPENED, EMAIL_CHANNELS), "emails_clicked": _is(CLICKED, EMAIL_CHANNELS),
+        "ad_clicks": _is(CLICKED, AD_CHANNELS), "ad_views": _is(OPENED, AD_CHANNELS),
+        "purchases": F.col("order_id").isNotNull(),
+        "total_ticket": F.col("TicketID").isNotNull(),
+        "open_ticket": F.col("Status") == TICKET_OPEN, "resolved_ticket": F.col("Status") == TICKET_RESOLVED,
+    }
+
+    def shaped(df: DataFrame, id_column: str, own: list[str], amount: Column) -> DataFrame:
+        return df.select(
+            F.col(id_column).cast(id_type).alias("customer_id"),
+            *[(flags[c] if c in own else F.lit(False)).alias(c) for c in flags],
+            amount.cast(orders.schema["total_amount"].dataType).alias("total_spent"),
         )
+
+    names = list(flags)
+    everything = (
+        shaped(engagement.filter(trailing_window("Timestamp", events_as_of, days)), "CustomerID", names[:4], F.lit(None))
+        .unionByName(shaped(orders.filter(trailing_window("order_date", as_of, days)), "customer_id", names[4:5],
+                            F.col("total_amount")))
+        .unionByName(shaped(tickets.filter(trailing_window("Timestamp", events_as_of, days)), "CustomerID", names[5:],
+                            F.lit(None)))
     )
-    return out.orderBy(F.desc("total_spent")) if ordered else out
+    out = everything.groupBy("customer_id").agg(*[
+        _zero_sum(c).alias(c) if c == "total_spent" else F.count_if(c).alias(c) for c in COUNT_COLUMNS
+    ])
+    return out.orderBy(F.desc("total_spent"), "customer_id") if ordered else out
 
 
 def _zero_sum(c: str) -> Column:

@@ -54,10 +54,23 @@ def clean_customer_ids(customers: DataFrame, strict_email: bool = False) -> Data
     )
 
 
+AMOUNT = "decimal(10,2)"
+
+
+def _wanted_orders(orders: DataFrame, as_of: dt.date | str) -> DataFrame:
+    return orders.filter(
+        F.col("order_id").isNotNull()
+        & F.col("customer_id").isNotNull()
+        & (F.col("total_amount") > 0)
+        & (F.to_date("order_date") <= as_of_date(as_of))
+    )
+
+
 def clean_orders(orders: DataFrame, customers_clean: DataFrame, as_of: dt.date | str) -> DataFrame:
     """Orders with an id, of a clean customer, amount > 0, dated on or before
     ``as_of`` (compared as dates, so an order later on the as-of day stays);
-    amount as decimal(10,2); distinct rows.
+    amount as decimal(10,2); distinct rows. Amounts that do not fit that type
+    are left out: ``rejected_orders`` has them.
 
     Output: order_id, customer_id, order_date, status, total_amount.
 
@@ -67,19 +80,15 @@ def clean_orders(orders: DataFrame, customers_clean: DataFrame, as_of: dt.date |
     skewed customer partition.
     """
     valid = (
-        orders.filter(
-            F.col("order_id").isNotNull()
-            & F.col("customer_id").isNotNull()
-            & (F.col("total_amount") > 0)
-            & (F.to_date("order_date") <= as_of_date(as_of))
-        )
+        _wanted_orders(orders, as_of)
         .select(
             "order_id",
             "customer_id",
             "order_date",
             "status",
-            F.col("total_amount").try_cast("decimal(10,2)").alias("total_amount"),
+            F.col("total_amount").try_cast(AMOUNT).alias("total_amount"),
         )
+        .filter(F.col("total_amount").isNotNull())
         .distinct()
     )
     return valid.join(customers_clean.select("customer_id"), "customer_id", "left_semi").select(
@@ -87,6 +96,12 @@ def clean_orders(orders: DataFrame, customers_clean: DataFrame, as_of: dt.date |
     )
 
 
+def rejected_orders(orders: DataFrame, as_of: dt.date | str) -> DataFrame:
+    """Orders that ``clean_orders`` would take but for an amount beyond
+    decimal(10,2), with all their columns."""
+    return _wanted_orders(orders, as_of).filter(F.col("total_amount").try_cast(AMOUNT).isNull())
+
+
 class DataQualityError(Exception):
     """Raised by ``dq_gate`` when a table is empty or its key has NULLs."""
 
@@ -120,7 +135,7 @@ def dq_gate(df: DataFrame, table_name: str, key: str | None = None) -> int:
     otherwise return the row count. One action."""
     row = dq_metrics(df, table_name, key).first()
     if row.record_count == 0:
-        raise DataQualityError(f"[DQ CHECK] {table_name} has 0 records.")
+        raise DataQualityError(f"quality gate: table {table_name} is empty")
     if row.null_key_count > 0:
-        raise DataQualityError(f"[DQ CHECK] {table_name} has {row.null_key_count} NULLs in {key}.")
+        raise DataQualityError(f"quality gate: {row.null_key_count} rows of {table_name} lack {key}")
     return int(row.record_count)

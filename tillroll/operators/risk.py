@@ -46,7 +46,7 @@ def churn_risk(
         days_since("last_order_date", as_of).alias("days_since_last_purchase"),
         gap.alias("avg_order_gap"),
     ).filter(F.col("days_since_last_purchase") > F.col("avg_order_gap") * gap_factor)
-    return out.orderBy(F.desc("days_since_last_purchase")) if ordered else out
+    return out.orderBy(F.desc("days_since_last_purchase"), "customer_id") if ordered else out
 
 
 def suspicious_logins(
@@ -106,14 +106,15 @@ def high_risk_customers(
     max_attempts: int = 10,
     min_spent: float = 5000,
     max_orders: int = 5,
+    logins_as_of: dt.date | str | None = None,
 ) -> DataFrame:
     """Distinct customer ids flagged by both ``suspicious_logins`` and
-    ``high_risk_orders``.
+    ``high_risk_orders``. ``logins_as_of`` is the logins' date where it differs.
 
     Both sides are already one row per customer and hash-partitioned by
     customer_id, so the join reuses that partitioning; Catalyst drops the
     redundant DISTINCT.
     """
-    s = suspicious_logins(logins, as_of, days, max_ips, max_attempts).select("customer_id")
+    s = suspicious_logins(logins, logins_as_of or as_of, days, max_ips, max_attempts).select("customer_id")
     h = high_risk_orders(orders, as_of, days, min_spent, max_orders).select("customer_id")
     return s.join(h, "customer_id").distinct()

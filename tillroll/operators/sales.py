@@ -50,12 +50,12 @@ def align_history(history: DataFrame) -> DataFrame:
     """Cast the history table to the fact's column types (nine casts).
 
     Ids stay 64-bit (the reference narrows them to int, which overflows once
-    keys pass 2**31), the order date is a date, money keeps its decimals.
+    keys pass 2**31), the order date keeps its time of day, money its decimals.
     """
     return history.select(
         F.col("order_id").cast("bigint").alias("order_id"),
         F.col("customer_id").cast("bigint").alias("customer_id"),
-        F.to_date("order_date").alias("order_date"),
+        F.col("order_date").cast("timestamp_ntz").alias("order_date"),
         F.col("product_id").cast("bigint").alias("product_id"),
         F.col("quantity").cast("int").alias("quantity"),
         F.col("unit_price").cast("decimal(10,2)").alias("unit_price"),
@@ -65,24 +65,16 @@ def align_history(history: DataFrame) -> DataFrame:
     )
 
 
-def sales_fact_all(current: DataFrame, history: DataFrame, current_flag: str | None = None) -> DataFrame:
-    """Current lines ∪ aligned history, matched by column name.
-
-    ``current_flag`` adds a boolean column of that name (true for current
-    lines), so one stored table can serve both the full fact and the
-    current-only segments.
-    """
+def sales_fact_all(current: DataFrame, history: DataFrame) -> DataFrame:
+    """Current lines ∪ aligned history, matched by column name. Order dates
+    are timestamps: a date is its midnight."""
     cur = current.select(
         F.col("order_id").cast("bigint").alias("order_id"),
         F.col("customer_id").cast("bigint").alias("customer_id"),
-        F.to_date("order_date").alias("order_date"),
+        F.col("order_date").cast("timestamp_ntz").alias("order_date"),
         *[F.col(c) for c in FACT_COLUMNS[3:]],
     )
-    hist = align_history(history)
-    if current_flag:
-        cur = cur.withColumn(current_flag, F.lit(True))
-        hist = hist.withColumn(current_flag, F.lit(False))
-    return cur.unionByName(hist)
+    return cur.unionByName(align_history(history))
 
 
 def _sum_type(df: DataFrame, col: str) -> T.DataType:
@@ -109,7 +101,7 @@ def peak_sales_months(fact: DataFrame, ordered: bool = True) -> DataFrame:
     out = fact.groupBy(_month_start()).agg(F.sum("sales_amount").alias("monthly_product_sales")).select(
         _year_month(), "monthly_product_sales"
     )
-    return out.orderBy(F.desc("monthly_product_sales")) if ordered else out
+    return out.orderBy(F.desc("monthly_product_sales"), "year_month") if ordered else out
 
 
 def top_customers(fact: DataFrame, k: int = 5) -> DataFrame:
@@ -119,16 +111,13 @@ def top_customers(fact: DataFrame, k: int = 5) -> DataFrame:
     return top_k(totals, k, [F.desc("_total")], ["customer_id"]).select("customer_id")
 
 
-# Largest top-k side that is broadcast explicitly (k rows of one bigint id).
-BROADCAST_MAX_ROWS = 100_000
-
-
-def _top_lines(fact: DataFrame, k: int) -> DataFrame:
-    # The top-k side has at most k rows: a proven bound, so it is broadcast
-    # and the fact is joined without a shuffle. Beyond the cap the join is
-    # left to Spark/AQE, which choose by measured size.
-    top = top_customers(fact, k)
-    return fact.join(F.broadcast(top) if k <= BROADCAST_MAX_ROWS else top, "customer_id")
+def _top_lines(pre: DataFrame, k: int) -> DataFrame:
+    """Rows of the top-``k`` customers of an aggregate by (customer_id, _month,
+    product_id) with ``monthly_sales``. Totals and rows read the aggregate with
+    the same columns, so one shuffle of the fact serves both."""
+    totals = pre.groupBy("customer_id").agg(F.sum("monthly_sales").alias("_total"))
+    top = top_k(totals, k, [F.desc("_total")], ["customer_id"]).select("customer_id")
+    return pre.join(top, "customer_id")
 
 
 def _attach_products(pre: DataFrame, products: DataFrame, keys: list[str], sums: dict[str, str]) -> DataFrame:
@@ -152,12 +141,12 @@ def top_customer_products(fact: DataFrame, products: DataFrame, k: int = 5, orde
     sales descending. Lines are aggregated per (customer, month, product)
     before the product join, which then carries one row per group.
     """
-    pre = _top_lines(fact, k).groupBy("customer_id", _month_start(), "product_id").agg(
+    pre = fact.groupBy("customer_id", _month_start(), "product_id").agg(
         F.count("product_id").alias("product_count"),
         F.sum("sales_amount").alias("monthly_sales"),
-    )
+    ).filter(F.col("product_count") >= 0)  # always so: keeps the column in both uses, so that they share a shuffle
     agg = _attach_products(
-        pre, products, ["customer_id", "_month", "product_id"],
+        _top_lines(pre, k), products, ["customer_id", "_month", "product_id"],
         {"product_count": "bigint", "monthly_sales": _sum_type(fact, "sales_amount")},
     )
     out = agg.select("customer_id", _year_month(), "product_count", "product_name", "category", "monthly_sales")
@@ -256,13 +245,13 @@ def yoy_comparison(fact: DataFrame, products: DataFrame, k: int = 5, ordered: bo
     Output: customer_id, product_id, product_name, category, sales_year,
     sales_month, monthly_sales, prev_year_sales, yoy_growth_percent.
     """
-    pre = _top_lines(fact, k).groupBy(
-        "customer_id", "product_id",
-        F.year("order_date").alias("sales_year"),
-        F.month("order_date").alias("sales_month"),
-    ).agg(F.sum("sales_amount").alias("monthly_sales"))
+    pre = fact.groupBy("customer_id", _month_start(), "product_id").agg(F.sum("sales_amount").alias("monthly_sales"))
+    lines = _top_lines(pre, k).select(
+        "customer_id", "product_id", F.year("_month").alias("sales_year"), F.month("_month").alias("sales_month"),
+        "monthly_sales",
+    )
     agg = _attach_products(
-        pre, products, ["customer_id", "product_id", "sales_year", "sales_month"],
+        lines, products, ["customer_id", "product_id", "sales_year", "sales_month"],
         {"monthly_sales": _sum_type(fact, "sales_amount")},
     )
     with_prev = previous_value(

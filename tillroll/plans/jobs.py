@@ -9,19 +9,19 @@ Jobs that reuse one large intermediate (the sales fact feeds seven outputs)
 write it once as a parquet table partitioned by year and month under the
 shared checkpoint folder and read it back: executors lost later re-read
 those files instead of recomputing the joins, and month filters prune
-partitions.
+partitions. The files go when the outputs are written.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tillroll import operators as op
 from tillroll.session import scratch_path
@@ -50,8 +50,10 @@ class JobResult:
     end_time: dt.datetime | None = None
 
 
-def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` under the shared checkpoint folder and read it back.
+@contextmanager
+def materialized(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Iterator[DataFrame]:
+    """``df`` written under the shared checkpoint folder and read back, for
+    the length of a ``with`` block; the files are deleted after it.
 
     Cuts the lineage: later stages and retries after executor loss read the
     files. The folder comes from ``spark.checkpoint.dir``.
@@ -61,12 +63,15 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     # REBALANCE lets AQE coalesce small partitions and split skewed ones
     # before the write: a few files per (year, month) folder, and a month
     # holding a third of the rows is spread over several tasks.
-    df = df.hint("rebalance", *(partition_by or []))
-    writer = df.write.mode("overwrite")
+    writer = df.hint("rebalance", *(partition_by or [])).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return spark.read.parquet(path)
+    try:
+        writer.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def _run(
@@ -106,6 +111,8 @@ def run_cleaning(
     all nine as external tables under ``target_root/<name>``, audit with
     the clean customer count.
 
+    Orders whose amount does not fit go to ``target_root/rejected_orders``.
+
     ``order_buckets=n`` publishes orders and order_items bucketed by
     ``order_id`` into ``n`` buckets, so the sales fact's largest join
     (orders ⋈ order_items) reads co-partitioned buckets instead of shuffling
@@ -124,13 +131,11 @@ def run_cleaning(
         # Orders are checked against the published customers: the cleaned
         # set is read back instead of being recomputed.
         published = spark.read.table(f"{database}.customers")
-        orders = op.clean_orders(bronze.table("orders"), published, as_of)
-        # Amounts that do not fit decimal(10,2) become NULL (try_cast); their
-        # number is observed during the same write and reported.
-        quarantine = Observation("orders_quarantine")
-        orders = orders.observe(quarantine, F.count_if(F.col("total_amount").isNull()).alias("n"))
-        rows["orders"] = publish_table(orders, f"{root}/orders", database, "orders", bucket_by=by_order)
-        rows["orders_amount_quarantined"] = int(quarantine.get["n"])
+        orders = bronze.table("orders")
+        rows["orders"] = publish_table(
+            op.clean_orders(orders, published, as_of), f"{root}/orders", database, "orders", bucket_by=by_order)
+        # Amounts that do not fit decimal(10,2) are kept apart for a look.
+        rows["rejected_orders"] = write_output(op.rejected_orders(orders, as_of), f"{root}/rejected_orders")
         # The seven copies are independent: submitted from several driver
         # threads, their small stages share the cores.
         def copy(name: str) -> int:
@@ -151,10 +156,14 @@ def run_churn(spark: SparkSession, tables: Tables, output_path: str, as_of: dt.d
     })
 
 
-def run_fraud(spark: SparkSession, tables: Tables, output_path: str, as_of: dt.date) -> JobResult:
+def run_fraud(
+    spark: SparkSession, tables: Tables, output_path: str, as_of: dt.date, events_as_of: dt.date | None = None
+) -> JobResult:
     return _run(spark, "fraud", None, lambda: {
         "high_risk_customers": write_output(
-            op.high_risk_customers(tables.table("orders"), tables.table("loginhistory"), as_of), output_path
+            op.high_risk_customers(
+                tables.table("orders"), tables.table("loginhistory"), as_of, logins_as_of=events_as_of
+            ), output_path
         )
     })
 
@@ -184,18 +193,20 @@ def run_omni(
     output_path: str,
     as_of: dt.date,
     unified: bool = False,
+    events_as_of: dt.date | None = None,
 ) -> JobResult:
     """Omni-channel profile; ``unified=False`` reproduces the reference's joins."""
-    engagement = op.flatten_interactions(tables.table("enterprisecampaigns"))
+    engagement = op.flatten_interactions(tables.table("enterprisecampaigns"), events_as_of or as_of)
     tickets = op.support_view(tables.table("customersupport"))
     build = op.omni_profile_unified if unified else op.omni_profile_reference
     return _run(spark, "omni_channel", None, lambda: {
-        "profile": write_output(build(engagement, tables.table("orders"), tickets, as_of), output_path)
+        "profile": write_output(
+            build(engagement, tables.table("orders"), tickets, as_of, events_as_of=events_as_of), output_path)
     })
 
 
-def sales_outputs(fact: DataFrame, current: DataFrame, products: DataFrame) -> dict[str, DataFrame]:
-    """The seven sales-trend results over a (materialised) fact."""
+def sales_outputs(fact: DataFrame, products: DataFrame) -> dict[str, DataFrame]:
+    """The six written sales-trend results over a (materialised) fact."""
     return {
         "peak_sales_months": op.peak_sales_months(fact),
         "top_customers": op.top_customer_products(fact, products),
@@ -203,7 +214,6 @@ def sales_outputs(fact: DataFrame, current: DataFrame, products: DataFrame) -> d
         "retention_rate_pct": op.retention_rate(fact),
         "month_over_month_growth_pct": op.product_mom_growth(fact, products),
         "yoy_comparison": op.yoy_comparison(fact, products),
-        "customer_segmented": op.customer_segments(current),
     }
 
 
@@ -214,7 +224,7 @@ def run_sales_trends(
     orders_table: str = "orders",
     concurrency: int = 4,
 ) -> JobResult:
-    """Sales trends: the fact (current and history lines, flagged) is built
+    """Sales trends: the fact (current and history lines) is built
     and written once, partitioned by year and month; six results are written
     under ``output_path/<name>`` (``concurrency`` writes at a time), and the
     customer segments (current lines only) are registered as the temp view
@@ -225,14 +235,11 @@ def run_sales_trends(
     def body() -> dict[str, int]:
         products = tables.table("products")
         current = op.sales_fact(tables.table(orders_table), tables.table("order_items"), products)
-        stored = materialize(
-            op.sales_fact_all(current, tables.table("historical_customer_sales"), current_flag="_current"),
-            "sales_fact_all", ["order_year", "order_month"],
-        )
-        fact = stored.drop("_current")
-        outputs = sales_outputs(fact, stored.filter("_current").drop("_current"), products)
-        outputs.pop("customer_segmented").createOrReplaceTempView("customer_segmented")
-        return write_outputs(outputs, root, concurrency=concurrency)
+        history = tables.table("historical_customer_sales")
+        # The view outlives the stored fact, so it stands on the tables.
+        op.customer_segments(current).createOrReplaceTempView("customer_segmented")
+        with materialized(op.sales_fact_all(current, history), "sales_fact_all", ["order_year", "order_month"]) as fact:
+            return write_outputs(sales_outputs(fact, products), root, concurrency=concurrency)
 
     return _run(spark, "sales_trends", None, body)
 
@@ -264,6 +271,7 @@ def run_all_jobs(
     as_of: dt.date,
     country_like: str = "United %",
     order_buckets: int | None = None,
+    events_as_of: dt.date | None = None,
 ) -> dict[str, JobResult]:
     """Bronze -> silver -> gold in dependency order.
 
@@ -279,10 +287,10 @@ def run_all_jobs(
     silver = CatalogTables(spark, database)
     gold = f"{root}/gold"
     results["churn"] = run_churn(spark, silver, f"{gold}/churn", as_of)
-    results["fraud"] = run_fraud(spark, silver, f"{gold}/fraud", as_of)
+    results["fraud"] = run_fraud(spark, silver, f"{gold}/fraud", as_of, events_as_of)
     results["top_customers"] = run_top_customers(
         spark, silver, f"{gold}/top_customers", as_of, country_like, audit_base=gold
     )
-    results["omni_channel"] = run_omni(spark, silver, f"{gold}/omni_channel", as_of)
+    results["omni_channel"] = run_omni(spark, silver, f"{gold}/omni_channel", as_of, events_as_of=events_as_of)
     results["sales_trends"] = run_sales_trends(spark, silver, f"{gold}/sales_trends")
     return results

@@ -2,7 +2,8 @@
 
 Every callable takes ``(spark, sf_dir)`` and returns a DataFrame without
 running it. Entities come from ``TestdataTables`` (see its mapping); the
-as-of date is the last order date of the generated data. For comparison with
+as-of date is the last order date of the generated data, and for events the
+day after their last. For comparison with
 the DuckDB oracle the result is *presented* with decimals as doubles (the
 operators themselves keep decimals; the cast is the last projection).
 """
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll import operators as op
-from tillroll.sources.adapters import AS_OF, TestdataTables
+from tillroll.testdata import AS_OF, EVENTS_AS_OF, TestdataTables
 
 # The generated nations are NATION_0..NATION_24; this plays the role of the
 # reference's 'United %' pattern (10 of 25 nations match).
@@ -74,7 +75,7 @@ def q_churn_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_suspicious_logins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.suspicious_logins(_tables(spark, sf_dir).loginhistory(), AS_OF)
+    return op.suspicious_logins(_tables(spark, sf_dir).loginhistory(), EVENTS_AS_OF)
 
 
 def q_high_risk_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,7 +84,7 @@ def q_high_risk_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_high_risk_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _tables(spark, sf_dir)
-    return op.high_risk_customers(t.orders(), t.loginhistory(), AS_OF)
+    return op.high_risk_customers(t.orders(), t.loginhistory(), AS_OF, logins_as_of=EVENTS_AS_OF)
 
 
 # -- ranking -------------------------------------------------------------------
@@ -112,7 +113,7 @@ def q_flatten_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _engagement(t: TestdataTables) -> DataFrame:
-    return op.flatten_interactions(t.enterprisecampaigns())
+    return op.flatten_interactions(t.enterprisecampaigns(), EVENTS_AS_OF)
 
 
 def _tickets(t: TestdataTables) -> DataFrame:
@@ -120,7 +121,7 @@ def _tickets(t: TestdataTables) -> DataFrame:
 
 
 def q_channel_engagement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.channel_engagement(_engagement(_tables(spark, sf_dir)), AS_OF)
+    return op.channel_engagement(_engagement(_tables(spark, sf_dir)), EVENTS_AS_OF)
 
 
 def q_purchase_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,22 +129,22 @@ def q_purchase_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_support_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.support_activity(_tickets(_tables(spark, sf_dir)), AS_OF)
+    return op.support_activity(_tickets(_tables(spark, sf_dir)), EVENTS_AS_OF)
 
 
 def q_omni_profile_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _tables(spark, sf_dir)
-    return present(op.omni_profile_reference(_engagement(t), t.orders(), _tickets(t), AS_OF))
+    return present(op.omni_profile_reference(_engagement(t), t.orders(), _tickets(t), AS_OF, events_as_of=EVENTS_AS_OF))
 
 
 def q_omni_profile_dataframe_form(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _tables(spark, sf_dir)
-    return present(op.omni_profile_reference(_engagement(t), t.orders(), _tickets(t), AS_OF, dataframe_form=True))
+    return present(op.omni_profile_reference(_engagement(t), t.orders(), _tickets(t), AS_OF, dataframe_form=True, events_as_of=EVENTS_AS_OF))
 
 
 def q_omni_profile_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _tables(spark, sf_dir)
-    return present(op.omni_profile_unified(_engagement(t), t.orders(), _tickets(t), AS_OF))
+    return present(op.omni_profile_unified(_engagement(t), t.orders(), _tickets(t), AS_OF, events_as_of=EVENTS_AS_OF))
 
 
 # -- sales trends --------------------------------------------------------------
@@ -153,7 +154,8 @@ def current_fact(t: TestdataTables) -> DataFrame:
 
 
 def full_fact(t: TestdataTables) -> DataFrame:
-    return op.sales_fact_all(current_fact(t), t.historical_customer_sales())
+    """The fact as the sales job stores it, for the trend queries."""
+    return t.sales_lines()
 
 
 def q_sales_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,7 +163,8 @@ def q_sales_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_sales_fact_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return present(full_fact(_tables(spark, sf_dir)))
+    t = _tables(spark, sf_dir)
+    return present(op.sales_fact_all(current_fact(t), t.historical_customer_sales()))
 
 
 def q_peak_sales_months(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,8 +195,8 @@ def q_yoy_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_yoy_comparison_product_families(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Same query with product ids folded to ``l_partkey % 20`` so that
-    (customer, product, month) recurs across years."""
+    """Same query over product families, so that (customer, product, month)
+    recurs across years; all lines and parts take part."""
     t = _tables(spark, sf_dir, product_families=True)
     return present(op.yoy_comparison(full_fact(t), t.products()))
 

@@ -52,7 +52,7 @@ PRODUCTS = T.StructType([
 SALES_FACT = T.StructType([
     T.StructField("order_id", ID),
     T.StructField("customer_id", ID),
-    T.StructField("order_date", T.DateType()),
+    T.StructField("order_date", T.TimestampNTZType()),
     T.StructField("product_id", ID),
     T.StructField("quantity", T.IntegerType()),
     T.StructField("unit_price", MONEY),
@@ -63,7 +63,7 @@ SALES_FACT = T.StructType([
 
 LOGIN_HISTORY = T.StructType([
     T.StructField("customer_id", ID),
-    T.StructField("login_date", T.DateType()),
+    T.StructField("login_date", T.TimestampNTZType()),
     T.StructField("ip_address", T.StringType()),
 ])
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -78,24 +77,13 @@ def scale_conf(shuffle_bytes: int, total_cores: int, partition_bytes: int = 256
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for materialised intermediates.
-
-    Read from ``spark.checkpoint.dir`` (the cluster names a shared, durable
-    location there). Only when it is unset *and* the master is local, as in
-    tests, a private folder is created and registered; on a cluster a
-    machine-local folder would leave each executor writing to its own disk,
-    so an unset setting is an error there.
-    """
+    """Shared folder for materialised intermediates, from
+    ``spark.checkpoint.dir``. Unset is an error: a machine-local folder would
+    leave each executor writing to its own disk."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        root = tempfile.mkdtemp(prefix="tillroll-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
-    return root
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+    return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:

@@ -1,18 +1,15 @@
 """Entity sources and sinks."""
 
-from tillroll.sources.adapters import AS_OF, TestdataTables
 from tillroll.sources.files import read_csv_with_header, read_files
 from tillroll.sources.sinks import append_audit, audit_row, publish_table, write_output, write_outputs
 from tillroll.sources.tables import CatalogTables, MappedTables, ParquetTables, SessionTables, Tables
 
 __all__ = [
-    "AS_OF",
     "CatalogTables",
     "MappedTables",
     "ParquetTables",
     "SessionTables",
     "Tables",
-    "TestdataTables",
     "append_audit",
     "audit_row",
     "publish_table",

@@ -2,13 +2,13 @@
 
 The generated tables are TPC-H-like (customer, nation, orders, lineitem, part)
 plus an ``events`` stream. The mapping below turns them into the retail
-entities the analytics read. It is test scaffolding: in production the
-entities are catalog tables (``CatalogTables``). The oracle SQL in
-``tillroll.plans.oracle`` repeats the same expressions for DuckDB.
+entities the analytics read. It serves the registered queries and the tests;
+in production the entities are catalog tables (``CatalogTables``). The oracle
+SQL in ``tillroll.plans.oracle`` states the same mapping for DuckDB by itself.
 
-Two clocks: orders run 1995-01-01..2001-08-01, events 2024-01-01..2024-01-30,
-so event times are shifted back by ``EVENT_SHIFT_DAYS`` to land in the last
-month before ``AS_OF``.
+Two clocks: orders run 1995-01-01..2001-08-01 and are seen from ``AS_OF``,
+events 2024-01-01..2024-01-30 and are seen from ``EVENTS_AS_OF``, so the event
+window reaches the scan as a bound on the raw column.
 """
 
 from __future__ import annotations
@@ -20,10 +20,9 @@ from pyspark.sql import functions as F
 
 # Fixed values of the mapping (the oracle SQL uses the same numbers).
 AS_OF = dt.date(2001, 8, 1)             # last order date in the generated data
-EVENT_SHIFT_DAYS = 8218                 # 2024-01-01 - 8218 days = 2001-07-02
+EVENTS_AS_OF = dt.date(2024, 1, 31)     # the day after the last event
 HISTORY_BEFORE = dt.date(1998, 1, 1)    # older orders form the history table
-CAMPAIGN_CHUNK = 4096                   # max interactions per campaign row
-PRODUCT_FAMILIES = 20                   # product_id = l_partkey % 20 variant
+PRODUCT_FAMILIES = 20                   # families in the variant of the product mapping
 
 
 # Declared schemas of the generated tables the mapping reads (no inference).
@@ -50,16 +49,12 @@ def _str(c: Column) -> Column:
     return c.cast("string")
 
 
-def shifted_ts(col: str = "ts") -> Column:
-    return F.col(col) - F.expr(f"INTERVAL {EVENT_SHIFT_DAYS} DAYS")
-
-
 class TestdataTables:
     """Reads ``{sf_dir}/{name}.parquet`` and exposes the retail entities.
 
-    ``product_families=True`` folds product ids to ``l_partkey % 20`` (with the
-    first 20 parts as the product table) so that (customer, product, month)
-    triples recur across years.
+    ``product_families=True`` folds lines and parts to ``key % 20`` (a family is
+    named after its first part by name and type) so that (customer, product,
+    month) recurs across years. All lines and all parts take part.
     """
 
     __test__ = False  # not a pytest class
@@ -148,7 +143,9 @@ class TestdataTables:
     def products(self) -> DataFrame:
         part = self.raw("part")
         if self.product_families:
-            part = part.filter(F.col("p_partkey") < PRODUCT_FAMILIES)
+            return part.groupBy((F.col("p_partkey") % PRODUCT_FAMILIES).alias("product_id")).agg(
+                F.min("p_name").alias("name"), F.min("p_type").alias("category")
+            )
         return part.select(
             F.col("p_partkey").alias("product_id"),
             F.col("p_name").alias("name"),
@@ -173,66 +170,74 @@ class TestdataTables:
             )
         )
 
+    def timed_orders(self) -> DataFrame:
+        """Orders with the time of day, as the sales job gets them."""
+        return self.raw("orders").select(
+            F.col("o_orderkey").alias("order_id"),
+            F.col("o_custkey").alias("customer_id"),
+            F.col("o_orderdate").alias("order_date"),
+            F.col("o_orderstatus").alias("status"),
+            F.col("o_totalprice").cast("decimal(10,2)").alias("total_amount"),
+        )
+
     def sales_orders(self) -> DataFrame:
         """Orders of the current period (the sales job's ``orders``)."""
-        return self.orders().filter(F.col("order_date") >= F.lit(HISTORY_BEFORE))
+        return self.timed_orders().filter(F.col("order_date") >= F.lit(HISTORY_BEFORE))
 
     def historical_customer_sales(self) -> DataFrame:
         """Lines of orders before ``HISTORY_BEFORE``, stored as a flat table."""
-        old = self.orders().filter(F.col("order_date") < F.lit(HISTORY_BEFORE))
-        return (
-            old.select("order_id", "customer_id", "order_date")
-            .join(self.order_items(), "order_id")
-            .select(
-                "order_id", "customer_id", "order_date", "product_id", "quantity", "unit_price",
-                (F.col("quantity") * F.col("unit_price")).alias("sales_amount"),
-                F.year("order_date").alias("order_year"),
-                F.month("order_date").alias("order_month"),
-            )
+        return self._lines(self.timed_orders().filter(F.col("order_date") < F.lit(HISTORY_BEFORE)))
+
+    def sales_lines(self) -> DataFrame:
+        """The full fact as the sales job stores it: lines of all orders, by
+        one scan of each table. Equal to ``sales_fact_all`` over the two
+        periods, as every priced part is a product (``tests/test_sales.py``)."""
+        return self._lines(self.timed_orders())
+
+    def _lines(self, orders: DataFrame) -> DataFrame:
+        return orders.join(self.order_items(), "order_id").select(
+            "order_id", "customer_id", "order_date", "product_id", "quantity", "unit_price",
+            (F.col("quantity") * F.col("unit_price")).alias("sales_amount"),
+            F.year("order_date").alias("order_year"),
+            F.month("order_date").alias("order_month"),
         )
 
     # -- event-derived entities ---------------------------------------------
     def loginhistory(self) -> DataFrame:
         return self.raw("events").select(
             F.col("user_id").alias("customer_id"),
-            F.date_sub(F.col("ts").cast("date"), EVENT_SHIFT_DAYS).alias("login_date"),
+            F.col("ts").alias("login_date"),
             F.concat(F.lit("10.0.0."), F.get_json_object("props", "$.k")).alias("ip_address"),
         )
 
     def enterprisecampaigns(self) -> DataFrame:
-        """Click and view events of users with ``user_id % 4 <> 0``, nested.
-
-        One row per (user, day, block of ``CAMPAIGN_CHUNK`` event ids): the
-        array of interactions is bounded by the block size whatever the skew.
-        """
-        ev = (
-            self.raw("events")
-            .filter(F.col("event_type").isin("click", "view") & (F.col("user_id") % 4 != 0))
-            .select(
-                "user_id", "event_id", "event_type",
-                shifted_ts().alias("sts"),
+        """A campaign per click and view event, nested. Its interactions: none
+        (NULL) where ``event_id % 11 = 0``, an empty array where it is 1, else
+        the opening, and after it the click of a click event."""
+        event = F.col("event_id")
+        channel = F.when(event % 3 == 0, "Email").when(event % 3 == 1, "Web").otherwise("App")
+
+        def interaction(kind: str, action: str) -> Column:
+            return F.struct(
+                F.concat(_str(event), F.lit(f"-{kind}")).alias("InteractionID"),
+                F.col("ts").alias("Timestamp"),
+                channel.alias("Channel"),
+                F.lit(action).alias("Action"),
             )
-            .withColumn("day", F.col("sts").cast("date"))
-            .withColumn("chunk", F.expr(f"event_id div {CAMPAIGN_CHUNK}"))
-        )
-        interaction = F.struct(
-            _str(F.col("event_id")).alias("InteractionID"),
-            F.col("sts").alias("Timestamp"),
-            F.when(F.col("event_id") % 3 == 0, "Email")
-            .when(F.col("event_id") % 3 == 1, "Web")
-            .otherwise("App").alias("Channel"),
-            F.when(F.col("event_type") == "click", "Clicked").otherwise("Opened").alias("Action"),
-        )
-        grouped = ev.groupBy("user_id", "day", "chunk").agg(
-            F.count_if(F.col("event_type") == "view").alias("Opens"),
-            F.count_if(F.col("event_type") == "click").alias("Clicks"),
-            F.collect_list(interaction).alias("Interactions"),
+
+        opened, clicked = interaction("o", "Opened"), interaction("c", "Clicked")
+        is_click = F.col("event_type") == "click"
+        interactions = (
+            F.when(event % 11 == 0, F.lit(None))
+            .when(event % 11 == 1, F.filter(F.array(opened), lambda x: F.lit(False)))
+            .when(is_click, F.array(opened, clicked))
+            .otherwise(F.array(opened))
         )
-        return grouped.select(
+        return self.raw("events").filter(F.col("event_type").isin("click", "view")).select(
             F.col("user_id").alias("CustomerID"),
-            F.concat(F.lit("CMP-"), _str(F.col("day")), F.lit("-"), _str(F.col("chunk"))).alias("CampaignID"),
-            F.struct("Opens", "Clicks").alias("Engagement"),
-            "Interactions",
+            F.concat(F.lit("CMP-"), _str(event)).alias("CampaignID"),
+            F.struct(F.lit(1).cast("bigint").alias("Opens"), is_click.cast("bigint").alias("Clicks")).alias("Engagement"),
+            interactions.alias("Interactions"),
         )
 
     def customersupport(self) -> DataFrame:
@@ -242,7 +247,7 @@ class TestdataTables:
             .select(
                 F.col("user_id").alias("CustomerID"),
                 F.col("event_id").alias("TicketID"),
-                shifted_ts().alias("Timestamp"),
+                F.col("ts").alias("Timestamp"),
                 F.struct(
                     F.when(F.col("event_id") % 2 == 0, "Open").otherwise("Resolved").alias("Status")
                 ).alias("Issue"),

@@ -32,13 +32,13 @@ def summary(text: str) -> dict[str, int]:
 
 
 def main(argv: list[str]) -> None:
-    from __spark_entry__ import queries
+    from tillroll.plans.registry import QUERIES
     from tillroll.session import build_session
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
     spark = build_session("local[8]", shuffle_partitions=16)
     rows = []
-    for name, fn in queries().items():
+    for name, fn in QUERIES.items():
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
             fn(spark, sf_dir).explain("formatted")

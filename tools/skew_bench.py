@@ -21,7 +21,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from tillroll import operators as op  # noqa: E402
 from tillroll.session import build_session  # noqa: E402
-from tillroll.sources import AS_OF, TestdataTables  # noqa: E402
+from tillroll.testdata import AS_OF, TestdataTables  # noqa: E402
 
 HOT_CUSTOMER = 7
 HOT_PRODUCT = 7
