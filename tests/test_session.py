@@ -2,7 +2,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from tillroll.session import MB, checkpoint_root, scale_conf
+from tillroll.session import MB, build_session, checkpoint_root, scale_conf
 
 
 def test_scale_conf_sizes_partitions():
@@ -13,6 +13,17 @@ def test_scale_conf_sizes_partitions():
     assert small["spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"] == str(1024 * MB)
 
 
+def test_sized_session(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        sized = build_session(shuffle_bytes=10**12, total_cores=64)
+        assert sized.conf.get("spark.sql.shuffle.partitions") == str(-(-10**12 // (256 * MB)))
+    finally:
+        for key in scale_conf(1, 1):
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_checkpoint_root_reads_session_setting(spark):
     assert checkpoint_root(spark) == spark.conf.get("spark.checkpoint.dir")
     unset = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default))

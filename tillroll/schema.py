@@ -1,4 +1,4 @@
-"""Declared schemas of the entities the analytics read and write.
+"""Declared schemas of the nested and written tables.
 
 Ids are 64-bit: at the target scale order and line keys pass 2**31.
 Money is ``decimal(10,2)`` at the source; line amounts are
@@ -14,40 +14,6 @@ ID = T.LongType()
 MONEY = T.DecimalType(10, 2)
 LINE_AMOUNT = T.DecimalType(21, 2)
 
-CUSTOMERS = T.StructType([
-    T.StructField("customer_id", ID),
-    T.StructField("first_name", T.StringType()),
-    T.StructField("last_name", T.StringType()),
-    T.StructField("email", T.StringType()),
-    T.StructField("phone", T.StringType()),
-    T.StructField("address", T.StringType()),
-    T.StructField("city", T.StringType()),
-    T.StructField("state", T.StringType()),
-    T.StructField("zip_code", T.IntegerType()),
-    T.StructField("country", T.StringType()),
-])
-
-ORDERS = T.StructType([
-    T.StructField("order_id", ID),
-    T.StructField("customer_id", ID),
-    T.StructField("order_date", T.DateType()),
-    T.StructField("status", T.StringType()),
-    T.StructField("total_amount", MONEY),
-])
-
-ORDER_ITEMS = T.StructType([
-    T.StructField("order_id", ID),
-    T.StructField("product_id", ID),
-    T.StructField("quantity", T.IntegerType()),
-    T.StructField("unit_price", MONEY),
-])
-
-PRODUCTS = T.StructType([
-    T.StructField("product_id", ID),
-    T.StructField("name", T.StringType()),
-    T.StructField("category", T.StringType()),
-])
-
 # Line-level sales fact (current lines and aligned history share it).
 SALES_FACT = T.StructType([
     T.StructField("order_id", ID),
@@ -61,12 +27,6 @@ SALES_FACT = T.StructType([
     T.StructField("order_month", T.IntegerType()),
 ])
 
-LOGIN_HISTORY = T.StructType([
-    T.StructField("customer_id", ID),
-    T.StructField("login_date", T.TimestampNTZType()),
-    T.StructField("ip_address", T.StringType()),
-])
-
 INTERACTION = T.StructType([
     T.StructField("InteractionID", T.StringType()),
     T.StructField("Timestamp", T.TimestampNTZType()),
@@ -99,14 +59,3 @@ AUDIT_LOG = T.StructType([
     T.StructField("end_time", T.TimestampType()),
     T.StructField("log_ts", T.TimestampType()),
 ])
-
-ENTITIES: dict[str, T.StructType] = {
-    "customers": CUSTOMERS,
-    "orders": ORDERS,
-    "order_items": ORDER_ITEMS,
-    "products": PRODUCTS,
-    "historical_customer_sales": SALES_FACT,
-    "loginhistory": LOGIN_HISTORY,
-    "enterprisecampaigns": CAMPAIGNS,
-    "customersupport": SUPPORT,
-}

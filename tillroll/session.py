@@ -30,17 +30,22 @@ def build_session(
     app_name: str = "tillroll",
     shuffle_partitions: int | None = None,
     conf: dict[str, str] | None = None,
+    shuffle_bytes: int | None = None,
+    total_cores: int | None = None,
 ) -> SparkSession:
     """Get or create a session with the defaults above.
 
     ``master`` is only set when given (on a cluster the launcher sets it).
-    ``shuffle_partitions`` should be sized to the data: roughly total shuffle
-    bytes / 128 MB; AQE coalesces it down for small stages.
+    With ``shuffle_bytes`` (the largest shuffle of the run) and ``total_cores``
+    partitions are sized by ``scale_conf``; ``shuffle_partitions`` sets their
+    number directly. AQE coalesces it down for small stages.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     merged = dict(DEFAULT_CONF)
+    if shuffle_bytes and total_cores:
+        merged.update(scale_conf(shuffle_bytes, total_cores))
     if shuffle_partitions:
         merged["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     merged.update(conf or {})
