@@ -163,7 +163,10 @@ def _write(path: str, tokenizer: str, end_id: int, shard_ids: int):
             own = f"{root}/.{name}.{task.taskAttemptId()}"
             with files.open_output_stream(own) as f:
                 f.write(body)
-            files.move(own, f"{root}/{name}")
+            if files.get_file_info(f"{root}/{name}").type == fs.FileType.NotFound:
+                files.move(own, f"{root}/{name}")
+            else:  # from an attempt that was lost later; it has the same bytes
+                files.delete_file(own)
             made.append((task.partitionId(), len(made), name, len(lens), int(lens.sum())))
             held.clear()
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import prepare, text_buffers, text_column, text_slices
+from tillroll.llm.common import fresh, prepare, text_buffers, text_column, text_slices
 
 PRIOR = 4.0
 CELLS = 1 << 24
@@ -80,7 +80,10 @@ def log_probabilities(cells: np.ndarray, times: np.ndarray) -> np.ndarray:
     p1 = (single + 1) / (single.sum() + 256)
     p2 = (pair.reshape(256, 256) + PRIOR * p1) / (after_single + PRIOR)[:, None]
     scale = 1 / (after_pair + PRIOR)
-    out = (np.tile(PRIOR * p2, (256, 1)) * scale[:, None]).astype(np.float32).ravel()
+    out = np.empty((256, 256, 256), np.float32)
+    for first in range(256):
+        out[first] = PRIOR * p2 * scale[first * 256: (first + 1) * 256, None]
+    out = out.ravel()
     out[cells] += (times * scale[cells >> 8]).astype(np.float32)
     return np.log(out, out=out)
 
@@ -96,7 +99,7 @@ def loss_differences(cells: np.ndarray, background: np.ndarray, target: np.ndarr
 
 def fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     """The table of loss differences. Only sums per trigram reach the driver."""
-    name = fresh_flag(docs)
+    name = fresh(docs, "is_target")
     good = labels.filter((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)).select(
         F.col("doc_id").alias("doc_id"), F.lit(True).alias(name)).distinct()
     marked = docs.select("doc_id", "text").join(good, "doc_id", "left").select("text", F.coalesce(name, F.lit(False)).alias(name))
@@ -105,12 +108,6 @@ def fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     return loss_differences(*(got[c].to_numpy()[order] for c in ("cell", "background", "target")))
 
 
-def fresh_flag(docs: DataFrame) -> str:
-    from tillroll.llm.common import fresh
-
-    return fresh(docs, "is_target")
-
-
 def score_documents(docs: DataFrame, differences: np.ndarray) -> DataFrame:
     """doc_id, n_tokens, score of every document."""
     spark = docs.sparkSession

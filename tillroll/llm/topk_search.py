@@ -68,13 +68,17 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(square, 0.0))
 
 
+def _rows(table: pa.Table) -> tuple[np.ndarray, list]:
+    return table["vec_id"].to_numpy(), [v for c in table["v"].chunks for v in c.to_numpy(zero_copy_only=False)]
+
+
 class Block:
     """Queries of one pass with the pivots, by vector length."""
 
-    def __init__(self, queries: list[tuple[int, list]], pivots: list[tuple[int, list]], k: int):
+    def __init__(self, queries: pa.Table, pivots: pa.Table, k: int):
         self.k, self.parts = k, {}
-        piv = {m.shape[1]: (i, m) for i, m in _matrices(np.array([p[0] for p in pivots], np.int64), [p[1] for p in pivots])}
-        for ids, m in _matrices(np.array([q[0] for q in queries], np.int64), [q[1] for q in queries]):
+        piv = {m.shape[1]: (i, m) for i, m in _matrices(*_rows(pivots))}
+        for ids, m in _matrices(*_rows(queries)):
             pid, pm = piv.get(m.shape[1], (np.zeros(0, np.int64), np.zeros((0, m.shape[1]), np.int64)))
             scores = _products(m, pm)
             floor = np.full(len(ids), np.iinfo(np.int64).min)
@@ -140,14 +144,14 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_column: str = "ve
     n = F.size("v")
     lowest = Window.partitionBy(n).orderBy(F.xxhash64("vec_id"), "vec_id")
     table = rows.withColumn("at", F.row_number().over(lowest)).filter(F.col("at") <= pivots)
-    chosen = [(r["vec_id"], r["v"]) for r in table.select("vec_id", "v").collect()]
+    chosen = table.select("vec_id", "v").toArrow()
     # Blocks of queries by rank of the hash; a block's size is at most about BLOCK.
     queries = rows.filter(is_query)
     n_blocks = -(-queries.count() // block)
     found = None
     for b in range(n_blocks):
         own = queries.filter(F.pmod(F.xxhash64("vec_id", F.lit("block")), F.lit(n_blocks)) == b)
-        held = Block([(r["vec_id"], r["v"]) for r in own.collect()], chosen, k)
+        held = Block(own.toArrow(), chosen, k)
         part = rows.mapInArrow(_search(spark.sparkContext.broadcast(held)), "query_id long, vec_id long, score long")
         found = part if found is None else found.unionByName(part)
     if found is None:
