@@ -12,41 +12,52 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
-from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import prepare, text_column
+from tillroll.llm.common import prepare, text_buffers, text_column, text_slices
 
 HASHED = 1 << 18
 SHARES = 6
 STEPS = 20
 WIDTH = HASHED + SHARES * STEPS + 64
 DEPENDENT = 23.0   # chance of about 1 in 100,000 for three classes
-MEMO = 200_000   # words whose places a worker keeps
+MEMO = 300_000   # words whose places a worker keeps
 _WORD = re.compile(r"\w+")
+_BLANKS = " \t\n\r\x0b\x0c"
+_BLANK = np.zeros(256, bool)
+_BLANK[[ord(c) for c in _BLANKS]] = True
 
 
 def _place(feature: str) -> int:
     return zlib.crc32(feature.encode("utf-8", "surrogatepass")) % HASHED
 
 
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and how often each occurs."""
+    keys = np.sort(keys)
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.diff(np.append(first, len(keys)))
+
+
 class Features:
-    """Places of the features of a text; with ``active`` (a flag for each
-    place) only of the words' places that have it."""
+    """Features of texts; with ``active`` (a flag for each place) only of the
+    words' places that have it. What is known of a word is worked out once."""
 
     def __init__(self, active: np.ndarray | None = None):
         self.active, self.memo = active, {}
 
     def _word(self, raw: str) -> tuple[tuple[int, ...], int, int, int]:
-        """Places of a white-space word; its signs, upper-case letters and digits."""
+        """Places of a word; its signs, upper-case letters and digits."""
         core = raw.rstrip(".,")
-        if core.isalpha():   # most words
-            found, signs, digits = (core.lower(),), len(raw) - len(core), 0
+        low = core.lower()
+        if core.isalpha() and low.isalpha():   # most words
+            found, signs, digits = (low,), len(raw) - len(core), 0
         else:
             found, signs, digits = _WORD.findall(raw.lower()), sum(not x.isalnum() for x in raw), sum(map(str.isdigit, raw))
         upper = 0 if raw.islower() else sum(map(str.isupper, raw))
@@ -64,29 +75,57 @@ class Features:
             self.memo[raw] = got
         return got
 
-    def __call__(self, text: str) -> list[int]:
-        counts = Counter(text.split())
-        n, chars = counts.total(), max(1, len(text))
-        out: set[int] = set()
-        signs = upper = digits = marked = 0
+    def _words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """Text and number of each word (a run without ASCII white space), and the distinct words."""
+        offsets, data = text_buffers(texts)
+        blank = _BLANK[data]
+        fresh = np.append(True, blank[:-1]) if len(data) else np.zeros(0, bool)
+        fresh[offsets[:-1][offsets[:-1] < len(data)]] = True
+        at = np.flatnonzero(fresh & ~blank)
+        bounds = np.append(at, len(data)).astype(np.int32)   # a word with the blanks behind it
+        array = pa.StringArray.from_buffers(len(at), pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data)))
+        coded = array.dictionary_encode()
+        numbers: dict[str, int] = {}
+        of_entry = [numbers.setdefault(w.rstrip(_BLANKS), len(numbers)) for w in coded.dictionary.to_pylist()]
+        word = np.array(of_entry, np.int64)[coded.indices.to_numpy(zero_copy_only=False)] if len(at) else np.zeros(0, np.int64)
+        return np.searchsorted(offsets, at, "right") - 1, word, list(numbers)
+
+    def pairs(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(text, place) of every feature of every text, each once, ascending;
+        and the number of words of each text. No nulls."""
+        docs = len(texts)
+        doc, word, distinct = self._words(texts)
         known = self.memo.get
-        for raw, c in counts.items():
-            places, s, u, d = known(raw) or self._word(raw)
-            if places:
-                out.update(places)
-            if s:
-                signs += c * s
-                marked += c * (s > 1)
-            if u:
-                upper += c * u
-            if d:
-                digits += c * d
-        most = max(counts.values(), default=0)
-        shares = (len(counts) / max(1, n), upper / chars, signs / chars, digits / chars, marked / max(1, n), most / max(1, n))
-        for k, share in enumerate(shares):
-            out.add(HASHED + k * STEPS + min(STEPS - 1, int(share * STEPS)))
-        out.add(HASHED + SHARES * STEPS + n.bit_length())
-        return sorted(out)
+        facts = [known(w) or self._word(w) for w in distinct]
+        n_places = np.array([len(f[0]) for f in facts], np.int64)
+        flat = np.array([x for f in facts for x in f[0]], np.int64)
+        signs, upper, digits = (np.array([f[k] for f in facts], np.int64) for k in (1, 2, 3))
+        key, times = _runs(doc * max(1, len(distinct)) + word)
+        doc, word = np.divmod(key, max(1, len(distinct)))
+
+        def total(each: np.ndarray) -> np.ndarray:
+            return np.bincount(doc, each, docs)
+
+        n, kinds = total(times), np.bincount(doc, minlength=docs)
+        most = np.zeros(docs, np.int64)
+        np.maximum.at(most, doc, times)
+        chars = np.maximum(1, pc.utf8_length(texts).to_numpy(zero_copy_only=False))
+        some = np.maximum(1, n)
+        shares = (kinds / some, total(times * upper[word]) / chars, total(times * signs[word]) / chars,
+                  total(times * digits[word]) / chars, total(times * (signs[word] > 1)) / some, most / some)
+        every = np.arange(docs) * WIDTH
+        own = [every + HASHED + k * STEPS + np.minimum(STEPS - 1, (share * STEPS).astype(np.int64)) for k, share in enumerate(shares)]
+        own.append(every + HASHED + SHARES * STEPS + np.frexp(n)[1])   # n.bit_length()
+        starts = np.cumsum(n_places) - n_places
+        each = n_places[word]
+        place = flat[np.repeat(starts[word] - np.cumsum(each) + each, each) + np.arange(each.sum())]
+        keys, _ = _runs(np.concatenate([np.repeat(doc, each) * WIDTH + place, *own]))
+        return np.column_stack(np.divmod(keys, WIDTH)), n.astype(np.int64)
+
+    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
+        """Places of the features of each text, ascending."""
+        found = self.pairs(texts)[0]
+        return np.split(found[:, 1], np.searchsorted(found[:, 0], np.arange(1, len(texts)))) if len(texts) else []
 
 
 class Scorer:
@@ -96,12 +135,18 @@ class Scorer:
     def __init__(self, weights: np.ndarray):
         self.weights, self.key = weights, uuid.uuid4().hex
 
-    def __call__(self, texts: Iterable[str]) -> np.ndarray:
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """A row of sums for each text, and its number of words."""
         if self.key not in _FEATURES:
             _FEATURES.clear()   # one model at a time in a worker
             _FEATURES[self.key] = Features(self.weights.any(axis=1))
-        places = _FEATURES[self.key]
-        return np.array([self.weights[places(t)].sum(axis=0, dtype=np.float64) for t in texts]).reshape(-1, self.weights.shape[1])
+        sums, words = [np.zeros((0, self.weights.shape[1]))], [np.zeros(0, np.int64)]
+        for part in text_slices(pa.RecordBatch.from_arrays([texts], ["text"])):
+            found, n = _FEATURES[self.key].pairs(part.column("text"))
+            weight = self.weights[found[:, 1]]
+            sums.append(np.column_stack([np.bincount(found[:, 0], weight[:, k], part.num_rows) for k in range(weight.shape[1])]))
+            words.append(n)
+        return np.concatenate(sums), np.concatenate(words)
 
 
 _FEATURES: dict[str, Features] = {}
@@ -122,9 +167,10 @@ def labelled_features(docs: DataFrame, labels: DataFrame, grade, max_rows: int)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places = Features()
         for batch in batches:
-            got = [np.array(places(t), "<i4").tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("grade"), pa.array(got, pa.binary())],
-                                             names=["doc_id", "grade", "places"])
+            for part in text_slices(batch):
+                got = [x.astype("<i4").tobytes() for x in places(part.column("text"))]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("grade"), pa.array(got, pa.binary())],
+                                                 names=["doc_id", "grade", "places"])
 
     # Copies of an id are cut too, so that the bound holds for any documents.
     found = rows.select("doc_id", "grade", "text").mapInArrow(run, "doc_id long, grade int, places binary").limit(max_rows).collect()

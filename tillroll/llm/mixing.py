@@ -30,7 +30,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,10 +53,12 @@ class DomainModel:
     def __post_init__(self):
         self.scorer = Scorer(self.weights)
 
-    def posteriors(self, texts: pd.Series) -> np.ndarray:
-        z = self.bias + self.scorer(texts)
-        e = np.exp(z - z.max(axis=1, keepdims=True))
-        return e / e.sum(axis=1, keepdims=True)
+    def posteriors(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Posteriors in rows, and numbers of words."""
+        sums, words = self.scorer(texts)
+        z = self.bias + sums
+        e = np.exp(z - z.max(axis=1, keepdims=True, initial=-np.inf))
+        return e / e.sum(axis=1, keepdims=True), words
 
 
 def fit_domains(rows: list[np.ndarray], domains: np.ndarray, n: int = len(DOMAINS), min_rows: int = MIN_ROWS) -> DomainModel:
@@ -84,9 +85,11 @@ def posterior(docs: DataFrame, model: DomainModel) -> Column:
     prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("p array<double>, n_tokens long")
-    def run(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame({"p": list(shared.value.posteriors(texts)), "n_tokens": [len(t.split()) for t in texts]})
+    @F.arrow_udf("p array<double>, n_tokens long")
+    def run(texts: pa.Array) -> pa.Array:
+        p, words = shared.value.posteriors(texts)
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1) * p.shape[1], pa.int32()), pa.array(p.ravel()))
+        return pa.StructArray.from_arrays([lists, pa.array(words, pa.int64())], names=["p", "n_tokens"])
 
     return run(text_column())
 
@@ -163,8 +166,8 @@ def mixed(docs: DataFrame, model: DomainModel, shares: dict[str, float] = SHARES
     steps = fit_rates(posts, shares, anchor)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def rate(texts: pd.Series) -> pd.Series:
-        return pd.Series(rates(shared.value.posteriors(texts), steps))
+    @F.arrow_udf("double")
+    def rate(texts: pa.Array) -> pa.Array:
+        return pa.array(rates(shared.value.posteriors(texts)[0], steps))
 
     return docs.filter(copies(rate(text_column()), F.col("doc_id")) > 0)

@@ -17,7 +17,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,9 +85,9 @@ def score(docs: DataFrame, model: OrdinalModel) -> Column:
     prepare(docs.sparkSession)
     scorer = docs.sparkSession.sparkContext.broadcast(Scorer(model.weights[:, None]))
 
-    @F.pandas_udf("double")
-    def latent(texts: pd.Series) -> pd.Series:
-        return pd.Series(scorer.value(texts)[:, 0])
+    @F.arrow_udf("double")
+    def latent(texts: pa.Array) -> pa.Array:
+        return pa.array(scorer.value(texts)[0][:, 0])
 
     return latent(text_column())
 
