@@ -127,12 +127,11 @@ def test_rates_are_those_of_plain_projected_gradient(spark):
     available = n @ p
     share = np.array(list(mixing.SHARES.values()))
     target = share / share[2] * available[2]
-    r = np.ones(len(p))
-    for _ in range(mixing.STEPS):
-        now = (r * n) @ p
-        if (np.abs(now - target) <= mixing.CLOSE * target.sum()).all():
-            break
+    r, now, moved = np.ones(len(p)), available, np.inf
+    while moved > mixing.CLOSE * available.sum():
         r = np.maximum(0, r - p @ ((now - target) / available))
+        before, now = now, (r * n) @ p
+        moved = np.abs(now - before).max()
     assert np.allclose(r, [x.rate for x in got], atol=1e-6)
 
 

@@ -13,7 +13,10 @@ and 1 is a stable step length, since the Gram matrix of the posteriors scaled
 by what is available has rows that sum to 1. A document's rate depends only on
 its posterior and the residuals so far, so no rates are kept between rounds: a
 round is one pass over the small posterior table that gives one row of sums,
-and the residuals (a few numbers per round) are all the driver holds.
+and the residuals (a few numbers per round) are all the driver holds. The fit
+ends when the expected tokens stop moving: targets that no rates meet (a share
+of 0 for a domain that all documents belong to a little) are met as far as
+they can be.
 
 Domains of the labels table: ``bad`` (quality 0), ``toxic``, ``clean``.
 ``ANCHOR`` is the domain whose available tokens stay whole; the others' targets
@@ -42,7 +45,7 @@ DOMAINS = ("bad", "toxic", "clean")          # in the order of the ratings
 SHARES = {"bad": 0.0, "toxic": 0.02, "clean": 0.98}
 ANCHOR = "clean"
 STEPS = 60
-CLOSE = 1e-4   # residual, as a part of all target tokens, at which the fit ends
+CLOSE = 1e-4   # move of a domain's tokens, as a part of all, at which the fit ends
 
 
 @dataclass
@@ -131,10 +134,11 @@ def fit_rates(posts: DataFrame, shares: dict[str, float] = SHARES, anchor: str =
     target = share / shares[anchor] * available[names.index(anchor)]
     used = available > 0
     steps: list[np.ndarray] = []
-    now = available
-    while len(steps) < max_steps and (np.abs(now - target)[used] > CLOSE * target.sum()).any():
+    now, moved = available, np.inf
+    while len(steps) < max_steps and moved > CLOSE * available.sum():
         steps.append(np.where(used, (now - target) / np.where(used, available, 1.0), 0.0))
-        now = expected_tokens(posts, steps, len(names))
+        before, now = now, expected_tokens(posts, steps, len(names))
+        moved = np.abs(now - before).max()
     return steps
 
 
