@@ -45,7 +45,7 @@ DOMAINS = ("bad", "toxic", "clean")          # in the order of the ratings
 SHARES = {"bad": 0.0, "toxic": 0.02, "clean": 0.98}
 ANCHOR = "clean"
 STEPS = 60
-CLOSE = 1e-4   # move of a domain's tokens, as a part of all, at which the fit ends
+CLOSE = 1e-3   # move of a domain's tokens, as a part of all, at which the fit ends
 
 
 @dataclass
