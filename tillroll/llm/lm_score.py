@@ -30,8 +30,7 @@ from pyspark.sql import functions as F
 from tillroll.llm.common import fresh, prepare, text_buffers, text_column, text_slices
 
 PRIOR = 4.0
-CELLS = 1 << 24
-PART = 8 << 20
+PART = 4 << 20
 
 
 def trigrams(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -49,6 +48,13 @@ def trigrams(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndar
     return (two << 16) | (one << 8) | padded[2:], lens
 
 
+def runs(cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct cells, and how often each occurs."""
+    cells = np.sort(cells)
+    first = np.flatnonzero(np.append(True, cells[1:] != cells[:-1])) if len(cells) else np.zeros(0, np.int64)
+    return cells[first], np.diff(np.append(first, len(cells)))
+
+
 def count_trigrams(docs: DataFrame, flag: str) -> DataFrame:
     """``cell``, ``background`` and ``target``: how often each trigram occurs
     in all documents and in those where the column ``flag`` is true."""
@@ -60,10 +66,9 @@ def count_trigrams(docs: DataFrame, flag: str) -> DataFrame:
                 cells, lens = trigrams(*text_buffers(part.column("text")))
                 chosen = np.repeat(part.column("flag").to_numpy(zero_copy_only=False).astype(bool), lens)
                 for target in (False, True):
-                    times = np.bincount(cells[chosen == target], minlength=CELLS)
-                    at = np.flatnonzero(times)
+                    at, times = runs(cells[chosen == target])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(at, pa.int64()), pa.array(times[at], pa.int64()), pa.array(times[at] * target, pa.int64())],
+                        [pa.array(at, pa.int64()), pa.array(times, pa.int64()), pa.array(times * target, pa.int64())],
                         names=["cell", "background", "target"])
 
     parts = docs.select(text_column().alias("text"), F.col(flag).alias("flag")).mapInArrow(
@@ -102,7 +107,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     name = fresh(docs, "is_target")
     good = labels.filter((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)).select(
         F.col("doc_id").alias("doc_id"), F.lit(True).alias(name)).distinct()
-    marked = docs.select("doc_id", "text").join(good, "doc_id", "left").select("text", F.coalesce(name, F.lit(False)).alias(name))
+    # The hint keeps the plan, and with it the growth of the shuffle, the same for labels of any size.
+    marked = docs.select("doc_id", "text").join(good.hint("shuffle_hash"), "doc_id", "left").select("text", F.coalesce(name, F.lit(False)).alias(name))
     got = count_trigrams(marked, name).toArrow()
     order = np.argsort(got["cell"].to_numpy())
     return loss_differences(*(got[c].to_numpy()[order] for c in ("cell", "background", "target")))
