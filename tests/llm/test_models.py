@@ -135,6 +135,47 @@ def test_rates_are_those_of_plain_projected_gradient(spark):
     assert np.allclose(r, [x.rate for x in got], atol=1e-6)
 
 
+def least_squares(p, available, target):
+    """Expected tokens of the best rates >= 0 (an active set of directions, to the end)."""
+    scale = 1 / np.sqrt(available)
+    b, rays = target * scale, p * scale
+    rays = rays / np.linalg.norm(rays, axis=1, keepdims=True)
+    held, x = [], np.zeros(0)
+    for _ in range(1000):
+        gain = rays @ (b - x @ rays[held])
+        if gain.max() <= 1e-12 * np.linalg.norm(b):
+            return (x @ rays[held]) / scale
+        held, x = held + [int(gain.argmax())], np.append(x, 0.0)
+        while True:
+            z = np.linalg.lstsq(rays[held].T, b, rcond=None)[0]
+            if (z > 0).all():
+                x = z
+                break
+            x = x + (x[z <= 0] / (x[z <= 0] - z[z <= 0])).min() * (z - x)
+            held, x = [h for h, v in zip(held, x) if v > 1e-14], x[x > 1e-14]
+    raise AssertionError("no end")
+
+
+@pytest.mark.parametrize("sharp, n", [(1.0, 400), (0.3, 400), (3.0, 9000)])
+def test_rates_are_a_converged_least_squares_fit(spark, sharp, n):
+    rnd = np.random.default_rng(5)
+    z = rnd.normal(size=(n, 3)) / sharp * 2 + np.array([0, -4.0, 4.0])   # a rare, soft domain
+    p = np.exp(z) / np.exp(z).sum(axis=1, keepdims=True)
+    words_ = rnd.integers(1, 2000, n)
+    posts = spark.createDataFrame([(k, p[k].tolist(), int(words_[k])) for k in range(n)], "doc_id long, p array<double>, n_tokens long")
+    available = words_ @ p
+    for shares in (mixing.SHARES, {"bad": 0.001, "toxic": 0.02, "clean": 0.979}, {"bad": 0.3, "toxic": 0.3, "clean": 0.4}):
+        target = np.array(list(shares.values())) / shares["clean"] * available[2]
+        fit = mixing.fit_rates(posts, shares)
+        tokens = (mixing.rates(p, fit.dual) * words_) @ p
+        assert np.allclose(tokens, fit.tokens, rtol=1e-6)
+        best = least_squares(p, available, target)
+        unit = np.where(target > 0, target, target.sum())
+        unit = np.where(target > 0, target, target.sum())
+        assert (np.abs(tokens - best) <= 2 * mixing.CLOSE * unit).all()
+        assert np.allclose(fit.residual, (tokens - target) / unit, atol=1e-5)
+
+
 def test_mixing_of_awkward_rows(spark):
     docs = documents(spark, awkward())
     model = mixing.fit(docs, labels(spark, []))

@@ -6,17 +6,21 @@ n_i words and posterior p_i, a document at rate r_i adds r_i n_i p_i expected
 tokens to the domains. The rates minimise
 
     sum over domains of (sum_i r_i n_i p_i - target)^2 / available
-
-over r >= 0 by projected gradient from r = 1. In the metric that weighs
-documents by their words the step of a document is p_i . residual / available,
-and 1 is a stable step length, since the Gram matrix of the posteriors scaled
-by what is available has rows that sum to 1. A document's rate depends only on
-its posterior and the residuals so far, so no rates are kept between rounds: a
-round is one pass over the small posterior table that gives one row of sums,
-and the residuals (a few numbers per round) are all the driver holds. The fit
-ends when the expected tokens stop moving: targets that no rates meet (a share
-of 0 for a domain that all documents belong to a little) are met as far as
-they can be.
+        + pull * sum_i n_i (r_i - 1)^2
+
+over r >= 0. The pull picks the rates nearest to 1 of the many that fit alike.
+It falls by tens until each domain's residual is at most ``CLOSE`` of its target
+(for a target of 0, of all target tokens), or to 1e-11, where the first part is
+at its least within that and no rates fit better: the gradient of a document
+whose rate is above 0 is pull * |r_i - 1| of the one at r = 1.
+
+The minimum has the form r_i = max(0, 1 - p_i . dual), one number a domain, and
+the dual is the minimum of a smooth convex function whose value, slope and
+curvature are sums over the documents. A Newton step is one pass over the small
+posterior table that gives one row of sums for a few step lengths at once. Only
+these, and ``SAMPLE`` posteriors that give the first dual, reach the driver; the
+sample saves passes and does not decide where the fit ends. What is left of the
+residuals is logged and kept in ``Fit``.
 
 Domains of the labels table: ``bad`` (quality 0), ``toxic``, ``clean``.
 ``ANCHOR`` is the domain whose available tokens stay whole; the others' targets
@@ -29,7 +33,8 @@ table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import logging
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -44,8 +49,14 @@ from tillroll.llm.quality import MAX_ROWS, MIN_ROWS, RIDGE, ROUNDS, rating
 DOMAINS = ("bad", "toxic", "clean")          # in the order of the ratings
 SHARES = {"bad": 0.0, "toxic": 0.02, "clean": 0.98}
 ANCHOR = "clean"
-STEPS = 60
-CLOSE = 1e-3   # move of a domain's tokens, as a part of all, at which the fit ends
+CLOSE = 1e-4    # residual of a domain, as a part of its target, at which the fit ends
+EXACT = 1e-7    # the same for the slope at which the Newton steps for a pull end
+PULLS = tuple(10.0 ** -k for k in range(2, 12))
+LENGTHS = np.array([1.0, 1 / 4, 1 / 16, 1 / 64])   # of a Newton step
+NEWTON = 50     # steps for a pull; about 5 are used
+SAMPLE = 4096   # posteriors on the driver, for the first dual
+
+log = logging.getLogger(__name__)
 
 
 @dataclass
@@ -97,12 +108,33 @@ def posterior(docs: DataFrame, model: DomainModel) -> Column:
     return run(text_column())
 
 
-def rates(p: np.ndarray, steps: list[np.ndarray]) -> np.ndarray:
-    """Rates after the steps; ``p`` has a row for each document."""
-    r = np.ones(len(p))
-    for step in steps:
-        r = np.maximum(0.0, r - p @ step)
-    return r
+@dataclass
+class Fit:
+    """The dual of the rates, and the expected tokens that they reach."""
+    dual: np.ndarray
+    pull: float
+    tokens: np.ndarray
+    target: np.ndarray
+    used: np.ndarray   # domains that have tokens
+    done: bool         # the slope of the dual is at ``EXACT``
+
+    @property
+    def residual(self) -> np.ndarray:
+        """Of each domain, as a part of its target; of all target tokens where that is 0."""
+        return np.where(self.used, self.tokens - self.target, 0.0) / _unit(self.target)
+
+    @property
+    def close(self) -> bool:
+        return self.done and bool((np.abs(self.residual) <= CLOSE).all())
+
+
+def _unit(target: np.ndarray) -> np.ndarray:
+    return np.where(target > 0, target, max(target.sum(), np.finfo(float).tiny))
+
+
+def rates(p: np.ndarray, dual: np.ndarray) -> np.ndarray:
+    """Rates of documents; ``p`` has a row for each."""
+    return np.maximum(0.0, 1 - p @ dual)
 
 
 def _matrix(batch: pa.RecordBatch) -> np.ndarray:
@@ -110,36 +142,107 @@ def _matrix(batch: pa.RecordBatch) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1) if batch.num_rows else np.zeros((0, len(DOMAINS)))
 
 
-def expected_tokens(posts: DataFrame, steps: list[np.ndarray], n: int) -> np.ndarray:
-    """Expected tokens of each domain at the rates after ``steps``."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(n)
-        for batch in batches:
-            if batch.num_rows:
-                p = _matrix(batch)
-                total += (rates(p, steps) * batch.column("n_tokens").to_numpy()) @ p
-        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in total.tolist()], names=[f"d{k}" for k in range(n)])
-
-    sums = posts.select("p", "n_tokens").mapInArrow(run, ", ".join(f"d{k} double" for k in range(n)))
-    row = sums.agg(*(F.sum(f"d{k}").alias(f"d{k}") for k in range(n))).first()
-    return np.array([row[f"d{k}"] or 0.0 for k in range(n)])
-
-
-def fit_rates(posts: DataFrame, shares: dict[str, float] = SHARES, anchor: str = ANCHOR,
-              max_steps: int = STEPS) -> list[np.ndarray]:
-    """The steps of the projected gradient. ``posts`` is a written table."""
-    names = list(shares)
-    available = expected_tokens(posts, [], len(names))
-    share = np.array([shares[k] for k in names])
-    target = share / shares[anchor] * available[names.index(anchor)]
-    used = available > 0
-    steps: list[np.ndarray] = []
-    now, moved = available, np.inf
-    while len(steps) < max_steps and moved > CLOSE * available.sum():
-        steps.append(np.where(used, (now - target) / np.where(used, available, 1.0), 0.0))
-        before, now = now, expected_tokens(posts, steps, len(names))
-        moved = np.abs(now - before).max()
-    return steps
+def moments(p: np.ndarray, n_tokens: np.ndarray, duals: np.ndarray) -> np.ndarray:
+    """For each dual a row: half the weighted squares of the rates, the
+    expected tokens, and the derivatives of these by the dual."""
+    out = []
+    for dual in duals:
+        r = rates(p, dual)
+        out.append(np.concatenate([[n_tokens @ r**2 / 2], (r * n_tokens) @ p, ((p * (n_tokens * (r > 0))[:, None]).T @ p).ravel()]))
+    return np.array(out)
+
+
+def table_moments(posts: DataFrame, n: int) -> Callable[[np.ndarray], np.ndarray]:
+    """``moments`` over a table of ``n`` domains."""
+    def at(duals: np.ndarray) -> np.ndarray:
+        width = len(duals) * (1 + n + n * n)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(width)
+            for batch in batches:
+                if batch.num_rows:
+                    total += moments(_matrix(batch), batch.column("n_tokens").to_numpy().astype(float), duals).ravel()
+            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in total.tolist()], names=[f"d{k}" for k in range(width)])
+
+        sums = posts.select("p", "n_tokens").mapInArrow(run, ", ".join(f"d{k} double" for k in range(width)))
+        row = sums.agg(*(F.sum(f"d{k}").alias(f"d{k}") for k in range(width))).first()
+        return np.array([row[f"d{k}"] or 0.0 for k in range(width)]).reshape(len(duals), -1)
+
+    return at
+
+
+def newton(at: Callable[[np.ndarray], np.ndarray], available: np.ndarray, target: np.ndarray, pull: float, dual: np.ndarray) -> Fit:
+    """The fit for one pull, from a first dual."""
+    n, used = len(target), available > 0
+
+    def value(dual: np.ndarray, row: np.ndarray) -> float:
+        return row[0] + dual @ target + pull / 2 * (available @ dual**2)
+
+    now = at(dual[None])[0]
+    done = False
+    for _ in range(NEWTON):
+        slope = np.where(used, target - now[1: 1 + n] + pull * available * dual, 0.0)
+        done = bool((np.abs(slope) <= EXACT * _unit(target)).all())
+        if done:
+            break
+        curve = now[1 + n:].reshape(n, n) + pull * np.diag(available)
+        step = np.zeros(n)
+        step[used] = -np.linalg.solve(curve[np.ix_(used, used)], slope[used])
+        trials = dual + LENGTHS[:, None] * step
+        rows = at(trials)
+        values = [value(d, row) for d, row in zip(trials, rows)]
+        best = int(np.argmin(values))
+        if values[best] >= value(dual, now):
+            break   # no further in floating point
+        dual, now = trials[best], rows[best]
+    return Fit(dual, pull, now[1: 1 + n], target, used, done)
+
+
+def _targets(available: np.ndarray, shares: dict[str, float], anchor: str) -> np.ndarray:
+    return np.array(list(shares.values())) / shares[anchor] * available[list(shares).index(anchor)]
+
+
+def _path(at: Callable[[np.ndarray], np.ndarray], available: np.ndarray, target: np.ndarray) -> list[Fit]:
+    """Fits for falling pulls, each from the one before, to the first that is
+    close or the last that floating point reaches."""
+    fits: list[Fit] = []
+    for pull in PULLS:
+        fit = newton(at, available, target, pull, fits[-1].dual if fits else np.zeros(len(target)))
+        if fits and not fit.done:
+            break
+        fits.append(fit)
+        if fit.close:
+            break
+    return fits
+
+
+def fit_rates(posts: DataFrame, shares: dict[str, float] = SHARES, anchor: str = ANCHOR) -> Fit:
+    """``posts`` is a written table: doc_id, p, n_tokens."""
+    n = len(shares)
+    at = table_moments(posts, n)
+    available = at(np.zeros((1, n)))[0, 1: 1 + n]
+    target = _targets(available, shares, anchor)
+    rows = posts.select("p", "n_tokens").orderBy(F.xxhash64("doc_id", "p"), "p", "n_tokens").limit(SAMPLE).collect()
+    p, words = np.array([r["p"] for r in rows]).reshape(-1, n), np.array([r["n_tokens"] for r in rows], float)
+    guess = _path(lambda duals: moments(p, words, duals), words @ p, _targets(words @ p, shares, anchor))
+    # The largest pull whose fit to the whole table is close, searched from the sample's.
+    k = max(0, len(guess) - 2)
+    fit = newton(at, available, target, PULLS[k], guess[k].dual)
+    if fit.close:
+        while k and (larger := newton(at, available, target, PULLS[k - 1], guess[k - 1].dual)).close:
+            fit, k = larger, k - 1
+    while fit.done and not fit.close and k < len(PULLS) - 1:
+        k += 1
+        smaller = newton(at, available, target, PULLS[k], guess[k].dual if k < len(guess) else fit.dual)
+        if not smaller.done and k < len(guess):
+            smaller = newton(at, available, target, PULLS[k], fit.dual)
+        if not smaller.done:
+            break
+        fit = smaller
+    if not fit.done:   # the sample's dual was too far off
+        fit = _path(at, available, target)[-1]
+    log.info("mixing: pull %g, remaining residuals %s", fit.pull, dict(zip(shares, fit.residual.tolist())))
+    return fit
 
 
 def copies(rate: Column, key: Column) -> Column:
@@ -152,11 +255,11 @@ def copies(rate: Column, key: Column) -> Column:
 def mix_documents(docs: DataFrame, model: DomainModel, shares: dict[str, float] = SHARES, anchor: str = ANCHOR) -> DataFrame:
     """doc_id, n_tokens, p_<domain> ..., rate, copies of every document."""
     posts = materialize(docs.select("doc_id", posterior(docs, model).alias("x")).select("doc_id", "x.p", "x.n_tokens"), "posteriors")
-    steps = fit_rates(posts, shares, anchor)
+    dual = fit_rates(posts, shares, anchor).dual
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            r = rates(_matrix(batch), steps)
+            r = rates(_matrix(batch), dual)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(r, pa.float64())], names=[*batch.schema.names, "rate"])
 
     rated = posts.mapInArrow(run, "doc_id long, p array<double>, n_tokens long, rate double")
@@ -166,12 +269,12 @@ def mix_documents(docs: DataFrame, model: DomainModel, shares: dict[str, float]
 
 def mixed(docs: DataFrame, model: DomainModel, shares: dict[str, float] = SHARES, anchor: str = ANCHOR) -> DataFrame:
     """The documents with a copy or more, once each, with all their columns."""
-    posts = materialize(docs.select(posterior(docs, model).alias("x")).select("x.p", "x.n_tokens"), "posteriors")
-    steps = fit_rates(posts, shares, anchor)
+    posts = materialize(docs.select("doc_id", posterior(docs, model).alias("x")).select("doc_id", "x.p", "x.n_tokens"), "posteriors")
+    dual = fit_rates(posts, shares, anchor).dual
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")
     def rate(texts: pa.Array) -> pa.Array:
-        return pa.array(rates(shared.value.posteriors(texts)[0], steps))
+        return pa.array(rates(shared.value.posteriors(texts)[0], dual))
 
     return docs.filter(copies(rate(text_column()), F.col("doc_id")) > 0)
