@@ -176,6 +176,35 @@ def test_rates_are_a_converged_least_squares_fit(spark, sharp, n):
         assert np.allclose(fit.residual, (tokens - target) / unit, atol=1e-5)
 
 
+def test_mixed_keeps_clean_documents_and_emits_copies(spark):
+    rnd = random.Random(2)
+    rows, marks = [], []
+    for k in range(600):   # a word that half of the bad texts and a part of the clean ones have: soft posteriors
+        bad = k % 3 == 0
+        odd = rnd.random() < (0.6 if bad else 0.15)
+        rows.append((k, " ".join(f"w{rnd.randrange(300)}" for _ in range(60)) + (" odd" if odd else " even")))
+        marks.append((k, int(not bad), 0))
+    docs = documents(spark, rows)
+    model = mixing.fit(docs, labels(spark, marks))
+    shares = {"bad": 0.1, "toxic": 0.0, "clean": 0.9}
+    p = {r.doc_id: r for r in mixing.mix_documents(docs, model, shares).collect()}
+    kept = Counter(r.doc_id for r in mixed_rows(docs, model, shares))
+    clean = {i for i, r in p.items() if r.p_clean > 0.5}
+    assert 300 < len(clean) < 600 and clean <= set(kept)
+    # the fit has to make up for documents that are less than clean, by second copies
+    least = mixing.fit_rates(spark.createDataFrame([(i, [r.p_bad, r.p_toxic, r.p_clean], 60) for i, r in p.items()],
+                                                   "doc_id long, p array<double>, n_tokens long"), shares, whole=2)
+    want = {i: float(mixing.rates(np.array([[r.p_bad, r.p_toxic, r.p_clean]]), least.dual, 2)[0]) for i, r in p.items()}
+    assert abs(sum(kept.values()) - sum(want.values())) < 0.1 * sum(want.values())
+    assert max(kept.values()) >= 2
+
+
+def mixed_rows(docs, model, shares):
+    got = mixing.mixed(docs, model, shares)
+    assert got.columns == docs.columns
+    return got.collect()
+
+
 def test_mixing_of_awkward_rows(spark):
     docs = documents(spark, awkward())
     model = mixing.fit(docs, labels(spark, []))

@@ -22,6 +22,12 @@ these, and ``SAMPLE`` posteriors that give the first dual, reach the driver; the
 sample saves passes and does not decide where the fit ends. What is left of the
 residuals is logged and kept in ``Fit``.
 
+The pipeline's stage (``mixed``) must not lose clean documents, so its rates have
+a least value: 1 for a document whose posterior is mainly of the anchor, 0 for
+others. The fit is the same with r_i = max(least, 1 - p_i . dual). It weighs
+documents by their tokens and emits as many copies as a rate says, so that the
+expected tokens of the output are those of the fit.
+
 Domains of the labels table: ``bad`` (quality 0), ``toxic``, ``clean``.
 ``ANCHOR`` is the domain whose available tokens stay whole; the others' targets
 follow from the shares. A domain without tokens has no target.
@@ -42,13 +48,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import materialize, prepare, text_column
+from tillroll.llm.common import fresh, materialize, prepare, text_column, text_slices
 from tillroll.llm.features import Adam, Design, Scorer, labelled_features
+from tillroll.llm.pieces import encoder
 from tillroll.llm.quality import MAX_ROWS, MIN_ROWS, RIDGE, ROUNDS, rating
 
 DOMAINS = ("bad", "toxic", "clean")          # in the order of the ratings
 SHARES = {"bad": 0.0, "toxic": 0.02, "clean": 0.98}
 ANCHOR = "clean"
+TOKENIZER = "byte_bpe_50k.json"   # of the tokens that weigh documents in the pipeline
 CLOSE = 1e-4    # residual of a domain, as a part of its target, at which the fit ends
 EXACT = 1e-7    # the same for the slope at which the Newton steps for a pull end
 PULLS = tuple(10.0 ** -k for k in range(2, 12))
@@ -132,9 +140,11 @@ def _unit(target: np.ndarray) -> np.ndarray:
     return np.where(target > 0, target, max(target.sum(), np.finfo(float).tiny))
 
 
-def rates(p: np.ndarray, dual: np.ndarray) -> np.ndarray:
-    """Rates of documents; ``p`` has a row for each."""
-    return np.maximum(0.0, 1 - p @ dual)
+def rates(p: np.ndarray, dual: np.ndarray, whole: int | None = None) -> np.ndarray:
+    """Rates of documents; ``p`` has a row for each. At least 1 where the
+    posterior is mainly of the domain numbered ``whole``."""
+    least = 0.0 if whole is None else (p[:, whole] > 0.5).astype(float)
+    return np.maximum(least, 1 - p @ dual)
 
 
 def _matrix(batch: pa.RecordBatch) -> np.ndarray:
@@ -142,17 +152,18 @@ def _matrix(batch: pa.RecordBatch) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1) if batch.num_rows else np.zeros((0, len(DOMAINS)))
 
 
-def moments(p: np.ndarray, n_tokens: np.ndarray, duals: np.ndarray) -> np.ndarray:
-    """For each dual a row: half the weighted squares of the rates, the
-    expected tokens, and the derivatives of these by the dual."""
+def moments(p: np.ndarray, n_tokens: np.ndarray, duals: np.ndarray, whole: int | None = None) -> np.ndarray:
+    """For each dual a row: the documents' part of the dual's function, the
+    expected tokens (less its derivative), and the derivatives of these."""
     out = []
     for dual in duals:
-        r = rates(p, dual)
-        out.append(np.concatenate([[n_tokens @ r**2 / 2], (r * n_tokens) @ p, ((p * (n_tokens * (r > 0))[:, None]).T @ p).ravel()]))
+        r, free = rates(p, dual, whole), 1 - p @ dual
+        out.append(np.concatenate([[n_tokens @ (r * free - r**2 / 2)], (r * n_tokens) @ p,
+                                   ((p * (n_tokens * (r == free))[:, None]).T @ p).ravel()]))
     return np.array(out)
 
 
-def table_moments(posts: DataFrame, n: int) -> Callable[[np.ndarray], np.ndarray]:
+def table_moments(posts: DataFrame, n: int, whole: int | None = None) -> Callable[[np.ndarray], np.ndarray]:
     """``moments`` over a table of ``n`` domains."""
     def at(duals: np.ndarray) -> np.ndarray:
         width = len(duals) * (1 + n + n * n)
@@ -161,7 +172,7 @@ def table_moments(posts: DataFrame, n: int) -> Callable[[np.ndarray], np.ndarray
             total = np.zeros(width)
             for batch in batches:
                 if batch.num_rows:
-                    total += moments(_matrix(batch), batch.column("n_tokens").to_numpy().astype(float), duals).ravel()
+                    total += moments(_matrix(batch), batch.column("n_tokens").to_numpy().astype(float), duals, whole).ravel()
             yield pa.RecordBatch.from_arrays([pa.array([x]) for x in total.tolist()], names=[f"d{k}" for k in range(width)])
 
         sums = posts.select("p", "n_tokens").mapInArrow(run, ", ".join(f"d{k} double" for k in range(width)))
@@ -216,15 +227,15 @@ def _path(at: Callable[[np.ndarray], np.ndarray], available: np.ndarray, target:
     return fits
 
 
-def fit_rates(posts: DataFrame, shares: dict[str, float] = SHARES, anchor: str = ANCHOR) -> Fit:
+def fit_rates(posts: DataFrame, shares: dict[str, float] = SHARES, anchor: str = ANCHOR, whole: int | None = None) -> Fit:
     """``posts`` is a written table: doc_id, p, n_tokens."""
     n = len(shares)
-    at = table_moments(posts, n)
+    at = table_moments(posts, n, whole)
     available = at(np.zeros((1, n)))[0, 1: 1 + n]
     target = _targets(available, shares, anchor)
     rows = posts.select("p", "n_tokens").orderBy(F.xxhash64("doc_id", "p"), "p", "n_tokens").limit(SAMPLE).collect()
     p, words = np.array([r["p"] for r in rows]).reshape(-1, n), np.array([r["n_tokens"] for r in rows], float)
-    guess = _path(lambda duals: moments(p, words, duals), words @ p, _targets(words @ p, shares, anchor))
+    guess = _path(lambda duals: moments(p, words, duals, whole), words @ p, _targets(words @ p, shares, anchor))
     # The largest pull whose fit to the whole table is close, searched from the sample's.
     k = max(0, len(guess) - 2)
     fit = newton(at, available, target, PULLS[k], guess[k].dual)
@@ -267,14 +278,28 @@ def mix_documents(docs: DataFrame, model: DomainModel, shares: dict[str, float]
                         "rate", copies(F.col("rate"), F.col("doc_id")).alias("copies"))
 
 
-def mixed(docs: DataFrame, model: DomainModel, shares: dict[str, float] = SHARES, anchor: str = ANCHOR) -> DataFrame:
-    """The documents with a copy or more, once each, with all their columns."""
-    posts = materialize(docs.select("doc_id", posterior(docs, model).alias("x")).select("doc_id", "x.p", "x.n_tokens"), "posteriors")
-    dual = fit_rates(posts, shares, anchor).dual
+def mixed(docs: DataFrame, model: DomainModel, shares: dict[str, float] = SHARES, anchor: str = ANCHOR,
+          tokenizer: str = TOKENIZER) -> DataFrame:
+    """The documents, each as often as it has copies, with all their columns."""
+    prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    whole = list(shares).index(anchor)
+
+    @F.arrow_udf("p array<double>, n_tokens long")
+    def weigh(texts: pa.Array) -> pa.Array:
+        p, _ = shared.value.posteriors(texts)
+        parts = text_slices(pa.RecordBatch.from_arrays([texts], ["text"]))
+        tokens = np.concatenate([np.zeros(0, np.int64), *(encoder(tokenizer).count(x.column("text")) for x in parts)])
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1) * p.shape[1], pa.int32()), pa.array(p.ravel()))
+        return pa.StructArray.from_arrays([lists, pa.array(tokens, pa.int64())], names=["p", "n_tokens"])
+
+    posts = materialize(docs.select("doc_id", weigh(text_column()).alias("x")).select("doc_id", "x.p", "x.n_tokens"), "posteriors")
+    dual = fit_rates(posts, shares, anchor, whole).dual
 
     @F.arrow_udf("double")
     def rate(texts: pa.Array) -> pa.Array:
-        return pa.array(rates(shared.value.posteriors(texts)[0], dual))
+        return pa.array(rates(shared.value.posteriors(texts)[0], dual, whole))
 
-    return docs.filter(copies(rate(text_column()), F.col("doc_id")) > 0)
+    times, copy = fresh(docs, "times"), fresh(docs, "copy")
+    counted = docs.withColumn(times, copies(rate(text_column()), F.col("doc_id"))).filter(F.col(times) > 0)
+    return counted.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(times))).alias(copy)).drop(copy)
