@@ -326,3 +326,22 @@ def test_pipeline_on_the_documents(spark):
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF2).collect()
     assert {r.doc_id for r in packed} == ids
     assert {r.doc_id for r in corpus_pipeline.run(spark, SF2).collect()} == ids
+
+
+def test_planted_toxic_documents_do_not_reach_packing(spark, tmp_path):
+    rnd = random.Random(4)
+    rows, marks = [], []
+    for k in range(600):
+        toxic, junk = k % 60 < 3, k % 60 == 3
+        text = " ".join(f"w{rnd.randrange(100_000)}" for _ in range(80)) + (" badword badword" if toxic else "")
+        rows.append((k, "JUNK!!! " * (40 + k) if junk else text))
+        marks.append((k, int(not junk), int(toxic)))
+    documents(spark, rows, extra=False).write.parquet(f"{tmp_path}/documents.parquet")
+    labels(spark, marks[:480]).write.parquet(f"{tmp_path}/labels.parquet")
+    docs = table(spark, str(tmp_path), "documents")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, str(tmp_path)).collect(), docs.schema)
+    left = {r.doc_id for r in docs.collect()}
+    assert not left & {i for i, _, toxic in marks if toxic}
+    clean = {i for i, good, toxic in marks if good and not toxic}
+    assert len(clean - left) <= 0.02 * len(clean)

@@ -29,7 +29,7 @@ MAX_ROWS = 8_000   # labelled documents of a fit
 MIN_ROWS = 5       # a feature in fewer of them gets no weight
 ROUNDS = 400
 RIDGE = 1e-4
-ACCEPT = 0.5       # least P(grade >= 1) of a document that is kept
+ACCEPT = 0.5       # least P(grade >= 1) of an accepted document; of P(grade >= 2) in the pipeline
 
 
 def rating() -> Column:
@@ -106,5 +106,6 @@ def grade_documents(docs: DataFrame, model: OrdinalModel, accept: float = ACCEPT
 
 
 def accepted(docs: DataFrame, model: OrdinalModel, accept: float = ACCEPT) -> DataFrame:
-    """The documents that are accepted, with all their columns."""
-    return docs.filter(tail(score(docs, model), model, 1) >= accept)
+    """The documents whose grade is the highest, good and clean, by its tail
+    probability, with all their columns: toxic ones go too."""
+    return docs.filter(tail(score(docs, model), model, len(model.thresholds)) >= accept)
