@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm import (
-    id_files, license_scan, lm_score, mixing, packing, quality, simhash, span_prints, token_counts, topk_search,
+    id_files, license_scan, lm_score, mixing, packing, quality, repeats, resampling, simhash, span_prints, spelling,
+    token_counts, topk_search,
 )
 from tillroll.llm.common import table
 
@@ -56,10 +57,24 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents"), least=6, times=5, ratio=5)
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=5, least_words=20, seed=42)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = repeats.remove_repeats(table(spark, sf_dir, "documents"), window=20)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality, op2_lm_score, op3_packing, op4_mixing, op5_license_scan, op6_token_counts, op7_id_files,
-        op8_span_prints, op9_topk_search, op10_simhash,
+        op8_span_prints, op9_topk_search, op10_simhash, op11_spelling, op12_resampling, op13_repeats,
     )
 }
 
