@@ -1,0 +1,143 @@
+"""Publishing that changes a table at once or not at all, its gate, and the audit log."""
+
+import datetime as dt
+import os
+from concurrent.futures import ThreadPoolExecutor
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from tillroll import operators as op
+from tillroll.plans import jobs
+from tillroll.sources import MappedTables, append_audit, merge_audit, publish_table, read_audit, stage_table
+from tillroll.testdata import AS_OF, TestdataTables
+
+SF = "/root/testdata/sf0.001"
+
+
+def versions(path):
+    return sorted(f for f in os.listdir(path) if f.startswith("v-"))
+
+
+def broken(spark, n=1000):
+    """Rows of which the last can't be computed: some files are written, then a task fails."""
+    return spark.range(0, n, 1, 4).select(F.when(F.col("id") < n - 1, F.col("id")).otherwise(
+        F.raise_error(F.lit("no such row")).cast("bigint")).alias("id"))
+
+
+def test_a_write_that_fails_midway_leaves_the_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert publish_table(spark.range(7), path, "pub_a", "t") == 7
+    held = spark.read.table("pub_a.t")
+    with pytest.raises(Exception, match="no such row"):
+        publish_table(broken(spark), path, "pub_a", "t")
+    assert rows(spark.read.table("pub_a.t")) == rows(held) == [(k,) for k in range(7)]
+    assert len(versions(path)) == 1 and [t.name for t in spark.catalog.listTables("pub_a")] == ["t"]
+    assert publish_table(spark.range(9), path, "pub_a", "t") == 9
+    assert spark.read.table("pub_a.t").count() == 9
+    assert held.count() == 7   # a query of the version before still finds its files
+    for n in (2, 3, 4):
+        publish_table(spark.range(n), path, "pub_a", "t")
+    assert len(versions(path)) == 2 and spark.read.table("pub_a.t").count() == 4
+    kind = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED pub_a.t").collect()}
+    assert kind["Type"] == "EXTERNAL" and kind["Location"].endswith(versions(path)[-1])
+
+
+def test_new_columns_partitions_and_buckets(spark, tmp_path):
+    path = str(tmp_path / "t")
+    publish_table(spark.range(5), path, "pub_b", "t")
+    two = spark.range(6).withColumn("half", F.col("id") % 2)
+    publish_table(two, path, "pub_b", "t")
+    assert spark.read.table("pub_b.t").columns == ["id", "half"]
+    for n in (6, 8):
+        publish_table(two.filter(F.col("id") < n - 1), path, "pub_b", "t", partition_by=["half"])
+        assert spark.read.table("pub_b.t").filter("half = 1").count() == (n - 1) // 2
+    for n in (4, 5):
+        publish_table(two.filter(F.col("id") < n), path, "pub_b", "t", bucket_by=(2, ["id"]))
+    assert spark.read.table("pub_b.t").count() == 5
+    described = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED pub_b.t").collect()}
+    assert described["Num Buckets"] == "2"
+    assert [t.name for t in spark.catalog.listTables("pub_b")] == ["t"]
+
+
+def test_a_change_of_names_left_half_done_is_undone(spark, tmp_path):
+    path = str(tmp_path / "t")
+    publish_table(spark.range(5), path, "pub_c", "t")
+    spark.sql("ALTER TABLE pub_c.t RENAME TO pub_c.t__old_0")   # as a driver lost between the two steps leaves it
+    with pytest.raises(Exception, match="no such row"):
+        publish_table(broken(spark), path, "pub_c", "t")
+    assert spark.read.table("pub_c.t").count() == 5
+
+
+@pytest.mark.parametrize("df, message", [("empty", "is empty"), ("nulls", "2 rows of t lack id")])
+def test_the_gate_is_part_of_the_write(spark, tmp_path, df, message):
+    path = str(tmp_path / "t")
+    publish_table(spark.range(3), path, f"pub_{df}", "t", key="id", gate=True)
+    bad = spark.range(0) if df == "empty" else spark.range(5).select(F.when(F.col("id") > 1, F.col("id")).alias("id"))
+    with pytest.raises(op.DataQualityError, match=message):
+        publish_table(bad, path, f"pub_{df}", "t", key="id", gate=True)
+    assert spark.read.table(f"pub_{df}.t").count() == 3 and len(versions(path)) == 1
+    staged = stage_table(bad, path, f"pub_{df}", "t", key="id", gate=False)
+    assert (staged.rows, staged.null_keys) == ((0, 0) if df == "empty" else (5, 2))
+    assert spark.read.table(f"pub_{df}.t").count() == 3
+    staged.discard()
+    assert len(versions(path)) == 1
+
+
+def test_cleaning_refuses_an_empty_or_null_keyed_table(spark, tmp_path):
+    t = TestdataTables(spark, SF)
+    names = ["customers", "orders", *jobs.PASSTHROUGH_TABLES]
+    good = {name: t.table(name) for name in names}
+    root = str(tmp_path / "silver")
+    first = jobs.run_cleaning(spark, MappedTables(good), root, "gated", AS_OF, run_id="day-1")
+    before = {name: spark.read.table(f"gated.{name}").count() for name in names}
+    assert before == {k: v for k, v in first.rows.items() if k != "rejected_orders"}
+    items = good["order_items"]
+    # The last tables fail: customers and orders are staged by then, and must not be published.
+    for bad in ({"historical_customer_sales": good["historical_customer_sales"].limit(0)},
+                {"order_items": items.withColumn("order_id", F.when(F.col("order_id") % 50 != 0, F.col("order_id")))}):
+        fewer = {"customers": good["customers"].filter("customer_id % 2 = 0")}
+        with pytest.raises(op.DataQualityError):
+            jobs.run_cleaning(spark, MappedTables(good | fewer | bad), root, "gated", AS_OF, run_id="day-2")
+        assert {name: spark.read.table(f"gated.{name}").count() for name in names} == before
+    assert {t.name for t in spark.catalog.listTables("gated")} == set(names)
+    jobs.run_cleaning(spark, MappedTables(good | {"customers": good["customers"].filter("customer_id % 2 = 0")}),
+                      root, "gated", AS_OF, run_id="day-2")
+    assert spark.read.table("gated.customers").count() < before["customers"]
+    audit = sorted((a.run_id, a.status) for a in read_audit(spark, f"{root}/cleaning").collect())
+    assert audit == [("day-1", "SUCCESS"), ("day-2", "FAILURE"), ("day-2", "SUCCESS")]   # two failures of a run: one row
+
+
+def test_the_gate_adds_no_scan(spark, tmp_path):
+    """Counts come from the write: every row is computed once."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(0, 100, 1, 3).mapInArrow(look, "id long")
+    staged = stage_table(df, str(tmp_path / "t"), "pub_d", "t", key="id", gate=True)
+    assert (staged.rows, seen.value) == (100, 100)
+    staged.discard()
+
+
+NOW = dt.datetime(2024, 5, 1)
+
+
+def test_audit_rows_are_added_once(spark, tmp_path):
+    base = str(tmp_path)
+    assert append_audit(spark, base, "job", "SUCCESS", 5, NOW, NOW, run_id="r/1")
+    assert not append_audit(spark, base, "job", "SUCCESS", 5, NOW, NOW, run_id="r/1")   # a retry
+    with ThreadPoolExecutor(8) as pool:   # writers at the same time, each run twice
+        done = list(pool.map(lambda k: append_audit(spark, base, f"job{k % 4}", "SUCCESS", k, NOW, NOW, run_id="r/2"), range(8)))
+    assert sum(done) == 4
+    got = read_audit(spark, base)
+    assert sorted((r.job_name, r.run_id) for r in got.collect()) == [("job", "r/1"), *((f"job{k}", "r/2") for k in range(4))]
+    assert merge_audit(spark, base) == 0
+    assert merge_audit(spark, base, least=5) == 5
+    assert len([f for f in os.listdir(f"{base}/audit_log") if f.endswith(".parquet")]) == 1
+    assert append_audit(spark, base, "job", "FAILURE", 0, NOW, NOW, run_id="r/3")
+    assert read_audit(spark, base).count() == 6 and spark.read.parquet(f"{base}/audit_log").count() == 6

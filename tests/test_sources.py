@@ -1,5 +1,5 @@
 from tillroll.sources import CatalogTables, ParquetTables, read_files, write_outputs
-from tillroll.sources.sinks import publish_table
+from tillroll.sources.publish import publish_table
 
 
 def test_read_files_formats(spark, tmp_path):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import digits_only, email_shape
@@ -106,14 +106,25 @@ class DataQualityError(Exception):
     """Raised by ``dq_gate`` when a table is empty or its key has NULLs."""
 
 
+def gate_counts(key: str | None = None) -> list[Column]:
+    """record_count and null_key_count (0 without a key) as aggregates: of a
+    table, or observed while it is written."""
+    null_keys = F.count_if(F.col(key).isNull()) if key else F.sum(F.lit(0).cast("bigint"))
+    return [F.count(F.lit(1)).alias("record_count"), F.coalesce(null_keys, F.lit(0).cast("bigint")).alias("null_key_count")]
+
+
+def check_counts(table_name: str, record_count: int, null_key_count: int, key: str | None = None) -> None:
+    """Raise ``DataQualityError`` for an empty table or one with null keys."""
+    if record_count == 0:
+        raise DataQualityError(f"quality gate: table {table_name} is empty")
+    if null_key_count > 0:
+        raise DataQualityError(f"quality gate: {null_key_count} rows of {table_name} lack {key}")
+
+
 def dq_metrics(df: DataFrame, table_name: str, key: str | None = None) -> DataFrame:
     """One row: table_name, record_count, null_key_count (0 without a key),
     passed. A single global aggregate, partial per partition."""
-    null_keys = F.count_if(F.col(key).isNull()) if key else F.lit(0).cast("bigint")
-    return df.agg(
-        F.count(F.lit(1)).alias("record_count"),
-        null_keys.alias("null_key_count"),
-    ).select(
+    return df.agg(*gate_counts(key)).select(
         F.lit(table_name).alias("table_name"),
         "record_count",
         "null_key_count",
@@ -134,8 +145,5 @@ def dq_gate(df: DataFrame, table_name: str, key: str | None = None) -> int:
     """Raise ``DataQualityError`` if ``df`` is empty or ``key`` has NULLs;
     otherwise return the row count. One action."""
     row = dq_metrics(df, table_name, key).first()
-    if row.record_count == 0:
-        raise DataQualityError(f"quality gate: table {table_name} is empty")
-    if row.null_key_count > 0:
-        raise DataQualityError(f"quality gate: {row.null_key_count} rows of {table_name} lack {key}")
+    check_counts(table_name, row.record_count, row.null_key_count, key)
     return int(row.record_count)

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -25,8 +25,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillroll import operators as op
 from tillroll.session import scratch_path
+from tillroll.sources.audit import append_audit
 from tillroll.sources.files import read_csv_with_header
-from tillroll.sources.sinks import append_audit, publish_table, write_output, write_outputs
+from tillroll.sources.publish import Staged, delete_folder, new_version, stage_table
+from tillroll.sources.sinks import write_output, write_outputs
 from tillroll.sources.tables import CatalogTables, Tables
 
 # Tables the cleaning stage copies from bronze to silver unchanged.
@@ -40,6 +42,19 @@ PASSTHROUGH_TABLES = [
     "historical_customer_sales",
 ]
 
+# Keys that the quality gate of the cleaning stage wants without nulls; tables
+# that are not named here only must not be empty.
+GATE_KEYS = {
+    "customers": "customer_id",
+    "orders": "order_id",
+    "order_items": "order_id",
+    "products": "product_id",
+    "loginhistory": "customer_id",
+    "customersupport": "TicketID",
+    "enterprisecampaigns": "CustomerID",
+    "historical_customer_sales": "order_id",
+}
+
 
 @dataclass
 class JobResult:
@@ -48,6 +63,7 @@ class JobResult:
     rows: dict[str, int] = field(default_factory=dict)
     start_time: dt.datetime | None = None
     end_time: dt.datetime | None = None
+    run_id: str | None = None
 
 
 @contextmanager
@@ -70,8 +86,7 @@ def materialized(df: DataFrame, name: str, partition_by: list[str] | None = None
         writer.parquet(path)
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        delete_folder(spark, path)
 
 
 def _run(
@@ -80,19 +95,63 @@ def _run(
     audit_base: str | None,
     body: Callable[[], dict[str, int]],
     audit_count_key: str | None = None,
+    run_id: str | None = None,
 ) -> JobResult:
-    start = dt.datetime.now()
+    """``run_id`` names the run in the audit log; a retry that passes the same
+    one adds no second row of the same status."""
+    start, run_id = dt.datetime.now(), run_id or new_version()
     try:
         rows = body()
     except Exception:
         if audit_base:
-            append_audit(spark, audit_base, job_name, "FAILURE", 0, start, dt.datetime.now())
+            append_audit(spark, audit_base, job_name, "FAILURE", 0, start, dt.datetime.now(), run_id)
         raise
     end = dt.datetime.now()
     if audit_base:
         count = rows.get(audit_count_key, 0) if audit_count_key else sum(rows.values())
-        append_audit(spark, audit_base, job_name, "SUCCESS", count, start, end)
-    return JobResult(job_name, "SUCCESS", rows, start, end)
+        append_audit(spark, audit_base, job_name, "SUCCESS", count, start, end, run_id)
+    return JobResult(job_name, "SUCCESS", rows, start, end, run_id)
+
+
+def stage_silver(
+    spark: SparkSession,
+    bronze: Tables,
+    target_root: str,
+    database: str,
+    as_of: dt.date,
+    strict_email: bool = False,
+    order_buckets: int | None = None,
+    concurrency: int = 4,
+    gate_keys: Mapping[str, str] | None = GATE_KEYS,
+    passthrough: Sequence[str] = PASSTHROUGH_TABLES,
+) -> dict[str, Staged]:
+    """Write new versions of the silver tables, each checked by the counts of
+    its own write, and publish none: an empty table or a null key raises, and
+    what was staged goes. ``gate_keys=None`` checks nothing."""
+    root = target_root.rstrip("/")
+    by_order = (order_buckets, ["order_id"]) if order_buckets else None
+    staged: dict[str, Staged] = {}
+
+    def stage(name: str, df: DataFrame) -> None:
+        bucket = by_order if name in ("orders", "order_items") else None
+        staged[name] = stage_table(df, f"{root}/{name}", database, name, bucket_by=bucket,
+                                   key=(gate_keys or {}).get(name), gate=gate_keys is not None)
+
+    try:
+        stage("customers", op.clean_customers(bronze.table("customers"), strict_email))
+        # Orders are checked against the staged customers: the cleaned set is
+        # read back instead of being recomputed.
+        stage("orders", op.clean_orders(bronze.table("orders"), staged["customers"].read(), as_of))
+        # The copies are independent: submitted from several driver threads,
+        # their small stages share the cores.
+        with ThreadPoolExecutor(max_workers=max(1, concurrency)) as pool:
+            for done in [pool.submit(stage, name, bronze.table(name)) for name in passthrough]:
+                done.result()
+    except Exception:
+        for table in staged.values():
+            table.discard()
+        raise
+    return staged
 
 
 def run_cleaning(
@@ -106,12 +165,17 @@ def run_cleaning(
     audit: bool = True,
     order_buckets: int | None = None,
     concurrency: int = 4,
+    gate_keys: Mapping[str, str] | None = GATE_KEYS,
+    run_id: str | None = None,
 ) -> JobResult:
     """Bronze -> silver: clean customers and orders, copy seven tables, publish
     all nine as external tables under ``target_root/<name>``, audit with
     the clean customer count.
 
-    Orders whose amount does not fit go to ``target_root/rejected_orders``.
+    All nine are written and checked before the first is published, so a failed
+    write, an empty table or a null key leaves the silver tables of the last
+    run as they were. Orders whose amount does not fit go to
+    ``target_root/rejected_orders``.
 
     ``order_buckets=n`` publishes orders and order_items bucketed by
     ``order_id`` into ``n`` buckets, so the sales fact's largest join
@@ -122,32 +186,19 @@ def run_cleaning(
     default path shuffles and lets AQE split a skewed order's partition).
     """
     root = target_root.rstrip("/")
-    by_order = (order_buckets, ["order_id"]) if order_buckets else None
 
     def body() -> dict[str, int]:
-        rows: dict[str, int] = {}
-        customers = op.clean_customers(bronze.table("customers"), strict_email)
-        rows["customers"] = publish_table(customers, f"{root}/customers", database, "customers")
-        # Orders are checked against the published customers: the cleaned
-        # set is read back instead of being recomputed.
-        published = spark.read.table(f"{database}.customers")
-        orders = bronze.table("orders")
-        rows["orders"] = publish_table(
-            op.clean_orders(orders, published, as_of), f"{root}/orders", database, "orders", bucket_by=by_order)
-        # Amounts that do not fit decimal(10,2) are kept apart for a look.
-        rows["rejected_orders"] = write_output(op.rejected_orders(orders, as_of), f"{root}/rejected_orders")
-        # The seven copies are independent: submitted from several driver
-        # threads, their small stages share the cores.
-        def copy(name: str) -> int:
-            bucket = by_order if name == "order_items" else None
-            return publish_table(bronze.table(name), f"{root}/{name}", database, name, bucket_by=bucket)
-
-        with ThreadPoolExecutor(max_workers=max(1, concurrency)) as pool:
-            copied = {name: pool.submit(copy, name) for name in PASSTHROUGH_TABLES}
-            rows.update({name: f.result() for name, f in copied.items()})
-        return rows
-
-    return _run(spark, job_name, f"{root}/{job_name}" if audit else None, body, "customers")
+        staged = stage_silver(spark, bronze, root, database, as_of, strict_email, order_buckets, concurrency, gate_keys)
+        try:
+            # Amounts that do not fit decimal(10,2) are kept apart for a look.
+            rejected = write_output(op.rejected_orders(bronze.table("orders"), as_of), f"{root}/rejected_orders")
+        except Exception:
+            for table in staged.values():
+                table.discard()
+            raise
+        return {name: table.publish() for name, table in staged.items()} | {"rejected_orders": rejected}
+
+    return _run(spark, job_name, f"{root}/{job_name}" if audit else None, body, "customers", run_id)
 
 
 def run_churn(spark: SparkSession, tables: Tables, output_path: str, as_of: dt.date) -> JobResult:

@@ -58,4 +58,5 @@ AUDIT_LOG = T.StructType([
     T.StructField("start_time", T.TimestampType()),
     T.StructField("end_time", T.TimestampType()),
     T.StructField("log_ts", T.TimestampType()),
+    T.StructField("run_id", T.StringType()),
 ])

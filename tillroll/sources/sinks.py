@@ -4,15 +4,12 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tillroll.schema import AUDIT_LOG
-
 
 def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     obs = Observation(name)
@@ -35,40 +32,6 @@ def write_output(
     return int(obs.get["rows"])
 
 
-def publish_table(
-    df: DataFrame,
-    path: str,
-    database: str,
-    table: str,
-    fmt: str = "parquet",
-    mode: str = "overwrite",
-    partition_by: Sequence[str] | None = None,
-    bucket_by: tuple[int, Sequence[str]] | None = None,
-) -> int:
-    """Write ``df`` once as an EXTERNAL catalog table stored at ``path``.
-
-    ``saveAsTable`` with an explicit ``path`` both writes the files and
-    registers the table, so the data is written a single time.
-
-    ``bucket_by=(n, cols)`` stores the table hash-bucketed and sorted by
-    ``cols``. Two tables bucketed the same way on a join key are joined later
-    without shuffling either side. The rows are shuffled once here, into one
-    file per bucket.
-    """
-    spark = df.sparkSession
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    if bucket_by:
-        df = df.repartition(bucket_by[0], *bucket_by[1])
-    observed, obs = _observed(df, f"publish:{database}.{table}")
-    writer = observed.write.format(fmt).mode(mode).option("path", path)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    if bucket_by:
-        writer = writer.bucketBy(bucket_by[0], *bucket_by[1]).sortBy(*bucket_by[1])
-    writer.saveAsTable(f"{database}.{table}")
-    return int(obs.get["rows"])
-
-
 def write_outputs(
     outputs: Mapping[str, DataFrame],
     base_path: str,
@@ -87,33 +50,3 @@ def write_outputs(
     with ThreadPoolExecutor(max_workers=concurrency) as pool:
         futures = {name: pool.submit(write_output, df, f"{root}/{name}", fmt) for name, df in outputs.items()}
         return {name: f.result() for name, f in futures.items()}
-
-
-def audit_row(
-    spark: SparkSession,
-    job_name: str,
-    status: str,
-    record_count: int,
-    start_time: dt.datetime,
-    end_time: dt.datetime,
-    log_ts: dt.datetime | None = None,
-) -> DataFrame:
-    """One audit record with the declared audit schema."""
-    log_ts = log_ts or dt.datetime.now()
-    return spark.createDataFrame(
-        [(job_name, status, int(record_count), start_time, end_time, log_ts)], schema=AUDIT_LOG
-    )
-
-
-def append_audit(
-    spark: SparkSession,
-    base_path: str,
-    job_name: str,
-    status: str,
-    record_count: int,
-    start_time: dt.datetime,
-    end_time: dt.datetime,
-) -> None:
-    """Append one status row to ``<base_path>/audit_log`` (parquet)."""
-    audit_row(spark, job_name, status, record_count, start_time, end_time) \
-        .coalesce(1).write.mode("append").parquet(f"{base_path.rstrip('/')}/audit_log")
