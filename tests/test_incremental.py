@@ -1,0 +1,125 @@
+"""Copies that follow their source's files."""
+
+import os
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import plan_text, rows
+from tillroll import operators as op
+from tillroll.sources.incremental import follow_table, source_files
+
+
+def tree(path):
+    return sorted((f, os.stat(os.path.join(d, f)).st_mtime_ns) for d, _, names in os.walk(path) for f in names)
+
+
+@pytest.fixture
+def bronze(spark, tmp_path):
+    """A folder of files, and how to change it."""
+    folder = str(tmp_path / "bronze dir")
+
+    class Bronze:
+        def put(self, name, low, high, **extra):
+            spark.range(low, high, 1, 1).select("id", (F.col("id") % 7).alias("x"), *(F.lit(v).alias(c) for c, v in extra.items())) \
+                .write.mode("overwrite").parquet(f"{tmp_path}/one")
+            part = next(f for f in os.listdir(f"{tmp_path}/one") if f.endswith(".parquet"))
+            os.makedirs(folder, exist_ok=True)
+            os.replace(f"{tmp_path}/one/{part}", f"{folder}/{name}.parquet")
+
+        def drop(self, name):
+            os.remove(f"{folder}/{name}.parquet")
+
+        def table(self):
+            return spark.read.parquet(folder)
+
+    b = Bronze()
+    for k in range(4):
+        b.put(f"f{k}", 10 * k, 10 * k + 10)
+    return b
+
+
+def test_copies_follow_changes(spark, tmp_path, bronze):
+    path = str(tmp_path / "silver")
+
+    def run(**kw):
+        got = follow_table(bronze.table(), path, "inc_a", "t", key="id", **kw)
+        copy = spark.read.table("inc_a.t")
+        assert rows(copy) == rows(bronze.table()) and copy.columns == bronze.table().columns
+        assert got.rows == bronze.table().count()
+        return got.files_written, got.rows_written
+
+    assert run() == (4, 40)
+    before = tree(path)
+    assert run() == (0, 0) and tree(path) == before          # nothing changed, nothing written
+    bronze.put("f4", 100, 105)
+    assert run() == (1, 5)                                    # a new file alone
+    time.sleep(0.01)
+    bronze.put("f1", 500, 503)
+    assert run() == (4, 33)                                   # a changed one: the files of its load
+    bronze.drop("f4")
+    assert run() == (0, 0) and spark.read.table("inc_a.t").filter("id between 100 and 104").isEmpty()
+    before = tree(path)
+    assert run() == (0, 0) and tree(path) == before
+    for k in range(5, 9):
+        bronze.put(f"f{k}", 1000 * k, 1000 * k + 2)
+        assert run(most_loads=4) == ((1, 2) if k < 8 else (8, 41))    # then all into one load
+    folders = [f for f in os.listdir(path) if f.startswith("load-")]
+    assert len(folders) <= 5
+    bronze.put("f9", 1, 3, more=5)
+    wider = spark.read.option("mergeSchema", True).parquet(str(tmp_path / "bronze dir"))
+    assert follow_table(wider, path, "inc_a", "t").files_written == 9
+    assert rows(spark.read.table("inc_a.t")) == rows(wider) and "more" in spark.read.table("inc_a.t").columns
+
+
+def test_a_copy_that_fails_leaves_the_table(spark, tmp_path, bronze):
+    path = str(tmp_path / "silver")
+    follow_table(bronze.table(), path, "inc_b", "t", key="id")
+    before, files = rows(spark.read.table("inc_b.t")), tree(path)
+    bronze.put("f5", 0, 3)
+    nulls = bronze.table().withColumn("id", F.when(F.col("x") != 1, F.col("id")))
+    for df, error in ((nulls, op.DataQualityError), (bronze.table().withColumn("x", F.raise_error(F.lit("no such row"))), Exception)):
+        with pytest.raises(error):
+            follow_table(df, path, "inc_b", "t", key="id")
+        assert rows(spark.read.table("inc_b.t")) == before and tree(path) == files
+    assert follow_table(bronze.table(), path, "inc_b", "t", key="id").files_written == 1
+    for k in range(6):
+        if k != 4:
+            bronze.drop(f"f{k}")
+    with pytest.raises(op.DataQualityError, match="is empty"):
+        follow_table(spark.read.schema("id long, x long").parquet(str(tmp_path / "bronze dir")), path, "inc_b", "t")
+    assert spark.read.table("inc_b.t").count() == 43
+
+
+def test_only_changed_files_are_opened(spark, bronze):
+    listed = plan_text(source_files(bronze.table()))
+    assert "ReadSchema: struct<>" in listed
+    one = source_files(bronze.table()).orderBy("file").first()["file"]
+    read = bronze.table().filter(F.col("_metadata.file_path").isin([one]))
+    assert read.count() == 10 and "_metadata" in plan_text(read)
+
+
+def test_cleaning_by_changed_files(spark, tmp_path):
+    from tillroll.plans import jobs
+    from tillroll.sources import ParquetTables
+    from tillroll.testdata import AS_OF, TestdataTables
+
+    t = TestdataTables(spark, "/root/testdata/sf0.001")
+    names = ["customers", "orders", *jobs.PASSTHROUGH_TABLES]
+    for name in names:
+        t.table(name).write.parquet(f"{tmp_path}/bronze/{name}")
+    bronze, root = ParquetTables(spark, f"{tmp_path}/bronze"), f"{tmp_path}/silver"
+    jobs.run_cleaning(spark, bronze, root, "inc_c", AS_OF)                # full copies first
+    first = jobs.run_cleaning(spark, bronze, root, "inc_c", AS_OF, incremental=True)
+    held = {name: tree(f"{root}/{name}") for name in jobs.PASSTHROUGH_TABLES}
+    again = jobs.run_cleaning(spark, bronze, root, "inc_c", AS_OF, incremental=True)
+    assert again.rows == first.rows
+    assert held == {name: tree(f"{root}/{name}") for name in jobs.PASSTHROUGH_TABLES}
+    t.table("products").limit(5).write.mode("append").parquet(f"{tmp_path}/bronze/products")
+    more = jobs.run_cleaning(spark, bronze, root, "inc_c", AS_OF, incremental=True)
+    assert more.rows["products"] == first.rows["products"] + 5
+    for name in jobs.PASSTHROUGH_TABLES:
+        assert spark.read.table(f"inc_c.{name}").count() == bronze.table(name).count()
+    full = jobs.run_cleaning(spark, bronze, root, "inc_c", AS_OF)         # and back
+    assert full.rows == more.rows and spark.read.table("inc_c.products").count() == full.rows["products"]

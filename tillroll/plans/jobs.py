@@ -27,6 +27,7 @@ from tillroll import operators as op
 from tillroll.session import scratch_path
 from tillroll.sources.audit import append_audit
 from tillroll.sources.files import read_csv_with_header
+from tillroll.sources.incremental import follow_table
 from tillroll.sources.publish import Staged, delete_folder, new_version, stage_table
 from tillroll.sources.sinks import write_output, write_outputs
 from tillroll.sources.tables import CatalogTables, Tables
@@ -167,6 +168,7 @@ def run_cleaning(
     concurrency: int = 4,
     gate_keys: Mapping[str, str] | None = GATE_KEYS,
     run_id: str | None = None,
+    incremental: bool = False,
 ) -> JobResult:
     """Bronze -> silver: clean customers and orders, copy seven tables, publish
     all nine as external tables under ``target_root/<name>``, audit with
@@ -177,6 +179,11 @@ def run_cleaning(
     run as they were. Orders whose amount does not fit go to
     ``target_root/rejected_orders``.
 
+    ``incremental=True`` copies the seven tables by changed source files
+    (``follow_table``) instead of in full. Each is then a view that changes at
+    once; customers and orders change after all seven have. ``bronze`` has to
+    give plain scans of files.
+
     ``order_buckets=n`` publishes orders and order_items bucketed by
     ``order_id`` into ``n`` buckets, so the sales fact's largest join
     (orders ⋈ order_items) reads co-partitioned buckets instead of shuffling
@@ -184,19 +191,29 @@ def run_cleaning(
     Off by default: a bucketed join has no shuffle for AQE to split, so turn
     it on only when no single order holds a large share of the lines (the
     default path shuffles and lets AQE split a skewed order's partition).
+    With ``incremental`` only orders are bucketed.
     """
     root = target_root.rstrip("/")
 
+    def follow(name: str) -> int:
+        return follow_table(bronze.table(name), f"{root}/{name}", database, name,
+                            key=(gate_keys or {}).get(name), gate=gate_keys is not None).rows
+
     def body() -> dict[str, int]:
-        staged = stage_silver(spark, bronze, root, database, as_of, strict_email, order_buckets, concurrency, gate_keys)
+        staged = stage_silver(spark, bronze, root, database, as_of, strict_email, order_buckets, concurrency, gate_keys,
+                              () if incremental else PASSTHROUGH_TABLES)
+        followed: dict[str, int] = {}
         try:
             # Amounts that do not fit decimal(10,2) are kept apart for a look.
             rejected = write_output(op.rejected_orders(bronze.table("orders"), as_of), f"{root}/rejected_orders")
+            if incremental:
+                with ThreadPoolExecutor(max_workers=max(1, concurrency)) as pool:
+                    followed = dict(zip(PASSTHROUGH_TABLES, pool.map(follow, PASSTHROUGH_TABLES)))
         except Exception:
             for table in staged.values():
                 table.discard()
             raise
-        return {name: table.publish() for name, table in staged.items()} | {"rejected_orders": rejected}
+        return {name: table.publish() for name, table in staged.items()} | followed | {"rejected_orders": rejected}
 
     return _run(spark, job_name, f"{root}/{job_name}" if audit else None, body, "customers", run_id)
 

@@ -61,6 +61,10 @@ def _shape(spark: SparkSession, name: str) -> tuple:
     return spark.read.table(name).schema.json(), [(r.col_name, r.data_type) for r in described if r.col_name in fields]
 
 
+def is_view(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType == "VIEW"
+
+
 @dataclass
 class Staged:
     """A written table that is not published yet."""
@@ -92,6 +96,8 @@ class Staged:
     def publish(self) -> int:
         """Make this the table, and return its number of rows."""
         spark = self.spark
+        if is_view(spark, self.name):   # a copy by changed files of before
+            spark.sql(f"DROP VIEW {self.name}")
         if not spark.catalog.tableExists(self.name):
             spark.sql(f"ALTER TABLE {self.staged_name} RENAME TO {self.name}")
         elif not self.partitioned and _shape(spark, self.name) == _shape(spark, self.staged_name):
