@@ -21,13 +21,29 @@ from tillroll.operators.quality import (
     rejected_orders,
 )
 from tillroll.operators.ranking import customer_spending, top_customers_by_country
-from tillroll.operators.risk import churn_risk, high_risk_customers, high_risk_orders, suspicious_logins
+from tillroll.operators.risk import (
+    churn_of_customers,
+    churn_risk,
+    customer_orders,
+    high_risk_customers,
+    high_risk_orders,
+    merge_customer_orders,
+    suspicious_logins,
+)
 from tillroll.operators.sales import (
     align_history,
+    checked_fact_all,
+    checked_history,
+    customer_months,
     customer_purchase_trend,
     customer_segments,
+    mom_growth_of_months,
+    month_sums,
+    peak_months_of_sums,
     peak_sales_months,
     product_mom_growth,
+    product_months,
+    purchase_trend_of_months,
     retention_rate,
     sales_fact,
     sales_fact_all,
@@ -40,10 +56,15 @@ __all__ = [
     "DataQualityError",
     "align_history",
     "channel_engagement",
+    "checked_fact_all",
+    "checked_history",
+    "churn_of_customers",
     "churn_risk",
     "clean_customer_ids",
     "clean_customers",
     "clean_orders",
+    "customer_months",
+    "customer_orders",
     "customer_purchase_trend",
     "customer_segments",
     "customer_spending",
@@ -53,12 +74,18 @@ __all__ = [
     "flatten_interactions",
     "high_risk_customers",
     "high_risk_orders",
+    "merge_customer_orders",
+    "mom_growth_of_months",
+    "month_sums",
     "omni_profile_reference",
     "omni_profile_unified",
+    "peak_months_of_sums",
     "peak_sales_months",
     "previous_value",
     "product_mom_growth",
+    "product_months",
     "purchase_activity",
+    "purchase_trend_of_months",
     "rejected_orders",
     "retention_rate",
     "sales_fact",

@@ -10,6 +10,50 @@ from pyspark.sql import functions as F
 from tillroll.functions.dates import days_since, trailing_window
 
 
+def customer_orders(orders: DataFrame) -> DataFrame:
+    """What churn needs of each customer's orders, in a form that merges:
+    customer_id, total_orders, last_order_date, first_order_date, dated_orders."""
+    return orders.groupBy("customer_id").agg(
+        F.count("order_id").alias("total_orders"),
+        F.max("order_date").alias("last_order_date"),
+        F.min("order_date").alias("first_order_date"),
+        F.count("order_date").alias("dated_orders"),
+    )
+
+
+def merge_customer_orders(state: DataFrame, newer: DataFrame) -> DataFrame:
+    """``customer_orders`` of two sets of orders that share none, from those of
+    each: one aggregate over a row per customer and set."""
+    columns = newer.columns
+    return state.select(*columns).unionByName(newer).groupBy("customer_id").agg(
+        F.sum("total_orders").alias("total_orders"),
+        F.max("last_order_date").alias("last_order_date"),
+        F.min("first_order_date").alias("first_order_date"),
+        F.sum("dated_orders").alias("dated_orders"),
+    )
+
+
+def churn_of_customers(
+    customers: DataFrame,
+    as_of: dt.date | str,
+    gap_factor: float = 2,
+    ordered: bool = True,
+) -> DataFrame:
+    """``churn_risk`` from ``customer_orders``."""
+    gap = F.when(
+        F.col("dated_orders") > 1,
+        F.datediff("last_order_date", "first_order_date") / (F.col("dated_orders") - 1),
+    ).cast("double")
+    out = customers.select(
+        "customer_id",
+        "total_orders",
+        "last_order_date",
+        days_since("last_order_date", as_of).alias("days_since_last_purchase"),
+        gap.alias("avg_order_gap"),
+    ).filter(F.col("days_since_last_purchase") > F.col("avg_order_gap") * gap_factor)
+    return out.orderBy(F.desc("days_since_last_purchase"), "customer_id") if ordered else out
+
+
 def churn_risk(
     orders: DataFrame,
     as_of: dt.date | str,
@@ -29,24 +73,7 @@ def churn_risk(
     aggregation instead of a per-customer window sort, so a customer holding
     a third of all orders costs no more than any other key.
     """
-    per_customer = orders.groupBy("customer_id").agg(
-        F.count("order_id").alias("total_orders"),
-        F.max("order_date").alias("last_order_date"),
-        F.min("order_date").alias("_first_order_date"),
-        F.count("order_date").alias("_dated_orders"),
-    )
-    gap = F.when(
-        F.col("_dated_orders") > 1,
-        F.datediff("last_order_date", "_first_order_date") / (F.col("_dated_orders") - 1),
-    ).cast("double")
-    out = per_customer.select(
-        "customer_id",
-        "total_orders",
-        "last_order_date",
-        days_since("last_order_date", as_of).alias("days_since_last_purchase"),
-        gap.alias("avg_order_gap"),
-    ).filter(F.col("days_since_last_purchase") > F.col("avg_order_gap") * gap_factor)
-    return out.orderBy(F.desc("days_since_last_purchase"), "customer_id") if ordered else out
+    return churn_of_customers(customer_orders(orders), as_of, gap_factor, ordered)
 
 
 def suspicious_logins(

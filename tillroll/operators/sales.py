@@ -65,16 +65,46 @@ def align_history(history: DataFrame) -> DataFrame:
     )
 
 
-def sales_fact_all(current: DataFrame, history: DataFrame) -> DataFrame:
-    """Current lines ∪ aligned history, matched by column name. Order dates
-    are timestamps: a date is its midnight."""
-    cur = current.select(
+_HISTORY_TYPES = {
+    "order_id": "bigint", "customer_id": "bigint", "order_date": "timestamp_ntz", "product_id": "bigint", "quantity": "int",
+    "unit_price": "decimal(10,2)", "sales_amount": "decimal(21,2)", "order_year": "int", "order_month": "int",
+}
+
+
+def checked_history(history: DataFrame) -> DataFrame:
+    """``align_history`` that stops at no row: the fact's columns, ``reason``
+    (the columns whose value does not fit their type, null for none) and
+    ``raw`` (the row as it came, as JSON, where there is a reason)."""
+    cast = {c: F.col(c).try_cast(t) for c, t in _HISTORY_TYPES.items()}
+    bad = F.array_compact(F.array(*(F.when(F.col(c).isNotNull() & x.isNull(), F.lit(c)) for c, x in cast.items())))
+    reason = F.when(F.size(bad) > 0, F.array_join(bad, ","))
+    return history.select(
+        *(x.alias(c) for c, x in cast.items()), reason.alias("reason"),
+        F.when(reason.isNotNull(), F.to_json(F.struct(*history.columns))).alias("raw"))
+
+
+def checked_fact_all(current: DataFrame, history: DataFrame) -> DataFrame:
+    """``sales_fact_all`` with ``rejected``, ``reason`` and ``raw``: lines of the
+    history whose values do not fit are rejected and go on beside the fact, so
+    that one pass over both tables gives the fact and the quarantine."""
+    none = F.lit(None).cast("string")
+    good = _typed(current).select("*", none.alias("reason"), none.alias("raw"))
+    return good.unionByName(checked_history(history)).withColumn("rejected", F.col("reason").isNotNull())
+
+
+def _typed(current: DataFrame) -> DataFrame:
+    return current.select(
         F.col("order_id").cast("bigint").alias("order_id"),
         F.col("customer_id").cast("bigint").alias("customer_id"),
         F.col("order_date").cast("timestamp_ntz").alias("order_date"),
         *[F.col(c) for c in FACT_COLUMNS[3:]],
     )
-    return cur.unionByName(align_history(history))
+
+
+def sales_fact_all(current: DataFrame, history: DataFrame) -> DataFrame:
+    """Current lines ∪ aligned history, matched by column name. Order dates
+    are timestamps: a date is its midnight."""
+    return _typed(current).unionByName(align_history(history))
 
 
 def _sum_type(df: DataFrame, col: str) -> T.DataType:
@@ -104,6 +134,21 @@ def peak_sales_months(fact: DataFrame, ordered: bool = True) -> DataFrame:
     return out.orderBy(F.desc("monthly_product_sales"), "year_month") if ordered else out
 
 
+def month_sums(fact: DataFrame) -> DataFrame:
+    """order_year, order_month, month, monthly_product_sales: one row a month
+    (more only where a line's year and month are not those of its date)."""
+    return fact.groupBy("order_year", "order_month", F.trunc("order_date", "MM").alias("month")).agg(
+        F.sum("sales_amount").alias("monthly_product_sales"))
+
+
+def peak_months_of_sums(sums: DataFrame, ordered: bool = True) -> DataFrame:
+    """``peak_sales_months`` from ``month_sums``."""
+    total = F.sum("monthly_product_sales").cast(sums.schema["monthly_product_sales"].dataType)
+    out = sums.groupBy("month").agg(total.alias("monthly_product_sales")).select(
+        F.date_format("month", "yyyy-MM").alias("year_month"), "monthly_product_sales")
+    return out.orderBy(F.desc("monthly_product_sales"), "year_month") if ordered else out
+
+
 def top_customers(fact: DataFrame, k: int = 5) -> DataFrame:
     """The ``k`` customers with the largest total sales (ties broken by the
     smaller customer_id). Output: customer_id. Bounded to k rows."""
@@ -153,19 +198,18 @@ def top_customer_products(fact: DataFrame, products: DataFrame, k: int = 5, orde
     return out.orderBy("customer_id", F.desc("monthly_sales")) if ordered else out
 
 
-def customer_purchase_trend(fact: DataFrame, ordered: bool = True) -> DataFrame:
+def customer_months(fact: DataFrame) -> DataFrame:
     """Per customer and month: orders_per_month (distinct orders),
-    monthly_spent, previous_month_spent (previous month *with* sales),
-    spending_growth_pct, avg_order_value (average line amount).
-
-    The window runs on the monthly aggregate, so a customer's window
-    partition holds at most one row per month whatever its line count.
-    """
-    monthly = fact.groupBy("customer_id", "order_year", "order_month").agg(
+    monthly_spent, avg_order_value (average line amount)."""
+    return fact.groupBy("customer_id", "order_year", "order_month").agg(
         F.count_distinct("order_id").alias("orders_per_month"),
         F.sum("sales_amount").alias("monthly_spent"),
         F.avg("sales_amount").alias("avg_order_value"),
     )
+
+
+def purchase_trend_of_months(monthly: DataFrame, ordered: bool = True) -> DataFrame:
+    """``customer_purchase_trend`` from ``customer_months``."""
     growth = previous_value(
         monthly, "monthly_spent", ["customer_id"], ["order_year", "order_month"], "previous_month_spent"
     )
@@ -178,6 +222,17 @@ def customer_purchase_trend(fact: DataFrame, ordered: bool = True) -> DataFrame:
     return out.orderBy("customer_id", "spending_growth_pct") if ordered else out
 
 
+def customer_purchase_trend(fact: DataFrame, ordered: bool = True) -> DataFrame:
+    """Per customer and month: orders_per_month (distinct orders),
+    monthly_spent, previous_month_spent (previous month *with* sales),
+    spending_growth_pct, avg_order_value (average line amount).
+
+    The window runs on the monthly aggregate, so a customer's window
+    partition holds at most one row per month whatever its line count.
+    """
+    return purchase_trend_of_months(customer_months(fact), ordered)
+
+
 def retention_rate(fact: DataFrame, ordered: bool = True) -> DataFrame:
     """Per order year: total_customers_current_year, retained_customers
     (also bought in the year before), retention_rate_pct.
@@ -206,18 +261,16 @@ def retention_rate(fact: DataFrame, ordered: bool = True) -> DataFrame:
     return out.orderBy("current_year") if ordered else out
 
 
-def product_mom_growth(fact: DataFrame, products: DataFrame, ordered: bool = True) -> DataFrame:
-    """Per product and month: total_quantity_sold, total_sales_amount,
-    previous_month_sales (previous month with sales), growth percent.
-
-    Output: order_year, order_month, product_id, product_name, category,
-    total_quantity_sold, total_sales_amount, previous_month_sales,
-    month_over_month_growth_pct.
-    """
-    monthly = fact.groupBy("order_year", "order_month", "product_id").agg(
+def product_months(fact: DataFrame) -> DataFrame:
+    """Per product and month: total_quantity_sold, total_sales_amount."""
+    return fact.groupBy("order_year", "order_month", "product_id").agg(
         F.sum("quantity").alias("total_quantity_sold"),
         F.sum("sales_amount").alias("total_sales_amount"),
     )
+
+
+def mom_growth_of_months(monthly: DataFrame, products: DataFrame, ordered: bool = True) -> DataFrame:
+    """``product_mom_growth`` from ``product_months``."""
     growth = previous_value(
         monthly, "total_sales_amount", ["product_id"], ["order_year", "order_month"], "previous_month_sales"
     )
@@ -230,6 +283,17 @@ def product_mom_growth(fact: DataFrame, products: DataFrame, ordered: bool = Tru
     return out.orderBy("product_id", "order_year", "order_month") if ordered else out
 
 
+def product_mom_growth(fact: DataFrame, products: DataFrame, ordered: bool = True) -> DataFrame:
+    """Per product and month: total_quantity_sold, total_sales_amount,
+    previous_month_sales (previous month with sales), growth percent.
+
+    Output: order_year, order_month, product_id, product_name, category,
+    total_quantity_sold, total_sales_amount, previous_month_sales,
+    month_over_month_growth_pct.
+    """
+    return mom_growth_of_months(product_months(fact), products, ordered)
+
+
 def _yoy_pct(curr: Column, prev: Column) -> Column:
     # Kept in the reference's operation order: divide first, then * 100.
     return F.round(

@@ -22,8 +22,10 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillroll import operators as op
+from tillroll.plans.state import ChurnState, MonthlySums
 from tillroll.session import scratch_path
 from tillroll.sources.audit import append_audit
 from tillroll.sources.files import read_csv_with_header
@@ -65,6 +67,7 @@ class JobResult:
     start_time: dt.datetime | None = None
     end_time: dt.datetime | None = None
     run_id: str | None = None
+    rejected: dict[str, int] = field(default_factory=dict)
 
 
 @contextmanager
@@ -224,6 +227,24 @@ def run_churn(spark: SparkSession, tables: Tables, output_path: str, as_of: dt.d
     })
 
 
+def run_churn_update(
+    spark: SparkSession,
+    new_orders: DataFrame,
+    state: ChurnState,
+    through: str,
+    output_path: str,
+    as_of: dt.date,
+) -> JobResult:
+    """Churn from stored counts and dates per customer: reads the orders that
+    came since the last update, merges them, and writes the customers at risk.
+    ``through`` marks how far the orders go (see ``ChurnState``)."""
+    def body() -> dict[str, int]:
+        state.merge(new_orders, through)
+        return {"churn_risk": write_output(op.churn_of_customers(state.read(), as_of), output_path)}
+
+    return _run(spark, "churn_update", None, body)
+
+
 def run_fraud(
     spark: SparkSession, tables: Tables, output_path: str, as_of: dt.date, events_as_of: dt.date | None = None
 ) -> JobResult:
@@ -297,8 +318,14 @@ def run_sales_trends(
     under ``output_path/<name>`` (``concurrency`` writes at a time), and the
     customer segments (current lines only) are registered as the temp view
     ``customer_segmented``.
+
+    Lines of the history with a value that does not fit its type do not stop
+    the job: the same write sets them apart, and they go to
+    ``output_path/rejected_history`` (reason, raw); ``rejected`` of the result
+    counts them.
     """
     root = output_path.rstrip("/")
+    rejected: dict[str, int] = {}
 
     def body() -> dict[str, int]:
         products = tables.table("products")
@@ -306,10 +333,41 @@ def run_sales_trends(
         history = tables.table("historical_customer_sales")
         # The view outlives the stored fact, so it stands on the tables.
         op.customer_segments(current).createOrReplaceTempView("customer_segmented")
-        with materialized(op.sales_fact_all(current, history), "sales_fact_all", ["order_year", "order_month"]) as fact:
+        lines = op.checked_fact_all(current, history)
+        with materialized(lines, "sales_fact_all", ["rejected", "order_year", "order_month"]) as stored:
+            fact = stored.filter(~F.col("rejected")).drop("rejected", "reason", "raw")
+            apart = stored.filter("rejected").select("reason", "raw")
+            rejected["historical_customer_sales"] = write_output(apart, f"{root}/rejected_history")
             return write_outputs(sales_outputs(fact, products), root, concurrency=concurrency)
 
-    return _run(spark, "sales_trends", None, body)
+    result = _run(spark, "sales_trends", None, body)
+    result.rejected = rejected
+    return result
+
+
+def run_monthly_trends(
+    spark: SparkSession,
+    fact: DataFrame,
+    products: DataFrame,
+    state_path: str,
+    output_path: str,
+    months: list[tuple[int, int]] | None = None,
+    concurrency: int = 3,
+) -> JobResult:
+    """The three monthly sales trends from stored sums: only ``months`` (year,
+    month; None for all) of the partitioned ``fact`` are read and summed anew,
+    the others' sums stay."""
+    state = MonthlySums(spark, state_path)
+
+    def body() -> dict[str, int]:
+        state.update(fact, months)
+        return write_outputs({
+            "peak_sales_months": op.peak_months_of_sums(state.read("months")),
+            "customer_purchase_trend": op.purchase_trend_of_months(state.read("customers")),
+            "month_over_month_growth_pct": op.mom_growth_of_months(state.read("products"), products),
+        }, output_path, concurrency=concurrency)
+
+    return _run(spark, "monthly_trends", None, body)
 
 
 def run_csv_to_parquet(
