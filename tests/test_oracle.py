@@ -5,10 +5,12 @@ import pytest
 
 from tools.compare_oracle import digest, duck
 from __spark_entry__ import entry
-from tillroll.plans.oracle import ORACLE_SQL
-from tillroll.plans.registry import QUERIES
+from tillroll.plans.oracle import ORACLE_SQL as PLAIN_SQL
+from tillroll.plans.registry import QUERIES as PLAIN
+from tillroll.plans.state_queries import STATE_ORACLE, STATE_QUERIES
 
 SF = "/root/testdata/sf0.001"
+QUERIES, ORACLE_SQL = PLAIN | STATE_QUERIES, PLAIN_SQL | STATE_ORACLE
 
 
 @pytest.fixture(scope="module")

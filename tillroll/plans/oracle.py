@@ -180,10 +180,10 @@ best AS (
 
 _SUSPICIOUS = f"""
 per_login AS (
-  SELECT customer_id, len(list_distinct(list(ip))) AS unique_ips, len(list(ts)) AS total_attempts
+  SELECT customer_id, count(DISTINCT ip) AS unique_ips, count(*) AS total_attempts
   FROM e_logins WHERE ts >= {EVENTS_30} GROUP BY ALL
 ),
-suspects AS (SELECT * FROM per_login WHERE greatest(unique_ips - 3, total_attempts - 10) > 0)"""
+suspects AS (SELECT * FROM per_login WHERE unique_ips > 3 OR total_attempts > 10)"""
 
 _HIGH_RISK = f"""
 recent AS (
@@ -247,7 +247,7 @@ def _spending(select: str) -> str:
     return f"""
 spending AS (
   SELECT customer_id, sum(total_amount) AS spent, count(order_id) AS total_orders,
-    list_max(list(order_date)) AS last_purchase_date
+    max(order_date) AS last_purchase_date
   FROM e_orders WHERE order_date >= {ORDERS_365} GROUP BY ALL
 ),
 ranked AS (
@@ -339,7 +339,7 @@ FROM e_lines JOIN e_products USING (product_id) WHERE customer_id IN (FROM best)
 GROUP BY customer_id, order_year, order_month, product_id"""),
     "customer_purchase_trend": _with(f"""
 months AS (
-  SELECT customer_id, order_year, order_month, len(list_distinct(list(order_id))) AS orders_per_month,
+  SELECT customer_id, order_year, order_month, count(DISTINCT order_id) AS orders_per_month,
     CAST(sum(sales_amount) AS DECIMAL(31,2)) AS amount, {_avg_money('sales_amount')} AS avg_order_value
   FROM e_lines GROUP BY ALL
 ),""" + _before("months", "customer_id", "order_year, order_month"), f"""SELECT customer_id, order_year, order_month,
