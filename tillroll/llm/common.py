@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 16 << 20  # text handled at once by a Python task
+SMALL_SLICE = 2 << 20   # the same where whole rows stay beside it
 BATCH_BYTES = 16 << 20  # Arrow batch that Spark sends to a Python task
 
 
@@ -107,3 +108,18 @@ def text_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data = texts.buffers()[2]
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     return offsets - offsets[0], data[offsets[0]: offsets[-1]]
+
+
+def texts_of(rows: pa.RecordBatch, column: str = "text") -> pa.Array:
+    """The texts of whole rows, null as empty."""
+    return rows.column(column).fill_null("")
+
+
+def row_slices(batch: pa.RecordBatch, column: str = "text", limit: int = SMALL_SLICE) -> Iterator[pa.RecordBatch]:
+    """``text_slices`` of whole rows, whose texts may be null."""
+    if batch.num_rows:
+        sizes = np.diff(text_buffers(texts_of(batch, column))[0])
+        run = np.cumsum(sizes) // limit          # a new run with each ``limit`` bytes
+        starts = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
+        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), batch.num_rows]):
+            yield batch.slice(a, b - a)

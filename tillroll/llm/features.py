@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import prepare, text_buffers, text_column, text_slices
+from tillroll.llm.common import SLICE_BYTES, prepare, text_buffers, text_column, text_slices
 
 HASHED = 1 << 18
 SHARES = 6
@@ -130,10 +130,11 @@ class Features:
 
 class Scorer:
     """Sums of weights (place, output) over the features of texts; made on the
-    driver, and again in each worker that gets it."""
+    driver, and again in each worker that gets it. ``limit`` is the text that it
+    takes at once: more is faster, less takes less memory."""
 
-    def __init__(self, weights: np.ndarray):
-        self.weights, self.key = weights, uuid.uuid4().hex
+    def __init__(self, weights: np.ndarray, limit: int = SLICE_BYTES):
+        self.weights, self.key, self.limit = weights, uuid.uuid4().hex, limit
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """A row of sums for each text, and its number of words."""
@@ -141,7 +142,7 @@ class Scorer:
             _FEATURES.clear()   # one model at a time in a worker
             _FEATURES[self.key] = Features(self.weights.any(axis=1))
         sums, words = [np.zeros((0, self.weights.shape[1]))], [np.zeros(0, np.int64)]
-        for part in text_slices(pa.RecordBatch.from_arrays([texts], ["text"])):
+        for part in text_slices(pa.RecordBatch.from_arrays([texts], ["text"]), limit=self.limit):
             found, n = _FEATURES[self.key].pairs(part.column("text"))
             weight = self.weights[found[:, 1]]
             sums.append(np.column_stack([np.bincount(found[:, 0], weight[:, k], part.num_rows) for k in range(weight.shape[1])]))

@@ -47,8 +47,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tillroll.llm.common import fresh, materialize, prepare, text_column, text_slices
+from tillroll.llm.common import SLICE_BYTES, SMALL_SLICE, materialize, prepare, row_slices, text_column, texts_of
 from tillroll.llm.features import Adam, Design, Scorer, labelled_features
 from tillroll.llm.pieces import encoder
 from tillroll.llm.quality import MAX_ROWS, MIN_ROWS, RIDGE, ROUNDS, rating
@@ -71,9 +72,10 @@ log = logging.getLogger(__name__)
 class DomainModel:
     weights: np.ndarray   # place, domain
     bias: np.ndarray
+    limit: int = SLICE_BYTES   # text that is scored at once
 
     def __post_init__(self):
-        self.scorer = Scorer(self.weights)
+        self.scorer = Scorer(self.weights, self.limit)
 
     def posteriors(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Posteriors in rows, and numbers of words."""
@@ -110,8 +112,7 @@ def posterior(docs: DataFrame, model: DomainModel) -> Column:
     @F.arrow_udf("p array<double>, n_tokens long")
     def run(texts: pa.Array) -> pa.Array:
         p, words = shared.value.posteriors(texts)
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1) * p.shape[1], pa.int32()), pa.array(p.ravel()))
-        return pa.StructArray.from_arrays([lists, pa.array(words, pa.int64())], names=["p", "n_tokens"])
+        return pa.StructArray.from_arrays([_posterior_list(p), pa.array(words, pa.int64())], names=["p", "n_tokens"])
 
     return run(text_column())
 
@@ -256,50 +257,76 @@ def fit_rates(posts: DataFrame, shares: dict[str, float] = SHARES, anchor: str =
     return fit
 
 
-def copies(rate: Column, key: Column) -> Column:
+def copies(rate: np.ndarray, coins: np.ndarray) -> np.ndarray:
     """A whole number of copies that is ``rate`` on average: rounded up where
-    a hash of ``key``, as a number under 1, is below the fraction."""
-    u = F.pmod(F.xxhash64(key, F.lit("mix")), F.lit(1 << 30)) / float(1 << 30)
-    return F.floor(rate + u).cast("int")
+    the row's coin, a number under 1, is below the fraction."""
+    return np.floor(rate + coins).astype(np.int32)
+
+
+def _coins(rows: pa.RecordBatch) -> np.ndarray:
+    return rows.column("coin").to_numpy()
+
+
+def _posterior_list(p: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1) * p.shape[1], pa.int32()), pa.array(p.ravel()))
+
+
+def coin() -> Column:
+    """A number under 1 for each stored row, so that repeated rows have coins of their own."""
+    return (F.pmod(F.xxhash64("row", F.lit("mix")), F.lit(1 << 30)) / float(1 << 30)).alias("coin")
 
 
 def mix_documents(docs: DataFrame, model: DomainModel, shares: dict[str, float] = SHARES, anchor: str = ANCHOR) -> DataFrame:
     """doc_id, n_tokens, p_<domain> ..., rate, copies of every document."""
-    posts = materialize(docs.select("doc_id", posterior(docs, model).alias("x")).select("doc_id", "x.p", "x.n_tokens"), "posteriors")
+    posts = materialize(docs.select("doc_id", posterior(docs, model).alias("x")).select(
+        "doc_id", "x.p", "x.n_tokens", F.monotonically_increasing_id().alias("row")), "posteriors")
     dual = fit_rates(posts, shares, anchor).dual
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             r = rates(_matrix(batch), dual)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(r, pa.float64())], names=[*batch.schema.names, "rate"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(r), pa.array(copies(r, _coins(batch)))],
+                                             names=[*batch.schema.names[:3], "rate", "copies"])
 
-    rated = posts.mapInArrow(run, "doc_id long, p array<double>, n_tokens long, rate double")
-    return rated.select("doc_id", "n_tokens", *(F.col("p")[k].alias(f"p_{d}") for k, d in enumerate(shares)),
-                        "rate", copies(F.col("rate"), F.col("doc_id")).alias("copies"))
+    rated = posts.select("doc_id", "p", "n_tokens", coin()).mapInArrow(
+        run, "doc_id long, p array<double>, n_tokens long, rate double, copies int")
+    return rated.select("doc_id", "n_tokens", *(F.col("p")[k].alias(f"p_{d}") for k, d in enumerate(shares)), "rate", "copies")
 
 
 def mixed(docs: DataFrame, model: DomainModel, shares: dict[str, float] = SHARES, anchor: str = ANCHOR,
           tokenizer: str = TOKENIZER) -> DataFrame:
-    """The documents, each as often as it has copies, with all their columns."""
+    """The documents, each as often as it has copies, with all their columns.
+    Every text is classified and counted once: its row is stored with what was
+    found, the fit reads the found columns alone, and a last pass emits copies."""
     prepare(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    small = DomainModel(model.weights, model.bias, SMALL_SLICE)
+    shared = docs.sparkSession.sparkContext.broadcast(small)
     whole = list(shares).index(anchor)
+    columns = docs.columns
+    width = len(columns)
 
-    @F.arrow_udf("p array<double>, n_tokens long")
-    def weigh(texts: pa.Array) -> pa.Array:
-        p, _ = shared.value.posteriors(texts)
-        parts = text_slices(pa.RecordBatch.from_arrays([texts], ["text"]))
-        tokens = np.concatenate([np.zeros(0, np.int64), *(encoder(tokenizer).count(x.column("text")) for x in parts)])
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1) * p.shape[1], pa.int32()), pa.array(p.ravel()))
-        return pa.StructArray.from_arrays([lists, pa.array(tokens, pa.int64())], names=["p", "n_tokens"])
-
-    posts = materialize(docs.select("doc_id", weigh(text_column()).alias("x")).select("doc_id", "x.p", "x.n_tokens"), "posteriors")
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in row_slices(batch):
+                texts = texts_of(part)
+                p, _ = shared.value.posteriors(texts)
+                yield pa.RecordBatch.from_arrays([*part.columns, _posterior_list(p), pa.array(encoder(tokenizer).count(texts), pa.int64())],
+                                                 names=[f"c{k}" for k in range(width + 2)])
+
+    # Numbered names, so that no column's name matters.
+    numbered = docs.toDF(*(f"c{k}" for k in range(width)))
+    schema = T.StructType([*numbered.schema.fields, T.StructField(f"c{width}", T.ArrayType(T.DoubleType())), T.StructField(f"c{width + 1}", T.LongType())])
+    rows = materialize(docs.mapInArrow(weigh, schema).withColumn("row", F.monotonically_increasing_id()), "weighed")
+    posts = rows.select(F.col(f"c{columns.index('doc_id')}").alias("doc_id"), F.col(f"c{width}").alias("p"), F.col(f"c{width + 1}").alias("n_tokens"))
     dual = fit_rates(posts, shares, anchor, whole).dual
 
-    @F.arrow_udf("double")
-    def rate(texts: pa.Array) -> pa.Array:
-        return pa.array(rates(shared.value.posteriors(texts)[0], dual, whole))
-
-    times, copy = fresh(docs, "times"), fresh(docs, "copy")
-    counted = docs.withColumn(times, copies(rate(text_column()), F.col("doc_id"))).filter(F.col(times) > 0)
-    return counted.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(times))).alias(copy)).drop(copy)
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            p = batch.column(width)
+            p = p.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1) if batch.num_rows else np.zeros((0, len(shares)))
+            times = copies(rates(p, dual, whole), _coins(batch))
+            own = batch.select(range(width))
+            for k in range(int(times.max(initial=0))):   # first copies, second ones, ...
+                yield own.filter(pa.array(times > k))
+
+    return rows.select(*(f"c{k}" for k in range(width + 1)), coin()).mapInArrow(emit, numbered.schema).toDF(*columns)

@@ -14,6 +14,7 @@ like others. Without ratings all scores are 0 and every document is accepted.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import prepare, text_column
+from tillroll.llm.common import SMALL_SLICE, prepare, row_slices, text_column, texts_of
 from tillroll.llm.features import Adam, Design, Scorer, labelled_features
 
 GRADES = 3
@@ -107,5 +108,16 @@ def grade_documents(docs: DataFrame, model: OrdinalModel, accept: float = ACCEPT
 
 def accepted(docs: DataFrame, model: OrdinalModel, accept: float = ACCEPT) -> DataFrame:
     """The documents whose grade is the highest, good and clean, by its tail
-    probability, with all their columns: toxic ones go too."""
-    return docs.filter(tail(score(docs, model), model, len(model.thresholds)) >= accept)
+    probability, with all their columns: toxic ones go too. Batches of rows are
+    scored and filtered in the Python task, so that no text waits for its score."""
+    prepare(docs.sparkSession)
+    scorer = docs.sparkSession.sparkContext.broadcast(Scorer(model.weights[:, None], SMALL_SLICE))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in row_slices(batch):
+                tails = model_tails(scorer.value(texts_of(part))[0][:, 0])
+                yield part.filter(pa.array(tails[:, -1] >= accept))
+
+    model_tails = OrdinalModel(np.zeros(0), model.thresholds).tails   # the weights travel once, in the scorer
+    return docs.mapInArrow(run, docs.schema)
