@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 import xxhash
 
 from pyspark.sql import functions as F
@@ -178,6 +179,22 @@ def test_fingerprints_compare_at_different_strides():
     assert span_prints.likeness(span_prints.parsed(span_prints.written(whole)), part) == span_prints.likeness(whole, part)
 
 
+def best_rows(rows, k=5):
+    """(query, rank, id, score) of every query row, by Python's integers."""
+    ok = [(i, [int(np.floor(256 * x)) for x in v]) for i, v in rows
+          if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    out = Counter()
+    for a, (qi, q) in enumerate(ok):
+        if qi % 50 == 0:
+            pairs = sorted((-sum(x * y for x, y in zip(q, v)), i) for b, (i, v) in enumerate(ok) if a != b and len(v) == len(q))
+            out.update((qi, at + 1, i, -s) for at, (s, i) in enumerate(pairs[:k]))
+    return out
+
+
+def found_rows(got):
+    return Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in got.collect())
+
+
 def test_top_k(spark):
     rnd = random.Random(9)
     rows = [(k, [rnd.gauss(0, 1) for _ in range(8)]) for k in range(300)]
@@ -185,22 +202,18 @@ def test_top_k(spark):
     rows += [(400, None), (401, [1.0, None]), (402, [float("nan")] * 8), (403, [float("inf")] * 8), (None, [1.0] * 8)]
     rows += [(450, [0.5] * 3), (451, [0.25] * 3), (500, []), (501, [])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("v", F.lit("other"))
-    ok = [(i, [int(np.floor(256 * x)) for x in v]) for i, v in rows
-          if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
-    want = Counter()
-    for qi, q in ok:
-        if qi % 50 == 0:
-            pairs = sorted((-sum(a * b for a, b in zip(q, v)), i) for i, v in ok if i != qi and len(v) == len(q))
-            want.update({(qi, tuple(sorted(pairs[:5]))): 1})
-    for block in (topk_search.BLOCK, 3):
-        got = topk_search.top_k(df, F.col("vec_id") % 50 == 0, 5, block=block).collect()
-        by = defaultdict(list)
-        for r in got:
-            by[r.query_id].append((r["rank"], -r.score, r.vec_id))
-        for q, found in by.items():
-            found.sort()
-            assert [x[0] for x in found] == list(range(1, len(found) + 1))
-            assert (q, tuple(x[1:] for x in found)) in want or q == 50
-        assert set(by) == {q for q, pairs in want if pairs}
+    rows += [(600, rows[0][1])] * 150   # repeats of one query, a third of all rows
+    rows += [(550, [9e6, 0.0, -1e200, 0.0]), (551, [1e7, 1.0, 0.0, 5.0]), (552, [-3.0, 2.0, 0.0, 1.0]), (553, [8.5e6, 0.5, 0.0, -1e3])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("v", F.lit("other")).withColumn("row", F.lit("other"))
+    want = best_rows(rows)
+    for block in (topk_search.BLOCK, 3, 40):
+        if block == 3:   # many passes: without the repeats
+            few = [r for r in rows if r[0] != 600]
+            assert found_rows(topk_search.top_k(df.filter("vec_id <> 600"), F.col("vec_id") % 50 == 0, 5, block=block)) == best_rows(few)
+        else:
+            assert found_rows(topk_search.top_k(df, F.col("vec_id") % 50 == 0, 5, block=block)) == want
+    too_large = spark.createDataFrame([(0, [8e6] * 8), (1, [8e6] * 8), (2, [-8e6] * 8)], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="does not fit a long"):
+        topk_search.top_k(too_large, F.col("vec_id") % 50 == 0).collect()
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk_search.top_k(empty, F.col("vec_id") % 50 == 0).collect() == []

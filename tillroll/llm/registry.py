@@ -81,17 +81,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 # Exact integers throughout; lists end with the shorter one, as only vectors of one length are compared.
 _TOPK_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  SELECT vec_id, row_number() OVER () AS row, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), pairs AS (
-  SELECT q.vec_id AS query_id, c.vec_id,
+  SELECT q.vec_id AS query_id, q.row AS query_row, c.vec_id,
          coalesce(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])), 0)::BIGINT AS score
-  FROM v q JOIN v c ON len(q.v) = len(c.v) AND q.vec_id <> c.vec_id
+  FROM v q JOIN v c ON len(q.v) = len(c.v) AND q.row <> c.row
   WHERE q.vec_id % 50 = 0
 ), ranked AS (
-  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+  SELECT query_id, row_number() OVER (PARTITION BY query_id, query_row ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
   FROM pairs
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
