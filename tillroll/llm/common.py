@@ -19,6 +19,17 @@ SMALL_SLICE = 2 << 20   # the same where whole rows stay beside it
 BATCH_BYTES = 16 << 20  # Arrow batch that Spark sends to a Python task
 
 
+def tidy(run):
+    """A task's function whose worker gives Arrow's unused memory back at the
+    end: workers outlive their tasks, and share an executor with others."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+    return wrapped
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import SLICE_BYTES, prepare, text_buffers, text_column, text_slices
+from tillroll.llm.common import SLICE_BYTES, prepare, text_buffers, text_column, text_slices, tidy
 
 HASHED = 1 << 18
 SHARES = 6
@@ -174,7 +174,7 @@ def labelled_features(docs: DataFrame, labels: DataFrame, grade, max_rows: int)
                                                  names=["doc_id", "grade", "places"])
 
     # Copies of an id are cut too, so that the bound holds for any documents.
-    found = rows.select("doc_id", "grade", "text").mapInArrow(run, "doc_id long, grade int, places binary").limit(max_rows).collect()
+    found = rows.select("doc_id", "grade", "text").mapInArrow(tidy(run), "doc_id long, grade int, places binary").limit(max_rows).collect()
     found.sort(key=lambda r: (r["doc_id"], r["grade"], bytes(r["places"])))
     return [np.frombuffer(r["places"], "<i4") for r in found], np.array([r["grade"] for r in found], np.int64)
 

@@ -49,7 +49,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import SLICE_BYTES, SMALL_SLICE, materialize, prepare, row_slices, text_column, texts_of
+from tillroll.llm.common import SLICE_BYTES, SMALL_SLICE, materialize, prepare, row_slices, text_column, texts_of, tidy
 from tillroll.llm.features import Adam, Design, Scorer, labelled_features
 from tillroll.llm.pieces import encoder
 from tillroll.llm.quality import MAX_ROWS, MIN_ROWS, RIDGE, ROUNDS, rating
@@ -316,7 +316,7 @@ def mixed(docs: DataFrame, model: DomainModel, shares: dict[str, float] = SHARES
     # Numbered names, so that no column's name matters.
     numbered = docs.toDF(*(f"c{k}" for k in range(width)))
     schema = T.StructType([*numbered.schema.fields, T.StructField(f"c{width}", T.ArrayType(T.DoubleType())), T.StructField(f"c{width + 1}", T.LongType())])
-    rows = materialize(docs.mapInArrow(weigh, schema).withColumn("row", F.monotonically_increasing_id()), "weighed")
+    rows = materialize(docs.mapInArrow(tidy(weigh), schema).withColumn("row", F.monotonically_increasing_id()), "weighed")
     posts = rows.select(F.col(f"c{columns.index('doc_id')}").alias("doc_id"), F.col(f"c{width}").alias("p"), F.col(f"c{width + 1}").alias("n_tokens"))
     dual = fit_rates(posts, shares, anchor, whole).dual
 
@@ -329,4 +329,4 @@ def mixed(docs: DataFrame, model: DomainModel, shares: dict[str, float] = SHARES
             for k in range(int(times.max(initial=0))):   # first copies, second ones, ...
                 yield own.filter(pa.array(times > k))
 
-    return rows.select(*(f"c{k}" for k in range(width + 1)), coin()).mapInArrow(emit, numbered.schema).toDF(*columns)
+    return rows.select(*(f"c{k}" for k in range(width + 1)), coin()).mapInArrow(tidy(emit), numbered.schema).toDF(*columns)

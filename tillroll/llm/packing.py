@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import prepare, materialize, text_column, text_slices
+from tillroll.llm.common import prepare, materialize, text_column, text_slices, tidy
 from tillroll.llm.pieces import encoder
 
 CAPACITY = 2048
@@ -105,7 +105,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY, order: list[str] | None = N
 
     out = T.StructType([*items.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
     ranked = with_ranks(items, order or items.columns).select(*items.columns, "rank")
-    return ranked.mapInArrow(place, out)
+    return ranked.mapInArrow(tidy(place), out)
 
 
 def _encode(tokenizer: str, end_id: int, capacity: int):
@@ -141,7 +141,7 @@ def token_pieces(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end_id:
     each document's ids and ``end_id``, cut every ``capacity`` ids."""
     prepare(docs.sparkSession)
     return docs.select("doc_id", text_column().alias("text")).mapInArrow(
-        _encode(tokenizer, end_id, capacity), "doc_id long, start long, length long, ids binary, doc_tokens long")
+        tidy(_encode(tokenizer, end_id, capacity)), "doc_id long, start long, length long, ids binary, doc_tokens long")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end_id: int = 1,

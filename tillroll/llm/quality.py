@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import SMALL_SLICE, prepare, row_slices, text_column, texts_of
+from tillroll.llm.common import SMALL_SLICE, prepare, row_slices, text_column, texts_of, tidy
 from tillroll.llm.features import Adam, Design, Scorer, labelled_features
 
 GRADES = 3
@@ -120,4 +120,4 @@ def accepted(docs: DataFrame, model: OrdinalModel, accept: float = ACCEPT) -> Da
                 yield part.filter(pa.array(tails[:, -1] >= accept))
 
     model_tails = OrdinalModel(np.zeros(0), model.thresholds).tails   # the weights travel once, in the scorer
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import fresh, materialize, prepare, text_column, text_slices
+from tillroll.llm.common import fresh, materialize, prepare, text_column, text_slices, tidy
 from tillroll.llm.components import connected_components
 
 SEED = 42
@@ -77,7 +77,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4, keep: tuple[str, ...] = ("do
 
     rows = docs.select(*keep, text_column().alias("text"))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.drop("text").schema)
-    return rows.mapInArrow(run, f"{schema}, fp long")
+    return rows.mapInArrow(tidy(run), f"{schema}, fp long")
 
 
 def blocks(max_bits: int) -> list[tuple[int, int]]:
