@@ -11,7 +11,7 @@ import xxhash
 
 from pyspark.sql import functions as F
 
-from tests.llm.cases import awkward, documents
+from tests.llm.cases import awkward, documents, words
 from tillroll.llm import simhash, span_prints, topk_search
 from tillroll.llm.components import connected_components
 
@@ -143,8 +143,10 @@ def test_span_prints(spark):
     for (i, t), (_, after) in zip(ranked, ranked[1:] + ranked[:1]):
         t, after = t or "", after or ""
         q = len(t) // 4
-        want[i, len(t), hashlib.sha256((t[: len(t) - q] + after[:q]).encode()).hexdigest()] += 1
-    assert Counter((r.doc_id, r.n_chars, r.edited_sha256) for r in got) == want
+        edited = t[: len(t) - q] + after[:q]
+        near_edited, near_next = (by_hand(t, x) / max(len(t), len(x)) if t != x else 1.0 for x in (edited, after))
+        want[i, len(t), hashlib.sha256(edited.encode()).hexdigest(), near_edited, near_next] += 1
+    assert Counter((r.doc_id, r.n_chars, r.edited_sha256, r.near_edited, r.near_next) for r in got) == want
     texts = {r.doc_id: r.fingerprint for r in got if r.doc_id is not None}
     assert texts[13] == texts[14] != texts[15]
     assert texts[10] == texts[11]
@@ -171,13 +173,68 @@ def test_spans_and_common_extensions():
     assert a.common_extension(40, b, 0) >= 160
 
 
-def test_fingerprints_compare_at_different_strides():
-    text = "".join(random.Random(2).choice("abcdef ") for _ in range(1000))
-    whole, part = (span_prints.Prefixes(span_prints.code_points(t)).fingerprint() for t in (text, text[:600]))
-    assert span_prints.likeness(whole, part) == span_prints.likeness(part, whole)
-    assert abs(span_prints.likeness(whole, part) - 0.6) < 0.05
-    assert span_prints.likeness(span_prints.parsed(span_prints.written(whole)), part) == span_prints.likeness(whole, part)
+def by_hand(a, b):
+    """The walk's characters by comparing the texts themselves."""
+    i = j = taken = 0
+    w, reach = span_prints.WINDOW, span_prints.REACH
+    where = defaultdict(list)
+    for y in range(len(b) - w + 1):
+        where[b[y: y + w]].append(y)
+    while i < len(a) and j < len(b):
+        while i < len(a) and j < len(b) and a[i] == b[j]:
+            i, j, taken = i + 1, j + 1, taken + 1
+        pairs = [(x - i + y - j, x, y) for x in range(i, min(i + reach, len(a) - w + 1))
+                 for y in where.get(a[x: x + w], []) if j <= y < j + reach]
+        if pairs:
+            _, i, j = min(pairs)
+        elif len(a) - i <= reach and len(b) - j <= reach:
+            while len(a) > i and len(b) > j and a[-1] == b[-1]:
+                a, b, taken = a[:-1], b[:-1], taken + 1
+            break
+        else:
+            i, j = i + reach, j + reach
+    return taken
+
+
+def near(a, b):
+    return span_prints.likeness(span_prints.Print(a), span_prints.Print(b))
+
 
+@pytest.mark.parametrize("reach", [1 << 18, 40])
+def test_likeness_is_that_of_a_walk_by_hand(monkeypatch, reach):
+    monkeypatch.setattr(span_prints, "REACH", reach)
+    monkeypatch.setattr(span_prints, "BAND", 2 * reach + span_prints.WINDOW)
+    rnd = random.Random(5)
+    base = words(rnd, 60)
+    texts = [base, "x" + base, base[:90] + base[91:], base[150:] + base[:150], base[:100], words(rnd, 50), "a" * 90, "ab" * 60,
+             "", "a", base[:200] + "\U0001f600é" + base[200:], base.replace("w1", "w2"), base[:120] + words(rnd, 20) + base[120:]]
+    for a in texts:
+        for b in texts:
+            want = by_hand(a, b) / max(len(a), len(b)) if a != b else 1.0
+            assert near(a, b) == want, (a, b)
+
+
+def test_small_edits_leave_texts_alike():
+    rnd = random.Random(6)
+    text = words(rnd, 4500)
+    n = len(text)
+    changed = "".join("#" if k % 600 == 300 else c for k, c in enumerate(text))
+    for other in ("#" + text, text[: n // 2] + text[n // 2 + 1:], changed, text[: n // 2] + words(rnd, 100) + text[n // 2:]):
+        assert near(text, other) > 0.95 and near(other, text) > 0.95
+    assert near(text, text[: n * 3 // 5]) == (n * 3 // 5) / n
+    assert near(text, words(rnd, 4500, "z")) < 0.05
+
+
+def test_bands_do_not_change_a_fingerprint(monkeypatch):
+    text = words(random.Random(7), 500)
+    whole = [span_prints.Print(t) for t in (text, span_prints.Spliced(text, 701, text[701:], 1 << 20), span_prints.edit(text, "é" * 999))]
+    assert whole[0].written() == whole[1].written() != whole[2].written()
+    assert whole[2].sha256() == hashlib.sha256((text[: len(text) - len(text) // 4] + "é" * (len(text) // 4)).encode()).hexdigest()
+    monkeypatch.setattr(span_prints, "REACH", 20)
+    monkeypatch.setattr(span_prints, "BAND", 40 + span_prints.WINDOW)
+    for p in whole:
+        again = span_prints.Print(p.text)
+        assert again.written() == p.written() and again.sha256() == p.sha256()
 
 def best_rows(rows, k=5):
     """(query, rank, id, score) of every query row, by Python's integers."""
