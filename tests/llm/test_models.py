@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 from collections import Counter, defaultdict
 
 import duckdb
@@ -217,63 +218,69 @@ def test_mixing_of_awkward_rows(spark):
 
 
 def brute_scores(rows, target_ids):
-    """The two models with dictionaries."""
-    def grams(text):
-        b = [0, 0, *(text or "").encode()]
-        return [tuple(b[k: k + 3]) for k in range(len(b) - 2)]
-
-    all_counts, good = Counter(), Counter()
-    for i, t in rows:
-        all_counts.update(grams(t))
-        if i in target_ids:
-            good.update(grams(t))
-    scale = sum(good.values()) / sum(all_counts.values())
-
-    def model(counts):
-        c = lambda n: {k: v for k, v in counts.items() if n(k)}
-        three, pair, one, ab, b_ = defaultdict(float), defaultdict(float), defaultdict(float), defaultdict(float), defaultdict(float)
-        for (x, y, z), v in c(lambda k: True).items():
-            three[x, y, z] += v
-            pair[y, z] += v
-            one[z] += v
-            ab[x, y] += v
-            b_[y] += v
-        total = sum(one.values())
+    """Scores by word and word-pair counts in plain Python."""
+    def tokens(text):
+        w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        return [*w, None] if w else []   # None: the boundary
+
+    def counts(texts):
+        single, pair = Counter(), Counter()
+        for t in texts:
+            single.update(tokens(t))
+            pair.update(zip([None, *tokens(t)], tokens(t)))
+        return single, pair
+
+    everything = counts(t for _, t in rows)
+    chosen = counts(t for i, t in rows if i in target_ids)
+    n, n_target = sum(everything[0].values()), sum(chosen[0].values())
+
+    def model(single, pair, scale, total):
         m = lm_score.PRIOR
 
-        def loss(x, y, z):
-            p1 = (one[z] + 1) / (total + 256)
-            p2 = (pair[y, z] + m * p1) / (b_[y] + m)
-            return -math.log((three[x, y, z] + m * p2) / (ab[x, y] + m))
+        def loss(v, w):
+            p = (single[w] * scale + m * everything[0][w] / n) / (total + m)
+            return -math.log((pair[v, w] * scale + m * p) / (single[v] * scale + m))
         return loss
 
-    lt, lb = model(good), model({k: v * scale for k, v in all_counts.items()})
-    return [(i, len(grams(t)), sum(lt(*g) - lb(*g) for g in grams(t)) / max(1, len(grams(t)))) for i, t in rows]
+    scale = n_target / n if n_target else 1
+    target, background = model(*chosen, 1, n_target), model(*everything, scale, n * scale)
+    return [(i, len(tokens(t)), sum(target(*g) - background(*g) for g in zip([None, *tokens(t)], tokens(t))) / max(1, len(tokens(t))))
+            for i, t in rows]
 
 
-def test_lm_scores(spark):
-    rows = [r for r in awkward() if r[0] != 20]
-    marks = [(13, 1, 0), (13, 1, 0), (19, 1, None), (100, 1, 1), (101, 0, 0), (None, 1, 0), (110, None, 0)]
-    docs = documents(spark, rows)
-    table_ = lm_score.fit(docs, labels(spark, marks))
-    got = lm_score.score_documents(docs, table_).collect()
-    want = brute_scores(rows, {13, 19})
+def same_scores(got, want):
     key = lambda x: (x[0] is not None, x[0] or 0, x[1], x[2])
     for a, b in zip(sorted(((r.doc_id, r.n_tokens, r.score) for r in got), key=key), sorted(want, key=key), strict=True):
-        assert a[:2] == b[:2] and math.isclose(a[2], b[2], rel_tol=1e-4, abs_tol=1e-5)
+        assert a[:2] == b[:2] and math.isclose(a[2], b[2], rel_tol=1e-9, abs_tol=1e-12)
+
+
+@pytest.mark.parametrize("size", [8 << 20, 20_000])
+def test_lm_scores(spark, monkeypatch, size):
+    monkeypatch.setattr(lm_score, "SLICE_BYTES", size)
+    monkeypatch.setattr(lm_score, "GROUP_BYTES", size)
+    marks = [(13, 1, 0), (13, 1, 0), (19, 1, None), (100, 1, 1), (101, 0, 0), (None, 1, 0), (110, None, 0)]
+    same_scores(lm_score.score_documents(documents(spark, awkward()), labels(spark, marks)).collect(), brute_scores(awkward(), {13, 19}))
+
+
+def test_lm_scores_of_a_hot_row(spark, monkeypatch):
+    """A third of the table is one repeated row: it is dealt over the slices."""
+    monkeypatch.setattr(lm_score, "SLICE_BYTES", 10_000)
+    monkeypatch.setattr(lm_score, "GROUP_BYTES", 10_000)
+    rows = [(1, "the same words again and again")] * 500 + [(2 + k, f"other words {k % 7} and more {k}") for k in range(1000)]
+    same_scores(lm_score.score_documents(documents(spark, rows), labels(spark, [(k, 1, 0) for k in range(1, 90)])).collect(),
+                brute_scores(rows, set(range(1, 90))))
 
 
 def test_lm_scores_without_target_or_documents(spark):
-    docs = documents(spark, awkward())
-    plain = lm_score.fit(docs, labels(spark, []))
-    assert all(math.isfinite(r.score) for r in lm_score.score_documents(docs, plain).collect())
-    none = documents(spark, [])
-    assert lm_score.score_documents(none, lm_score.fit(none, labels(spark, []))).collect() == []
+    same_scores(lm_score.score_documents(documents(spark, awkward()), labels(spark, [])).collect(), brute_scores(awkward(), set()))
+    assert lm_score.score_documents(documents(spark, []), labels(spark, [])).collect() == []
+    blank = lm_score.score_documents(documents(spark, [(1, None), (2, " ")]), labels(spark, [(1, 1, 0)])).collect()
+    assert sorted(tuple(r) for r in blank) == [(1, 0, 0.0), (2, 0, 0.0)]
 
 
 def test_lm_scores_tell_junk_from_clean(spark):
     docs, marks = table(spark, SF2, "documents"), table(spark, SF2, "labels").toPandas().sort_values("doc_id")
-    scores = {r.doc_id: r.score for r in lm_score.score_documents(docs, lm_score.fit(docs, spark.createDataFrame(marks[::2]))).collect()}
+    scores = {r.doc_id: r.score for r in lm_score.score_documents(docs, spark.createDataFrame(marks[::2])).collect()}
     rest = marks[1::2]
     junk = [scores[i] for i, q in zip(rest.doc_id, rest.quality) if not q]
     clean = [scores[i] for i, q in zip(rest.doc_id, rest.quality) if q]

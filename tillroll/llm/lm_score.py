@@ -1,21 +1,33 @@
-"""Cross-entropy difference of two n-gram models.
+"""Cross-entropy difference of two n-gram models of words.
 
 A target model (documents labelled good and clean) and a background model (all
-documents) share one vocabulary, the 256 bytes, and one form: trigrams with
-weight ``PRIOR`` on the bigram estimate, that with the same weight on the
-unigram estimate, which adds one. The background's counts are scaled to the
-target's total, so that the priors weigh alike in both. A document's score is
-the mean over its bytes of loss under the target less loss under the
-background; lower is more like the target.
-
-Counts cover every byte of every document. With bytes as vocabulary the model
-has at most 256^3 cells, however large the corpus: it is exact, bounded at 64
-MB, and can be broadcast, where a table of word n-grams would grow with the
-corpus and have to be joined to each document's n-grams.
-
-Null text and empty text: 0 tokens, score 0. Null ids and repeated rows count
-and are scored like others. Without target documents both models are equal to
-their priors and the background; scores stay finite. An empty table: no rows.
+documents) share one vocabulary, all words of all documents, and one form. Words
+are runs of anything but white space; a boundary stands before and after the
+words of a text. With c the counts of a model and v the word before w
+
+    P(w)     = (c(w) + PRIOR * b(w)) / (N + PRIOR)
+    P(w | v) = (c(v w) + PRIOR * P(w)) / (c(v) + PRIOR)
+
+where b(w), the word's share of all documents, is the base of both models and N
+the tokens of the target: the background's counts are scaled to that total, so
+that the priors weigh alike in both. A document's score is the mean over its
+words and its end of loss under the target less loss under the background; lower
+is more like the target.
+
+Nothing is cut off or sampled: counts cover every word and pair of words of
+every document, however many there are, and none of them pass through the
+driver. Texts are dealt into slices by row. A slice sends each distinct gram
+once with its counts, as 64 bits of hash, to the group that the hash falls to;
+so the most frequent gram comes once a slice. A group sums the counts and
+answers each slice in the slice's own order; the slice's second pass works out
+the same grams, checks their number and sum, and scores its texts. The texts
+cross the network once (the exchange is reused by the second pass). Only the
+numbers of bytes and tokens reach the driver.
+
+Null text, and text without words: 0 tokens, score 0, no part in the counts.
+Null ids (never a target) and repeated rows count and are scored like others;
+labels may repeat. Without target documents the background keeps its own scale
+and the target is the base alone. An empty table: no rows.
 """
 
 from __future__ import annotations
@@ -27,107 +39,156 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import fresh, prepare, text_buffers, text_column, text_slices
+from tillroll.llm.common import prepare, text_column, text_slices
+from tillroll.llm.repeats import Words, mixed
 
 PRIOR = 4.0
-PART = 4 << 20
-
-
-def trigrams(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The trigram that ends at each byte, texts one after another; a text's
-    first two bytes have zeros before them."""
-    lens = np.diff(offsets)
-    n = len(data)
-    padded = np.zeros(n + 2, np.int32)
-    padded[2:] = data
-    one, two = padded[1:-1].copy(), padded[:-2].copy()
-    first = offsets[:-1][lens > 0]
-    second = offsets[:-1][lens > 1] + 1
-    one[first] = two[first] = 0
-    two[second] = 0
-    return (two << 16) | (one << 8) | padded[2:], lens
-
-
-def runs(cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct cells, and how often each occurs."""
-    cells = np.sort(cells)
-    first = np.flatnonzero(np.append(True, cells[1:] != cells[:-1])) if len(cells) else np.zeros(0, np.int64)
-    return cells[first], np.diff(np.append(first, len(cells)))
-
-
-def count_trigrams(docs: DataFrame, flag: str) -> DataFrame:
-    """``cell``, ``background`` and ``target``: how often each trigram occurs
-    in all documents and in those where the column ``flag`` is true."""
+SLICE_BYTES = 8 << 20     # text of a slice
+GROUP_BYTES = 8 << 20     # text whose grams a group holds on average
+BOUNDARY = np.uint64(0x8000000000000001)
+_PAIR, _SINGLE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)   # odd multiplier, mask
+
+
+class Grams:
+    """The tokens of some texts, the distinct grams in order of their hashes
+    (``keys``), and where the word, the word before and the pair of each token
+    stand there."""
+
+    def __init__(self, texts: pa.Array):
+        words = Words(texts)
+        self.counts = words.counts + (words.counts > 0)       # tokens of each text
+        ends = np.cumsum(self.counts)[words.counts > 0]
+        n = int(self.counts.sum())
+        closing = np.zeros(n, bool)
+        closing[ends - 1] = True
+        token = np.full(n, BOUNDARY)
+        token[~closing] = words.hashes
+        before = np.append(BOUNDARY, token[:-1])[:n]          # a text's first word follows the boundary of the one before
+        self.keys, of = np.unique(np.concatenate([mixed(token ^ _SINGLE), mixed(before * _PAIR + token)]), return_inverse=True)
+        self.word, self.pair = of[:n], of[n:]
+        boundary = np.searchsorted(self.keys, mixed(np.array([BOUNDARY]) ^ _SINGLE))
+        self.before = np.append(boundary, self.word[:-1])[:n]
+
+    def times(self, chosen: np.ndarray) -> np.ndarray:
+        """How often each gram occurs in the chosen texts."""
+        some = np.repeat(chosen, self.counts)
+        return np.bincount(self.word[some], minlength=len(self.keys)) + np.bincount(self.pair[some], minlength=len(self.keys))
+
+    def grouped(self, groups: int) -> tuple[np.ndarray, np.ndarray]:
+        """The groups that hold the keys, ascending, and where each one's start, with the end."""
+        group = ((self.keys >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)).astype(np.int64)
+        first = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, np.int64)
+        return group[first], np.append(first, len(group))
+
+
+def _total(keys: np.ndarray) -> int:
+    return int(keys.sum(dtype=np.uint64).view(np.int64))
+
+
+def _cut(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """One binary value for each run of the array."""
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [
+        None, pa.py_buffer(np.ascontiguousarray(bounds * values.itemsize, np.int64)), pa.py_buffer(np.ascontiguousarray(values))]).cast(pa.binary())
+
+
+_SENT = "grp long, slice long, grams binary, background binary, target binary"
+
+
+def _send(groups: int):
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        grams = Grams(rows["text"].combine_chunks())
+        group, bounds = grams.grouped(groups)
+        flag = rows["is_target"].combine_chunks().to_numpy(zero_copy_only=False).astype(bool)
+        return pa.Table.from_arrays([
+            pa.array(group), pa.array(np.full(len(group), key[0].as_py())), _cut(grams.keys, bounds),
+            _cut(grams.times(np.ones(len(flag), bool)).astype("<u4"), bounds), _cut(grams.times(flag).astype("<u4"), bounds),
+        ], names=["grp", "slice", "grams", "background", "target"])
+    return run
+
+
+_ANSWER = "slice long, grp long, total long, background binary, target binary"
+
+
+def _joined(values: pa.ChunkedArray, kind: str) -> np.ndarray:
+    return np.concatenate([np.frombuffer(v.as_buffer(), kind) for v in values])
+
+
+def _answer(key: tuple, rows: pa.Table) -> pa.Table:
+    """The counts in all texts of the grams that each slice has sent to a group."""
+    rows = rows.combine_chunks()
+    keys = _joined(rows["grams"], "<u8")
+    bounds = np.append(0, np.cumsum([len(v.as_buffer()) // 8 for v in rows["grams"]]))
+    found, of = np.unique(keys, return_inverse=True)
+    sums = []
+    for name in ("background", "target"):
+        times = np.zeros(len(found), np.int64)
+        np.add.at(times, of, _joined(rows[name], "<u4").astype(np.int64))
+        sums.append(times)
+    return pa.Table.from_arrays([
+        rows["slice"].combine_chunks(), rows["grp"].combine_chunks(),
+        pa.array([_total(keys[a:b]) for a, b in zip(bounds, bounds[1:])], pa.int64()),
+        *(_cut(times[of], bounds) for times in sums),
+    ], names=["slice", "grp", "total", "background", "target"])
+
+
+def losses(grams: Grams, background: np.ndarray, target: np.ndarray, all_tokens: int, target_tokens: int) -> np.ndarray:
+    """Of each token, loss under the target less loss under the background.
+    The counts are those of the grams' keys."""
+    base = background / max(1, all_tokens)
+    scale = target_tokens / all_tokens if target_tokens else 1.0
+
+    def log_probability(times: np.ndarray, total: float) -> np.ndarray:
+        single = (times + PRIOR * base) / (total + PRIOR)
+        return np.log((times[grams.pair] + PRIOR * single[grams.word]) / (times[grams.before] + PRIOR))
+
+    return log_probability(background * scale, all_tokens * scale) - log_probability(target.astype(float), target_tokens)
+
+
+def _score(groups: int, all_tokens: int, target_tokens: int):
+    def run(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        grams = Grams(rows["text"].combine_chunks())
+        group, bounds = grams.grouped(groups)
+        answers = answers.combine_chunks().sort_by("grp")
+        if answers["grp"].to_pylist() != group.tolist() or answers["total"].to_pylist() != [
+                _total(grams.keys[a:b]) for a, b in zip(bounds, bounds[1:])]:
+            raise RuntimeError("the documents changed between two reads; store them first")
+        score = np.zeros(rows.num_rows)
+        if len(grams.keys):
+            loss = losses(grams, _joined(answers["background"], "<i8"), _joined(answers["target"], "<i8"), all_tokens, target_tokens)
+            text = np.repeat(np.arange(rows.num_rows), grams.counts)
+            score = np.bincount(text, loss, rows.num_rows) / np.maximum(grams.counts, 1)
+        return pa.Table.from_arrays([rows["doc_id"].combine_chunks(), pa.array(grams.counts, pa.int64()), pa.array(score)],
+                                    names=["doc_id", "n_tokens", "score"])
+    return run
+
+
+def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in text_slices(batch, limit=SLICE_BYTES):
+            words = Words(part.column("text"))
+            tokens = words.counts + (words.counts > 0)
+            flag = part.column("is_target").to_numpy(zero_copy_only=False).astype(bool)
+            yield pa.RecordBatch.from_arrays([pa.array([part.column("text").nbytes]), pa.array([int(tokens.sum())]),
+                                              pa.array([int(tokens[flag].sum())])], names=["bytes", "tokens", "target"])
+
+
+def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, n_tokens, score of every document; ``labels`` has doc_id, quality
+    (1: good) and toxic (null or 0: clean) of some."""
     prepare(docs.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in text_slices(batch, limit=PART):
-                cells, lens = trigrams(*text_buffers(part.column("text")))
-                chosen = np.repeat(part.column("flag").to_numpy(zero_copy_only=False).astype(bool), lens)
-                for target in (False, True):
-                    at, times = runs(cells[chosen == target])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(at, pa.int64()), pa.array(times, pa.int64()), pa.array(times * target, pa.int64())],
-                        names=["cell", "background", "target"])
-
-    parts = docs.select(text_column().alias("text"), F.col(flag).alias("flag")).mapInArrow(
-        run, "cell long, background long, target long")
-    return parts.groupBy("cell").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
-
-
-def log_probabilities(cells: np.ndarray, times: np.ndarray) -> np.ndarray:
-    """log P(c | a b) for every trigram, float32."""
-    pair = np.bincount(cells & 0xFFFF, times, 1 << 16)               # b c, wherever a text has them
-    single = np.bincount(cells & 0xFF, times, 256)
-    after_pair = np.bincount(cells >> 8, times, 1 << 16)             # a b as context
-    after_single = np.bincount((cells >> 8) & 0xFF, times, 256)      # b as context
-    p1 = (single + 1) / (single.sum() + 256)
-    p2 = (pair.reshape(256, 256) + PRIOR * p1) / (after_single + PRIOR)[:, None]
-    scale = 1 / (after_pair + PRIOR)
-    out = np.empty((256, 256, 256), np.float32)
-    for first in range(256):
-        out[first] = PRIOR * p2 * scale[first * 256: (first + 1) * 256, None]
-    out = out.ravel()
-    out[cells] += (times * scale[cells >> 8]).astype(np.float32)
-    return np.log(out, out=out)
-
-
-def loss_differences(cells: np.ndarray, background: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Loss under the target less loss under the background, per trigram."""
-    total = target.sum()
-    matched = background * (total / background.sum() if total and background.sum() else 1.0)
-    out = log_probabilities(cells, matched)
-    out -= log_probabilities(cells, target.astype(np.float64))
-    return out
-
-
-def fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
-    """The table of loss differences. Only sums per trigram reach the driver."""
-    name = fresh(docs, "is_target")
     good = labels.filter((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)).select(
-        F.col("doc_id").alias("doc_id"), F.lit(True).alias(name)).distinct()
-    # The hint keeps the plan, and with it the growth of the shuffle, the same for labels of any size.
-    marked = docs.select("doc_id", "text").join(good.hint("shuffle_hash"), "doc_id", "left").select("text", F.coalesce(name, F.lit(False)).alias(name))
-    got = count_trigrams(marked, name).toArrow()
-    order = np.argsort(got["cell"].to_numpy())
-    return loss_differences(*(got[c].to_numpy()[order] for c in ("cell", "background", "target")))
-
-
-def score_documents(docs: DataFrame, differences: np.ndarray) -> DataFrame:
-    """doc_id, n_tokens, score of every document."""
-    spark = docs.sparkSession
-    prepare(spark)
-    table = spark.sparkContext.broadcast(differences)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in text_slices(batch, limit=PART):
-                cells, lens = trigrams(*text_buffers(part.column("text")))
-                total = np.concatenate([[0.0], np.cumsum(table.value[cells], dtype=np.float64)])
-                ends = np.cumsum(lens)
-                score = (total[ends] - total[ends - lens]) / np.maximum(lens, 1)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(lens, pa.int64()), pa.array(score)],
-                                                 names=["doc_id", "n_tokens", "score"])
-
-    return docs.select("doc_id", text_column().alias("text")).mapInArrow(run, "doc_id long, n_tokens long, score double")
+        F.col("doc_id").cast("long").alias("doc_id"), F.lit(True).alias("good")).distinct()
+    # Rows are numbered as they are read, before any shuffle.
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text"),
+                        F.xxhash64(F.monotonically_increasing_id()).alias("deal"))
+    texts = texts.join(good, "doc_id", "left").select("doc_id", "text", "deal", F.coalesce("good", F.lit(False)).alias("is_target"))
+    size, tokens, target = (x or 0 for x in texts.select("text", "is_target").mapInArrow(_sizes, "bytes long, tokens long, target long").agg(
+        F.sum("bytes"), F.sum("tokens"), F.sum("target")).first())
+    slices, groups = -(-size // SLICE_BYTES) or 1, -(-size // GROUP_BYTES) or 1
+    dealt = texts.select("doc_id", "text", "is_target", F.pmod("deal", F.lit(slices)).alias("slice"))
+    sent = dealt.groupBy("slice").applyInArrow(_send(groups), _SENT)
+    answers = sent.groupBy("grp").applyInArrow(_answer, _ANSWER)
+    return dealt.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(
+        _score(groups, tokens, target), "doc_id long, n_tokens long, score double")

@@ -20,8 +20,7 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return lm_score.score_documents(docs, lm_score.fit(docs, table(spark, sf_dir, "labels")))
+    return lm_score.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
