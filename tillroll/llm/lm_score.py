@@ -20,9 +20,11 @@ driver. Texts are dealt into slices by row. A slice sends each distinct gram
 once with its counts, as 64 bits of hash, to the group that the hash falls to;
 so the most frequent gram comes once a slice. A group sums the counts and
 answers each slice in the slice's own order; the slice's second pass works out
-the same grams, checks their number and sum, and scores its texts. The texts
-cross the network once (the exchange is reused by the second pass). Only the
-numbers of bytes and tokens reach the driver.
+the same grams, checks their sums, and scores its texts. The texts cross the
+network once (the exchange is reused by the second pass); labels are joined to
+ids alone, and a slice gets the ids of its target documents. Rows that have moved
+between passes (an input that is not the same when read again) raise an error.
+Only the numbers of bytes and tokens reach the driver.
 
 Null text, and text without words: 0 tokens, score 0, no part in the counts.
 Null ids (never a target) and repeated rows count and are scored like others;
@@ -39,13 +41,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import prepare, text_column, text_slices
+from tillroll.llm.common import materialize, prepare, text_buffers, text_column, text_slices
 from tillroll.llm.repeats import Words, mixed
 
 PRIOR = 4.0
 SLICE_BYTES = 8 << 20     # text of a slice
 GROUP_BYTES = 8 << 20     # text whose grams a group holds on average
 BOUNDARY = np.uint64(0x8000000000000001)
+MOVED = "the documents changed between two reads; store them first"
 _PAIR, _SINGLE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)   # odd multiplier, mask
 
 
@@ -94,12 +97,27 @@ def _cut(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
 _SENT = "grp long, slice long, grams binary, background binary, target binary"
 
 
+def _flags(doc_ids: pa.Array, targets: pa.Table) -> np.ndarray:
+    """Which rows of a slice are of the target; they must be as many as the ids
+    were found to have there."""
+    ids = targets["target_id"].to_numpy()
+    order = np.argsort(ids)
+    ids, times = ids[order], targets["times"].to_numpy()[order]
+    known = doc_ids.is_valid().to_numpy(zero_copy_only=False)
+    own = doc_ids.fill_null(0).to_numpy()
+    at = np.minimum(np.searchsorted(ids, own), max(0, len(ids) - 1))
+    flag = known & (ids[at] == own) if len(ids) else np.zeros(len(own), bool)
+    if (np.bincount(at[flag], minlength=len(ids)) != times).any():
+        raise RuntimeError(MOVED)
+    return flag
+
+
 def _send(groups: int):
-    def run(key: tuple, rows: pa.Table) -> pa.Table:
+    def run(key: tuple, rows: pa.Table, targets: pa.Table) -> pa.Table:
         rows = rows.combine_chunks()
+        flag = _flags(rows["doc_id"].combine_chunks(), targets)
         grams = Grams(rows["text"].combine_chunks())
         group, bounds = grams.grouped(groups)
-        flag = rows["is_target"].combine_chunks().to_numpy(zero_copy_only=False).astype(bool)
         return pa.Table.from_arrays([
             pa.array(group), pa.array(np.full(len(group), key[0].as_py())), _cut(grams.keys, bounds),
             _cut(grams.times(np.ones(len(flag), bool)).astype("<u4"), bounds), _cut(grams.times(flag).astype("<u4"), bounds),
@@ -153,7 +171,7 @@ def _score(groups: int, all_tokens: int, target_tokens: int):
         answers = answers.combine_chunks().sort_by("grp")
         if answers["grp"].to_pylist() != group.tolist() or answers["total"].to_pylist() != [
                 _total(grams.keys[a:b]) for a, b in zip(bounds, bounds[1:])]:
-            raise RuntimeError("the documents changed between two reads; store them first")
+            raise RuntimeError(MOVED)
         score = np.zeros(rows.num_rows)
         if len(grams.keys):
             loss = losses(grams, _joined(answers["background"], "<i8"), _joined(answers["target"], "<i8"), all_tokens, target_tokens)
@@ -167,11 +185,10 @@ def _score(groups: int, all_tokens: int, target_tokens: int):
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in text_slices(batch, limit=SLICE_BYTES):
-            words = Words(part.column("text"))
-            tokens = words.counts + (words.counts > 0)
-            flag = part.column("is_target").to_numpy(zero_copy_only=False).astype(bool)
-            yield pa.RecordBatch.from_arrays([pa.array([part.column("text").nbytes]), pa.array([int(tokens.sum())]),
-                                              pa.array([int(tokens[flag].sum())])], names=["bytes", "tokens", "target"])
+            counts = Words(part.column("text")).counts
+            yield pa.RecordBatch.from_arrays([
+                part.column("doc_id"), part.column("deal"), pa.array(np.diff(text_buffers(part.column("text"))[0])),
+                pa.array(counts + (counts > 0))], names=["doc_id", "deal", "bytes", "tokens"])
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -180,15 +197,16 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     prepare(docs.sparkSession)
     good = labels.filter((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.lit(True).alias("good")).distinct()
-    # Rows are numbered as they are read, before any shuffle.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text"),
                         F.xxhash64(F.monotonically_increasing_id()).alias("deal"))
-    texts = texts.join(good, "doc_id", "left").select("doc_id", "text", "deal", F.coalesce("good", F.lit(False)).alias("is_target"))
-    size, tokens, target = (x or 0 for x in texts.select("text", "is_target").mapInArrow(_sizes, "bytes long, tokens long, target long").agg(
-        F.sum("bytes"), F.sum("tokens"), F.sum("target")).first())
+    # Only ids meet the labels, not texts.
+    sizes = materialize(texts.mapInArrow(_sizes, "doc_id long, deal long, bytes long, tokens long"), "sizes").join(good, "doc_id", "left")
+    size, tokens, target = (x or 0 for x in sizes.agg(F.sum("bytes"), F.sum("tokens"), F.sum(F.when(F.col("good"), F.col("tokens")))).first())
     slices, groups = -(-size // SLICE_BYTES) or 1, -(-size // GROUP_BYTES) or 1
-    dealt = texts.select("doc_id", "text", "is_target", F.pmod("deal", F.lit(slices)).alias("slice"))
-    sent = dealt.groupBy("slice").applyInArrow(_send(groups), _SENT)
+    slice_of = F.pmod("deal", F.lit(slices))
+    dealt = texts.select("doc_id", "text", slice_of.alias("slice"))
+    targets = sizes.filter("good").groupBy(slice_of.alias("at"), F.col("doc_id").alias("target_id")).agg(F.count("*").alias("times"))
+    sent = dealt.groupBy("slice").cogroup(targets.groupBy("at")).applyInArrow(_send(groups), _SENT)
     answers = sent.groupBy("grp").applyInArrow(_answer, _ANSWER)
     return dealt.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(
         _score(groups, tokens, target), "doc_id long, n_tokens long, score double")
