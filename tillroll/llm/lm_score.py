@@ -94,6 +94,17 @@ def _cut(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
         None, pa.py_buffer(np.ascontiguousarray(bounds * values.itemsize, np.int64)), pa.py_buffer(np.ascontiguousarray(values))]).cast(pa.binary())
 
 
+def _packed(counts: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The same for counts, most of which are 1 or 0: compressed."""
+    counts = counts.astype("<i8")
+    return pa.array([pa.compress(counts[a:b].tobytes(), codec="zstd", asbytes=True) for a, b in zip(bounds, bounds[1:])], pa.binary())
+
+
+def _unpacked(values: pa.ChunkedArray, bounds: np.ndarray) -> np.ndarray:
+    sizes = (np.diff(bounds) * 8).tolist()
+    return np.concatenate([np.frombuffer(pa.decompress(v.as_buffer(), n, codec="zstd"), "<i8") for v, n in zip(values, sizes, strict=True)])
+
+
 _SENT = "grp long, slice long, grams binary, background binary, target binary"
 
 
@@ -120,7 +131,7 @@ def _send(groups: int):
         group, bounds = grams.grouped(groups)
         return pa.Table.from_arrays([
             pa.array(group), pa.array(np.full(len(group), key[0].as_py())), _cut(grams.keys, bounds),
-            _cut(grams.times(np.ones(len(flag), bool)).astype("<u4"), bounds), _cut(grams.times(flag).astype("<u4"), bounds),
+            _packed(grams.times(np.ones(len(flag), bool)), bounds), _packed(grams.times(flag), bounds),
         ], names=["grp", "slice", "grams", "background", "target"])
     return run
 
@@ -128,25 +139,17 @@ def _send(groups: int):
 _ANSWER = "slice long, grp long, total long, background binary, target binary"
 
 
-def _joined(values: pa.ChunkedArray, kind: str) -> np.ndarray:
-    return np.concatenate([np.frombuffer(v.as_buffer(), kind) for v in values])
-
-
 def _answer(key: tuple, rows: pa.Table) -> pa.Table:
     """The counts in all texts of the grams that each slice has sent to a group."""
     rows = rows.combine_chunks()
-    keys = _joined(rows["grams"], "<u8")
+    keys = np.concatenate([np.frombuffer(v.as_buffer(), "<u8") for v in rows["grams"]])
     bounds = np.append(0, np.cumsum([len(v.as_buffer()) // 8 for v in rows["grams"]]))
     found, of = np.unique(keys, return_inverse=True)
-    sums = []
-    for name in ("background", "target"):
-        times = np.zeros(len(found), np.int64)
-        np.add.at(times, of, _joined(rows[name], "<u4").astype(np.int64))
-        sums.append(times)
+    sums = [np.bincount(of, _unpacked(rows[name], bounds), len(found)) for name in ("background", "target")]   # exact below 2^53
     return pa.Table.from_arrays([
         rows["slice"].combine_chunks(), rows["grp"].combine_chunks(),
         pa.array([_total(keys[a:b]) for a, b in zip(bounds, bounds[1:])], pa.int64()),
-        *(_cut(times[of], bounds) for times in sums),
+        *(_packed(times[of], bounds) for times in sums),
     ], names=["slice", "grp", "total", "background", "target"])
 
 
@@ -174,7 +177,8 @@ def _score(groups: int, all_tokens: int, target_tokens: int):
             raise RuntimeError(MOVED)
         score = np.zeros(rows.num_rows)
         if len(grams.keys):
-            loss = losses(grams, _joined(answers["background"], "<i8"), _joined(answers["target"], "<i8"), all_tokens, target_tokens)
+            background, target = (_unpacked(answers[name], bounds) for name in ("background", "target"))
+            loss = losses(grams, background, target, all_tokens, target_tokens)
             text = np.repeat(np.arange(rows.num_rows), grams.counts)
             score = np.bincount(text, loss, rows.num_rows) / np.maximum(grams.counts, 1)
         return pa.Table.from_arrays([rows["doc_id"].combine_chunks(), pa.array(grams.counts, pa.int64()), pa.array(score)],
