@@ -2,37 +2,45 @@
 
 A classifier fitted on labelled documents (a softmax over hashed features, at
 most ``max_rows`` rows) gives each document a posterior over the domains. With
-n_i words and posterior p_i, a document at rate r_i adds r_i n_i p_i expected
+n_i tokens and posterior p_i, a document at rate r_i adds r_i n_i p_i expected
 tokens to the domains. The rates minimise
 
     sum over domains of (sum_i r_i n_i p_i - target)^2 / available
-        + pull * sum_i n_i (r_i - 1)^2
-
-over r >= 0. The pull picks the rates nearest to 1 of the many that fit alike.
-It falls by tens until each domain's residual is at most ``CLOSE`` of its target
-(for a target of 0, of all target tokens), or to 1e-11, where the first part is
-at its least within that and no rates fit better: the gradient of a document
-whose rate is above 0 is pull * |r_i - 1| of the one at r = 1.
-
-The minimum has the form r_i = max(0, 1 - p_i . dual), one number a domain, and
-the dual is the minimum of a smooth convex function whose value, slope and
-curvature are sums over the documents. A Newton step is one pass over the small
-posterior table that gives one row of sums for a few step lengths at once. Only
-these, and ``SAMPLE`` posteriors that give the first dual, reach the driver; the
-sample saves passes and does not decide where the fit ends. What is left of the
-residuals is logged and kept in ``Fit``.
+
+over r >= 0 by scaled projected gradient from rates near 1. Distances between
+rates weigh a document by its tokens; then the slope of document i is p_i . g, with
+one number g a domain, and the plain step r = max(0, r - p_i . g) never overshoots.
+It is slow where posteriors are alike, so that the slope is scaled (Bertsekas'
+projection): documents at a bound that the slope pushes against are held, the
+others move along p_i . c, where c solves the small system of their curvature, and
+are cut off at the bounds. A pass over the posterior table gives the expected
+tokens for c at some lengths and for the plain step, and the best is taken; another
+gives the curvature there. Only rows of such sums reach the driver. No rate is
+stored between steps: g and c of each step go to all tasks, which replay them on
+their rows, so a lost task costs its own rows only. The fit ends when each
+domain's residual is at most ``CLOSE`` of its target (for a target of 0, of all
+target tokens), when a plain step would move at most ``STILL`` of it, where no
+rates fit better, or after ``STEPS`` steps. What is left of the residuals is logged
+and kept in ``Fit``.
+
+``SAMPLE`` posteriors on the driver give the first rates, by their dual; they
+save passes and do not decide where the fit ends.
+
+Targets should be within reach: a domain that is asked to vanish takes each
+document along that has a trace of it, so ``SHARES`` leaves ``bad`` and ``toxic``
+what the classifier's errors put there.
 
 The pipeline's stage (``mixed``) must not lose clean documents, so its rates have
 a least value: 1 for a document whose posterior is mainly of the anchor, 0 for
-others. The fit is the same with r_i = max(least, 1 - p_i . dual). It weighs
-documents by their tokens and emits as many copies as a rate says, so that the
-expected tokens of the output are those of the fit.
+others; ``most`` bounds them above (1: no document comes twice). It emits as many
+copies as a rate says, so that the expected tokens of the output are those of the
+fit.
 
 Domains of the labels table: ``bad`` (quality 0), ``toxic``, ``clean``.
 ``ANCHOR`` is the domain whose available tokens stay whole; the others' targets
 follow from the shares. A domain without tokens has no target.
 
-Null text: empty, 0 words, a rate like any other. Null ids and repeated rows
+Null text: empty, 0 tokens, a rate like any other. Null ids and repeated rows
 are documents of their own. Without labels every posterior is uniform. An empty
 table gives no rows.
 """
@@ -41,7 +49,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -55,15 +63,17 @@ from tillroll.llm.pieces import encoder
 from tillroll.llm.quality import MAX_ROWS, MIN_ROWS, RIDGE, ROUNDS, rating
 
 DOMAINS = ("bad", "toxic", "clean")          # in the order of the ratings
-SHARES = {"bad": 0.0, "toxic": 0.02, "clean": 0.98}
+SHARES = {"bad": 0.05, "toxic": 0.05, "clean": 0.90}
 ANCHOR = "clean"
 TOKENIZER = "byte_bpe_50k.json"   # of the tokens that weigh documents in the pipeline
 CLOSE = 1e-4    # residual of a domain, as a part of its target, at which the fit ends
-EXACT = 1e-7    # the same for the slope at which the Newton steps for a pull end
-PULLS = tuple(10.0 ** -k for k in range(2, 12))
-LENGTHS = np.array([1.0, 1 / 4, 1 / 16, 1 / 64])   # of a Newton step
-NEWTON = 50     # steps for a pull; about 5 are used
-SAMPLE = 4096   # posteriors on the driver, for the first dual
+STILL = 1e-9    # the same for what a step moves
+STEPS = 60      # of two passes over the posteriors each; about 3 are used
+PULLS = tuple(10.0 ** -k for k in range(2, 12))   # of the sample's rates towards 1
+NEWTON = 50                                       # steps for a pull there
+RIDGES = 10.0 ** np.array([-9, -7, -6, -5, -4, -3, -2, -1])   # of the system of a scaled step: the larger, the shorter
+LENGTHS = np.array([1.0, 4.0, 16.0, 64.0])                    # of a plain step
+SAMPLE = 4096   # posteriors on the driver, for the first rates
 
 log = logging.getLogger(__name__)
 
@@ -104,28 +114,58 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, min_rows:
     return fit_domains(*labelled_features(docs, labels, rating(), max_rows), min_rows=min_rows)
 
 
-def posterior(docs: DataFrame, model: DomainModel) -> Column:
-    """Posterior and number of words of each text, as a column over ``docs``."""
+def posterior(docs: DataFrame, model: DomainModel, tokenizer: str = TOKENIZER) -> Column:
+    """Posterior and number of tokens of each text, as a column over ``docs``."""
     prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("p array<double>, n_tokens long")
     def run(texts: pa.Array) -> pa.Array:
-        p, words = shared.value.posteriors(texts)
-        return pa.StructArray.from_arrays([_posterior_list(p), pa.array(words, pa.int64())], names=["p", "n_tokens"])
+        p, _ = shared.value.posteriors(texts)
+        return pa.StructArray.from_arrays([_posterior_list(p), pa.array(encoder(tokenizer).count(texts), pa.int64())], names=["p", "n_tokens"])
 
     return run(text_column())
 
 
+@dataclass(frozen=True)
+class Rates:
+    """Rates as a function of a document's posterior: the first ones and the
+    steps from there."""
+    start: np.ndarray                                      # first rates: 1 - p . start, within bounds
+    whole: int | None = None                               # domain whose documents keep a rate of 1 or more
+    most: float = np.inf
+    steps: tuple[tuple[np.ndarray, np.ndarray], ...] = ()  # slope and move of each domain
+
+    def step(self, slope: np.ndarray, move: np.ndarray) -> Rates:
+        return replace(self, steps=(*self.steps, (slope, move)))
+
+    def least(self, p: np.ndarray) -> np.ndarray:
+        return np.zeros(len(p)) if self.whole is None else (p[:, self.whole] > 0.5).astype(float)
+
+    def held(self, r: np.ndarray, p: np.ndarray, slope: np.ndarray) -> np.ndarray:
+        """Documents at a bound that the slope pushes against."""
+        push = p @ slope
+        return (r <= self.least(p)) & (push > 0) | (r >= self.most) & (push < 0)
+
+    def moved(self, r: np.ndarray, p: np.ndarray, slope: np.ndarray, move: np.ndarray) -> np.ndarray:
+        return np.where(self.held(r, p, slope), r, np.clip(r - p @ move, self.least(p), self.most))
+
+    def __call__(self, p: np.ndarray) -> np.ndarray:
+        """``p`` has a row for each document."""
+        r = np.clip(1 - p @ self.start, self.least(p), self.most)
+        for slope, move in self.steps:
+            r = self.moved(r, p, slope, move)
+        return r
+
+
 @dataclass
 class Fit:
-    """The dual of the rates, and the expected tokens that they reach."""
-    dual: np.ndarray
-    pull: float
+    """Rates, and the expected tokens that they reach."""
+    rates: Rates
     tokens: np.ndarray
     target: np.ndarray
     used: np.ndarray   # domains that have tokens
-    done: bool         # the slope of the dual is at ``EXACT``
+    still: bool        # no rates fit better
 
     @property
     def residual(self) -> np.ndarray:
@@ -134,126 +174,125 @@ class Fit:
 
     @property
     def close(self) -> bool:
-        return self.done and bool((np.abs(self.residual) <= CLOSE).all())
+        return bool((np.abs(self.residual) <= CLOSE).all())
 
 
 def _unit(target: np.ndarray) -> np.ndarray:
     return np.where(target > 0, target, max(target.sum(), np.finfo(float).tiny))
 
 
-def rates(p: np.ndarray, dual: np.ndarray, whole: int | None = None) -> np.ndarray:
-    """Rates of documents; ``p`` has a row for each. At least 1 where the
-    posterior is mainly of the domain numbered ``whole``."""
-    least = 0.0 if whole is None else (p[:, whole] > 0.5).astype(float)
-    return np.maximum(least, 1 - p @ dual)
+def _matrix(batch: pa.RecordBatch, column: str | int = "p") -> np.ndarray:
+    p = batch.column(column)
+    return p.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1) if batch.num_rows else np.zeros((0, len(DOMAINS)))
+
 
+Sums = Callable[[Callable[[np.ndarray, np.ndarray], np.ndarray], int], np.ndarray]
 
-def _matrix(batch: pa.RecordBatch) -> np.ndarray:
-    column = batch.column("p")
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1) if batch.num_rows else np.zeros((0, len(DOMAINS)))
 
+def tokens_of(rates: Rates, slope: np.ndarray, moves: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """Expected tokens of each domain after each of some moves."""
+    def of(p: np.ndarray, n_tokens: np.ndarray) -> np.ndarray:
+        r = rates(p)
+        return np.concatenate([(rates.moved(r, p, slope, m) * n_tokens) @ p for m in moves])
+    return of
 
-def moments(p: np.ndarray, n_tokens: np.ndarray, duals: np.ndarray, whole: int | None = None) -> np.ndarray:
-    """For each dual a row: the documents' part of the dual's function, the
-    expected tokens (less its derivative), and the derivatives of these."""
-    out = []
-    for dual in duals:
-        r, free = rates(p, dual, whole), 1 - p @ dual
-        out.append(np.concatenate([[n_tokens @ (r * free - r**2 / 2)], (r * n_tokens) @ p,
-                                   ((p * (n_tokens * (r == free))[:, None]).T @ p).ravel()]))
-    return np.array(out)
 
+def curvature_of(rates: Rates, slope: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """What a plain step moves of each domain's tokens, and the curvature of
+    the documents that are not held."""
+    def of(p: np.ndarray, n_tokens: np.ndarray) -> np.ndarray:
+        r = rates(p)
+        moved = np.abs(rates.moved(r, p, slope, slope) - r)
+        free = np.where(rates.held(r, p, slope), 0.0, n_tokens)
+        return np.concatenate([(moved * n_tokens) @ p, ((p * free[:, None]).T @ p).ravel()])
+    return of
 
-def table_moments(posts: DataFrame, n: int, whole: int | None = None) -> Callable[[np.ndarray], np.ndarray]:
-    """``moments`` over a table of ``n`` domains."""
-    def at(duals: np.ndarray) -> np.ndarray:
-        width = len(duals) * (1 + n + n * n)
+
+def table_sums(posts: DataFrame) -> Sums:
+    """Sums of a function of (posteriors, tokens) over a table."""
+    def over(of: Callable[[np.ndarray, np.ndarray], np.ndarray], width: int) -> np.ndarray:
+        names = [f"d{k}" for k in range(width)]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros(width)
             for batch in batches:
                 if batch.num_rows:
-                    total += moments(_matrix(batch), batch.column("n_tokens").to_numpy().astype(float), duals, whole).ravel()
-            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in total.tolist()], names=[f"d{k}" for k in range(width)])
-
-        sums = posts.select("p", "n_tokens").mapInArrow(run, ", ".join(f"d{k} double" for k in range(width)))
-        row = sums.agg(*(F.sum(f"d{k}").alias(f"d{k}") for k in range(width))).first()
-        return np.array([row[f"d{k}"] or 0.0 for k in range(width)]).reshape(len(duals), -1)
-
-    return at
-
-
-def newton(at: Callable[[np.ndarray], np.ndarray], available: np.ndarray, target: np.ndarray, pull: float, dual: np.ndarray) -> Fit:
-    """The fit for one pull, from a first dual."""
-    n, used = len(target), available > 0
-
-    def value(dual: np.ndarray, row: np.ndarray) -> float:
-        return row[0] + dual @ target + pull / 2 * (available @ dual**2)
-
-    now = at(dual[None])[0]
-    done = False
-    for _ in range(NEWTON):
-        slope = np.where(used, target - now[1: 1 + n] + pull * available * dual, 0.0)
-        done = bool((np.abs(slope) <= EXACT * _unit(target)).all())
-        if done:
+                    total += of(_matrix(batch), batch.column("n_tokens").to_numpy().astype(float))
+            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in total.tolist()], names=names)
+
+        parts = posts.select("p", "n_tokens").mapInArrow(run, ", ".join(f"{d} double" for d in names))
+        row = parts.agg(*(F.sum(d).alias(d) for d in names)).first()
+        return np.array([row[d] or 0.0 for d in names])
+
+    return over
+
+
+def descend(over: Sums, available: np.ndarray, target: np.ndarray, rates: Rates) -> Fit:
+    """Scaled projected gradient from the first rates."""
+    n, used, unit = len(target), available > 0, _unit(target)
+    per_token = np.divide(1.0, available, out=np.zeros(n), where=used)
+    tokens = over(tokens_of(rates, np.zeros(n), np.zeros((1, n))), n)
+    fit = Fit(rates, tokens, target, used, False)
+    while not fit.close and not fit.still and len(fit.rates.steps) < STEPS:
+        slope = (fit.tokens - target) * per_token
+        row = over(curvature_of(fit.rates, slope), n + n * n)
+        if (row[:n] <= STILL * unit).all():
+            fit.still = True
             break
-        curve = now[1 + n:].reshape(n, n) + pull * np.diag(available)
-        step = np.zeros(n)
-        step[used] = -np.linalg.solve(curve[np.ix_(used, used)], slope[used])
-        trials = dual + LENGTHS[:, None] * step
-        rows = at(trials)
-        values = [value(d, row) for d, row in zip(trials, rows)]
-        best = int(np.argmin(values))
-        if values[best] >= value(dual, now):
-            break   # no further in floating point
-        dual, now = trials[best], rows[best]
-    return Fit(dual, pull, now[1: 1 + n], target, used, done)
+        system = per_token[:, None] * row[n:].reshape(n, n)
+        moves = np.vstack([*(np.linalg.solve(system + ridge * np.eye(n), slope) for ridge in RIDGES), LENGTHS[:, None] * slope])
+        reached = over(tokens_of(fit.rates, slope, moves), n * len(moves)).reshape(-1, n)
+        best = int(np.argmin((reached - target) ** 2 @ per_token))
+        fit = Fit(fit.rates.step(slope, moves[best]), reached[best], target, used, False)
+    return fit
 
 
 def _targets(available: np.ndarray, shares: dict[str, float], anchor: str) -> np.ndarray:
     return np.array(list(shares.values())) / shares[anchor] * available[list(shares).index(anchor)]
 
 
-def _path(at: Callable[[np.ndarray], np.ndarray], available: np.ndarray, target: np.ndarray) -> list[Fit]:
-    """Fits for falling pulls, each from the one before, to the first that is
-    close or the last that floating point reaches."""
-    fits: list[Fit] = []
+def first_rates(p: np.ndarray, n_tokens: np.ndarray, shares: dict[str, float], anchor: str, rates: Rates) -> Rates:
+    """Rates that fit a sample on the driver: those nearest to 1 are
+    1 - p . dual within bounds. The dual is the minimum of a smooth convex
+    function, found by Newton steps for a falling pull towards 1."""
+    available = n_tokens @ p
+    target, used = _targets(available, shares, anchor), available > 0
+    n, dual = len(target), np.zeros(len(target))
+
+    def moments(dual: np.ndarray, pull: float) -> tuple[float, np.ndarray, np.ndarray]:
+        r, free = replace(rates, start=dual)(p), 1 - p @ dual
+        value = n_tokens @ (r * free - r**2 / 2) + dual @ target + pull / 2 * (available @ dual**2)
+        slope = np.where(used, target - (r * n_tokens) @ p + pull * available * dual, 0.0)
+        return value, slope, (p * (n_tokens * (r == free))[:, None]).T @ p + pull * np.diag(available)
+
     for pull in PULLS:
-        fit = newton(at, available, target, pull, fits[-1].dual if fits else np.zeros(len(target)))
-        if fits and not fit.done:
+        value, slope, curve = moments(dual, pull)
+        for _ in range(NEWTON):
+            move = np.zeros(n)
+            move[used] = np.linalg.lstsq(curve[np.ix_(used, used)], -slope[used], rcond=None)[0]
+            trials = [dual + move / 4.0**k for k in range(4)]
+            found = [moments(d, pull) for d in trials]
+            best = int(np.argmin([f[0] for f in found]))
+            if found[best][0] >= value:
+                break   # no further in floating point
+            dual, (value, slope, curve) = trials[best], found[best]
+        first = replace(rates, start=dual)
+        if Fit(first, (first(p) * n_tokens) @ p, target, used, False).close:
             break
-        fits.append(fit)
-        if fit.close:
-            break
-    return fits
+    return first
 
 
-def fit_rates(posts: DataFrame, shares: dict[str, float] = SHARES, anchor: str = ANCHOR, whole: int | None = None) -> Fit:
+def fit_rates(posts: DataFrame, shares: dict[str, float] = SHARES, anchor: str = ANCHOR, whole: int | None = None,
+              most: float = np.inf) -> Fit:
     """``posts`` is a written table: doc_id, p, n_tokens."""
     n = len(shares)
-    at = table_moments(posts, n, whole)
-    available = at(np.zeros((1, n)))[0, 1: 1 + n]
+    over, rates = table_sums(posts), Rates(np.zeros(n), whole, most)
+    available = over(lambda p, n_tokens: n_tokens @ p, n)
     target = _targets(available, shares, anchor)
     rows = posts.select("p", "n_tokens").orderBy(F.xxhash64("doc_id", "p"), "p", "n_tokens").limit(SAMPLE).collect()
-    p, words = np.array([r["p"] for r in rows]).reshape(-1, n), np.array([r["n_tokens"] for r in rows], float)
-    guess = _path(lambda duals: moments(p, words, duals, whole), words @ p, _targets(words @ p, shares, anchor))
-    # The largest pull whose fit to the whole table is close, searched from the sample's.
-    k = max(0, len(guess) - 2)
-    fit = newton(at, available, target, PULLS[k], guess[k].dual)
-    if fit.close:
-        while k and (larger := newton(at, available, target, PULLS[k - 1], guess[k - 1].dual)).close:
-            fit, k = larger, k - 1
-    while fit.done and not fit.close and k < len(PULLS) - 1:
-        k += 1
-        smaller = newton(at, available, target, PULLS[k], guess[k].dual if k < len(guess) else fit.dual)
-        if not smaller.done and k < len(guess):
-            smaller = newton(at, available, target, PULLS[k], fit.dual)
-        if not smaller.done:
-            break
-        fit = smaller
-    if not fit.done:   # the sample's dual was too far off
-        fit = _path(at, available, target)[-1]
-    log.info("mixing: pull %g, remaining residuals %s", fit.pull, dict(zip(shares, fit.residual.tolist())))
+    p, n_tokens = np.array([r["p"] for r in rows]).reshape(-1, n), np.array([r["n_tokens"] for r in rows], float)
+    fit = descend(over, available, target, first_rates(p, n_tokens, shares, anchor, rates))
+    log.info("mixing: %d steps, remaining residuals %s", len(fit.rates.steps), dict(zip(shares, fit.residual.tolist())))
     return fit
 
 
@@ -276,15 +315,16 @@ def coin() -> Column:
     return (F.pmod(F.xxhash64("row", F.lit("mix")), F.lit(1 << 30)) / float(1 << 30)).alias("coin")
 
 
-def mix_documents(docs: DataFrame, model: DomainModel, shares: dict[str, float] = SHARES, anchor: str = ANCHOR) -> DataFrame:
+def mix_documents(docs: DataFrame, model: DomainModel, shares: dict[str, float] = SHARES, anchor: str = ANCHOR,
+                  tokenizer: str = TOKENIZER) -> DataFrame:
     """doc_id, n_tokens, p_<domain> ..., rate, copies of every document."""
-    posts = materialize(docs.select("doc_id", posterior(docs, model).alias("x")).select(
+    posts = materialize(docs.select("doc_id", posterior(docs, model, tokenizer).alias("x")).select(
         "doc_id", "x.p", "x.n_tokens", F.monotonically_increasing_id().alias("row")), "posteriors")
-    dual = fit_rates(posts, shares, anchor).dual
+    rates = fit_rates(posts, shares, anchor).rates
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            r = rates(_matrix(batch), dual)
+            r = rates(_matrix(batch))
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(r), pa.array(copies(r, _coins(batch)))],
                                              names=[*batch.schema.names[:3], "rate", "copies"])
 
@@ -294,7 +334,7 @@ def mix_documents(docs: DataFrame, model: DomainModel, shares: dict[str, float]
 
 
 def mixed(docs: DataFrame, model: DomainModel, shares: dict[str, float] = SHARES, anchor: str = ANCHOR,
-          tokenizer: str = TOKENIZER) -> DataFrame:
+          tokenizer: str = TOKENIZER, most: float = np.inf) -> DataFrame:
     """The documents, each as often as it has copies, with all their columns.
     Every text is classified and counted once: its row is stored with what was
     found, the fit reads the found columns alone, and a last pass emits copies."""
@@ -318,13 +358,11 @@ def mixed(docs: DataFrame, model: DomainModel, shares: dict[str, float] = SHARES
     schema = T.StructType([*numbered.schema.fields, T.StructField(f"c{width}", T.ArrayType(T.DoubleType())), T.StructField(f"c{width + 1}", T.LongType())])
     rows = materialize(docs.mapInArrow(tidy(weigh), schema).withColumn("row", F.monotonically_increasing_id()), "weighed")
     posts = rows.select(F.col(f"c{columns.index('doc_id')}").alias("doc_id"), F.col(f"c{width}").alias("p"), F.col(f"c{width + 1}").alias("n_tokens"))
-    dual = fit_rates(posts, shares, anchor, whole).dual
+    rates = fit_rates(posts, shares, anchor, whole, most).rates
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            p = batch.column(width)
-            p = p.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1) if batch.num_rows else np.zeros((0, len(shares)))
-            times = copies(rates(p, dual, whole), _coins(batch))
+            times = copies(rates(_matrix(batch, width)), _coins(batch))
             own = batch.select(range(width))
             for k in range(int(times.max(initial=0))):   # first copies, second ones, ...
                 yield own.filter(pa.array(times > k))
