@@ -130,6 +130,48 @@ def test_id_files(spark, shard_ids):
 
 def test_id_files_of_nothing(spark):
     assert id_files.read_ids(*id_files.write_ids(documents(spark, []), WORD, 2)).collect() == []
+    assert id_files.lookup(*id_files.write_ids(documents(spark, []), WORD, 2), [1, 2]).collect() == []
+
+
+@pytest.mark.parametrize("shard_ids, at_once", [(300, 5), (1 << 22, 1 << 20)])
+def test_lookup_gives_the_documents_of_keys(spark, monkeypatch, shard_ids, at_once):
+    monkeypatch.setattr(id_files, "MAX_KEYS", at_once)
+    rows = awkward() + [(77, f"one of many {k % 5}") for k in range(300)]   # one id in several shards
+    path, manifest = id_files.write_ids(documents(spark, rows), WORD, 2, shard_ids=shard_ids)
+    ids = {t: (*x, 2) for (_, t), x in zip(rows, library(WORD, [t or "" for _, t in rows]))}
+    keys = sorted({i for i, _ in rows if i is not None})
+    got = id_files.lookup(path, manifest, [*keys[::2], 77, 77, -10**15, 10**15, 10**12 + 7]).collect()
+    assert Counter((r.doc_id, r.n_tokens, tuple(r.ids)) for r in got) == Counter(
+        (i, len(ids[t]), ids[t]) for i, t in rows if i in {*keys[::2], 77})
+    places = {(r.start, r.doc_id) for r in id_files.read_ids(path, manifest).collect()}
+    assert {(r.start, r.doc_id) for r in got} <= places
+    assert id_files.lookup(path, manifest, []).collect() == []
+
+
+class Counted:
+    """A file in memory that counts the bytes read of it."""
+    def __init__(self, content):
+        self.content, self.bytes = content, 0
+
+    def size(self):
+        return len(self.content)
+
+    def read_at(self, n, at):
+        self.bytes += n
+        return self.content[at: at + n]
+
+
+def test_lookup_reads_ranges_of_a_shard():
+    rnd = np.random.default_rng(4)
+    keys = np.unique(rnd.integers(-2**62, 2**62, 3000))
+    lens = rnd.integers(1, 900, len(keys))
+    starts = np.append(0, np.cumsum(lens))
+    ids = rnd.integers(0, 49_000, starts[-1]).astype("<u2")
+    file = Counted(id_files.write_shard(keys, np.ones(len(keys), bool), starts, ids))
+    some = np.append(keys[[0, 5, 1700, len(keys) - 1]], [12, -7])
+    got = {k: (a, x.tolist()) for k, a, x in id_files.find(file, some)}
+    assert got == {int(keys[r]): (int(starts[r]), ids[starts[r]: starts[r + 1]].tolist()) for r in (0, 5, 1700, len(keys) - 1)}
+    assert file.bytes < len(file.content) / 20
 
 
 def test_index_is_minimal_perfect_and_turns_away_absent_keys():

@@ -16,15 +16,22 @@ the number of bits before its own. A slot has the key's first record and a
 fingerprint that turns away absent keys, so a document is found in constant
 time from the raw payload. Records of one key follow one another.
 
+Over the shards, the manifest is the index: the first and last key of each. Shards
+hold ranges of keys, so ``lookup`` opens only those that a key may lie in, and reads
+of each the header, the hash index (some bytes a document) and the ranges of the
+documents found. The stored ``doc_id`` of a record confirms a fingerprint.
+
 Null text: only the end id. Null ``doc_id``s come first and are records without
-a key. Repeated ``doc_id``s are records one after another, in order of their
+a key, which ``lookup`` never gives; absent keys have no row there, and a key given
+twice counts once. Repeated ``doc_id``s are records one after another, in order of their
 text's hash. An empty table gives no shards and no rows.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +45,8 @@ from tillroll.llm.pieces import encoder
 MAGIC = b"TRIDSH01"
 SHARD_IDS = 4 << 20   # ids in a shard file; one longer document makes a shard of its own
 GAMMA = 2             # places per key of a level
+RUN = 64              # records whose keys are read at once in a lookup
+MAX_KEYS = 1 << 20    # keys of a lookup that go to the tasks at once; more go in blocks
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -142,6 +151,33 @@ class Shard:
         return self.ids[self.starts[record]: self.starts[record + 1]]
 
 
+def find(file: pa.NativeFile, keys: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(key, first id's place in the shard, ids) of each record of the keys,
+    by ranges of an open shard file."""
+    def numbers(kind: str, n: int, at: int) -> np.ndarray:
+        return np.frombuffer(file.read_at(n * np.dtype(kind).itemsize, at), kind)
+
+    head = 8 + 5 * 8
+    if file.read_at(8, 0) != MAGIC:
+        raise ValueError("not a shard")
+    n, slots, ids, width, levels = numbers("<i8", 5, 8).tolist()
+    starts, payload = head + 9 * n, file.size() - ids * width
+    # A shard without documents before its hash index, which it has in common with a whole one.
+    at = starts + 8 * (n + 1)
+    index = MAGIC + np.array([0, slots, 0, width, levels], "<i8").tobytes() + bytes(8) + file.read_at(payload - at, at)
+    records = Shard(index).records(keys)
+    for key, record in zip(keys[records >= 0].tolist(), records[records >= 0].tolist()):
+        while record < n:   # records of one key follow one another
+            same = numbers("<i8", min(RUN, n - record), head + 8 * record) == key
+            some = int(np.argmin(same)) if not same.all() else len(same)
+            places = numbers("<i8", some + 1, starts + 8 * record)
+            for a, b in zip(places[:-1].tolist(), places[1:].tolist()):
+                yield key, a, numbers(f"<u{width}", b - a, payload + a * width)
+            record += some
+            if some < len(same):
+                break
+
+
 def _write(path: str, tokenizer: str, end_id: int, shard_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
@@ -167,7 +203,8 @@ def _write(path: str, tokenizer: str, end_id: int, shard_ids: int):
                 files.move(own, f"{root}/{name}")
             else:  # from an attempt that was lost later; it has the same bytes
                 files.delete_file(own)
-            made.append((task.partitionId(), len(made), name, len(lens), int(lens.sum())))
+            keys = doc.drop_null().to_numpy()   # sorted
+            made.append((task.partitionId(), len(made), name, len(lens), int(lens.sum()), *([int(keys[0]), int(keys[-1])] if len(keys) else [None, None])))
             held.clear()
 
         size = 0
@@ -184,18 +221,19 @@ def _write(path: str, tokenizer: str, end_id: int, shard_ids: int):
                 held.append((part.column("doc_id"), lens, whole))
                 size += len(whole)
         flush()
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
-        columns = zip(*made) if made else [[]] * 5
+        kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+        columns = zip(*made) if made else [[]] * 7
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                         names=["part", "number", "shard", "n_docs", "n_ids"])
+                                         names=["part", "number", "shard", "n_docs", "n_ids", "first_key", "last_key"])
     return run
 
 
 def write_ids(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int = 2, path: str | None = None,
               shard_ids: int = SHARD_IDS) -> tuple[str, DataFrame]:
     """Write the shards of all documents in ascending ``doc_id``; the folder
-    and its manifest: part, number, shard, n_docs, n_ids, first_id (the ids of
-    all shards before it)."""
+    and its manifest: part, number, shard, n_docs, n_ids, first_key, last_key
+    (null where no document has an id), first_id (the ids of all shards before
+    it)."""
     spark = docs.sparkSession
     prepare(spark)
     path = path or run_path(spark, "ids")
@@ -205,7 +243,7 @@ def write_ids(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int
     made = (
         docs.select("doc_id", text_column().alias("text")).withColumn("tie", F.xxhash64("text"))
         .repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
-        .mapInArrow(_write(path, tokenizer, end_id, shard_ids), "part long, number long, shard string, n_docs long, n_ids long")
+        .mapInArrow(_write(path, tokenizer, end_id, shard_ids), "part long, number long, shard string, n_docs long, n_ids long, first_key long, last_key long")
     )
     made = materialize(made, "id-shards")
     before = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)  # a row per shard
@@ -241,3 +279,38 @@ def read_ids(path: str, manifest: DataFrame) -> DataFrame:
         _read, "doc_id long, shard string, start long, n_tokens long, ids_crc32 long")
     return rows.join(manifest.select("shard", "first_id"), "shard").select(
         "doc_id", (F.col("first_id") + F.col("start")).alias("start"), "n_tokens", "ids_crc32")
+
+
+def lookup(path: str, manifest: DataFrame, keys: Iterable[int]) -> DataFrame:
+    """doc_id, start, n_tokens, ids of every document with one of the keys."""
+    prepare(manifest.sparkSession)
+    wanted = np.unique(np.fromiter(keys, np.int64))
+    blocks = [wanted[k: k + MAX_KEYS] for k in range(0, max(1, len(wanted)), MAX_KEYS)]
+    return reduce(DataFrame.unionAll, (_lookup(path, manifest, b) for b in blocks))
+
+
+def _lookup(path: str, manifest: DataFrame, wanted: np.ndarray) -> DataFrame:
+    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            low = np.searchsorted(wanted, batch.column("first_key").to_numpy())
+            high = np.searchsorted(wanted, batch.column("last_key").to_numpy(), "right")
+            some = pa.array(high > low)
+            yield pa.RecordBatch.from_arrays([*batch.select(["shard", "first_id"]).columns, pa.array(low), pa.array(high)],
+                                             names=["shard", "first_id", "low", "high"]).filter(some)
+
+    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        files, root = fs.FileSystem.from_uri(path)
+        for batch in batches:
+            for row in batch.to_pylist():
+                with files.open_input_file(f"{root}/{row['shard']}") as file:
+                    for key, at, ids in find(file, wanted[row["low"]: row["high"]]):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([key]), pa.array([row["first_id"] + at]), pa.array([len(ids)]),
+                             pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.array(ids.astype(np.int32)))],
+                            names=["doc_id", "start", "n_tokens", "ids"])
+
+    known = manifest.filter(F.col("first_key").isNotNull()).select("shard", "first_id", "first_key", "last_key")
+    opened = known.mapInArrow(shards, "shard string, first_id long, low long, high long")
+    return opened.repartition("shard").mapInArrow(fetch, "doc_id long, start long, n_tokens long, ids array<int>")
