@@ -329,6 +329,28 @@ def test_licences(spark):
     assert license_scan.scan(documents(spark, []), license_scan.known_digests(spark)).collect() == []
 
 
+def test_licences_in_other_dress(spark):
+    """Texts on one line, other list marks and line ends, names and versions."""
+    bsd = license_scan._BSD_HEAD + license_scan._BSD_THREE + license_scan._BSD_WARRANTY
+    flat = " ".join(license_scan._MIT.split())
+    rows = [
+        (1, "Copyright (c) 2020 J. R. Smith and others. " + flat, "MIT"), (2, "Copyright law is hard to read\n" + license_scan._MIT, None),
+        (3, "Copyright 2001 The Foo Inc.\r\nAll rights reserved.\r\n\r\n" + bsd.replace("\n", "\r"), "BSD-3-Clause"),
+        (4, bsd.replace("1. ", "* ").replace("2. ", "  (b) ").replace("3. ", "- "), "BSD-3-Clause"),
+        (5, license_scan._UNLICENSE.replace("non-commercial", "non-\ncommercial"), "Unlicense"),
+        (6, "SPDX-License-Identifier: GPL-2.0-only", "GPL-2.0-only"), (7, "# SPDX-License-Identifier: MPL-2.0", "MPL-2.0"),
+        (8, "Released under the GNU General Public Licence v2", "GPL-2.0-only"),
+        (9, "Licensed under the GNU Lesser General Public License, version 2.1.", "LGPL-2.1-only"),
+        (10, "Licensed under CC BY-SA 3.0", "CC-BY-SA-3.0"), (11, "licence licence license", None), (12, "Copyright (c) 2020 X", None),
+    ]
+    known = license_scan.known_digests(spark)
+    assert len({d for d, _, _ in known}) == len(known) < 2000
+    got = {r.doc_id: r for r in license_scan.scan(documents(spark, [x[:2] for x in rows]), known).collect()}
+    assert {i: got[i].license for i, _, _ in rows} == {i: want for i, _, want in rows}
+    same = license_scan.scan(documents(spark, [(1, "license license license"), (2, "")]), known).collect()
+    assert {r.doc_id: r.digest for r in same} == {1: got[11].digest, 2: got[12].digest}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_queries_with_sql(spark, name):
     con = duckdb.connect()
