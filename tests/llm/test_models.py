@@ -375,10 +375,10 @@ def test_pipeline_on_the_documents(spark):
         assert left < ids, name
         clean = {i for i in ids if i in marks and marks[i].quality == 1 and not marks[i].toxic}
         if name != "simhash_near_dedup":
-            assert len(clean - left) <= 0.04 * len(clean), name   # 399 labels to learn from
+            assert len(clean - left) <= 0.02 * len(clean), (name, len(clean - left), len(clean))   # 399 labels to learn from
         docs, ids = kept, left
     junk = {i for i, r in marks.items() if r.quality == 0}
-    assert len(junk & ids) <= 0.05 * len(junk)
+    assert not junk & ids
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF2).collect()
     assert {r.doc_id for r in packed} == ids
     assert {r.doc_id for r in corpus_pipeline.run(spark, SF2).collect()} == ids
