@@ -150,3 +150,18 @@ def test_a_malformed_line_lands_in_quarantine_and_the_job_goes_on(spark, tmp_pat
         assert rows(spark.read.parquet(f"{tmp_path}/a/{name}")) == rows(spark.read.parquet(f"{tmp_path}/b/{name}"))
     apart = spark.read.parquet(f"{tmp_path}/b/rejected_history").collect()
     assert {r.reason for r in apart} == set(names)
+
+
+def test_sums_read_a_stored_fact(spark, monkeypatch):
+    from tillroll.plans import state_queries
+
+    plans, update = [], MonthlySums.update
+
+    def seen(self, fact, months=None):
+        plans.append(plan_text(fact, "simple"))
+        update(self, fact, months)
+
+    monkeypatch.setattr(MonthlySums, "update", seen)
+    state, t = state_queries._sums(spark, SF)
+    assert len(plans) == 2 and not any("Join" in p for p in plans)
+    assert trends(state, t.products()) == full(full_fact(t), t.products())
