@@ -66,3 +66,16 @@ def test_reference_profile_spreads_rows_without_ad_id(plans):
     text = plans["omni_profile_reference"]
     assert "hashpartitioning(_spread_id" in text
     assert "hashpartitioning(_ad_id" not in text
+
+
+def test_no_task_of_the_fact_sorts_its_lines(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, "-1")   # as on large tables
+    try:
+        for name in ("sales_fact", "sales_fact_all", "peak_sales_months"):
+            text = plan_text(QUERIES[name](spark, SF), "simple")
+            assert "ShuffledHashJoin [order_id" in text, name
+            assert "SortMergeJoin [order_id" not in text and "Sort [order_id" not in text, name
+    finally:
+        spark.conf.set(key, previous)

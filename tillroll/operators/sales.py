@@ -29,13 +29,14 @@ def sales_fact(orders: DataFrame, order_items: DataFrame, products: DataFrame) -
     unit_price, sales_amount (= quantity * unit_price, decimal(21,2)),
     order_year, order_month. Only the product key is read from products (the
     join keeps lines of known products, once per matching product row).
-    Join strategy is left to Catalyst/AQE by measured size.
+    Orders are hashed, lines stream past them (``lines_of_orders``); the
+    product join's strategy is left to Catalyst/AQE by measured size.
     """
     o = orders.select("order_id", "customer_id", "order_date")
     i = order_items.select("order_id", "product_id", "quantity", "unit_price")
     p = products.select("product_id")
     return (
-        o.join(i, "order_id")
+        lines_of_orders(o, i)
         .join(p, "product_id")
         .select(
             "order_id", "customer_id", "order_date", "product_id", "quantity", "unit_price",
@@ -46,6 +47,13 @@ def sales_fact(orders: DataFrame, order_items: DataFrame, products: DataFrame) -
     )
 
 
+def lines_of_orders(orders: DataFrame, order_items: DataFrame) -> DataFrame:
+    """orders ⋈ order_items on order_id. A task holds the orders of its
+    partition, the smaller and narrower side; a sort-merge join would hold all
+    its lines, sorted, beside them."""
+    return orders.hint("shuffle_hash").join(order_items, "order_id")
+
+
 def align_history(history: DataFrame) -> DataFrame:
     """Cast the history table to the fact's column types (nine casts).
 

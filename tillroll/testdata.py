@@ -18,6 +18,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.operators.sales import lines_of_orders
+
 # Fixed values of the mapping (the oracle SQL uses the same numbers).
 AS_OF = dt.date(2001, 8, 1)             # last order date in the generated data
 EVENTS_AS_OF = dt.date(2024, 1, 31)     # the day after the last event
@@ -195,7 +197,7 @@ class TestdataTables:
         return self._lines(self.timed_orders())
 
     def _lines(self, orders: DataFrame) -> DataFrame:
-        return orders.join(self.order_items(), "order_id").select(
+        return lines_of_orders(orders, self.order_items()).select(
             "order_id", "customer_id", "order_date", "product_id", "quantity", "unit_price",
             (F.col("quantity") * F.col("unit_price")).alias("sales_amount"),
             F.year("order_date").alias("order_year"),
