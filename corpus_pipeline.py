@@ -13,11 +13,15 @@ compares each stage with a brute-force version.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillroll.llm import mixing, packing, quality, simhash
 from tillroll.llm.common import materialize, table
 
-MIX_SHARES = {"bad": 0.0, "toxic": 0.0, "clean": 1.0}   # no stage may bring toxic text up to a share
+# Clean text of a language is to have its size to this power, against the largest: at 1 all stays as
+# it is, at 0 all are alike. Bad and toxic text has no share: no stage may bring it up to one.
+LANGUAGE_POWER = 0.7
+MOST_COPIES = 4.0   # of a document, where a language is so small that its share would ask for more
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,11 +35,18 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as its fitted rate says: mainly clean ones once, none twice
-    (near copies have just gone)."""
+    """Each document as often as its fitted rate says: clean text of smaller
+    languages up to their shares, bad and toxic text out, no clean document lost."""
     # Fitted to all documents: few of the bad and toxic ones are left here.
-    model = mixing.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return mixing.mixed(docs, model, MIX_SHARES, most=1.0)
+    all_docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    if "lang" not in docs.columns:
+        docs_of, marked = docs.withColumn("lang", F.lit(None).cast("string")), labels.withColumn("lang", F.lit(None).cast("string"))
+    else:
+        langs = all_docs.groupBy("doc_id").agg(F.min("lang").alias("lang"))
+        docs_of, marked = docs, labels.drop("lang").join(langs, "doc_id")
+    shares, domain, anchor = mixing.clean_parts(docs_of, "lang", LANGUAGE_POWER)
+    model = mixing.fit(all_docs, marked, domain=domain, n=len(shares))
+    return mixing.mixed(docs, model, shares, anchor, most=MOST_COPIES, whole=tuple(shares)[2:])
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

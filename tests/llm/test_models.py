@@ -9,6 +9,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -401,3 +402,35 @@ def test_planted_toxic_documents_do_not_reach_packing(spark, tmp_path):
     assert not left & {i for i, _, toxic in marks if toxic}
     clean = {i for i, good, toxic in marks if good and not toxic}
     assert len(clean - left) <= 0.02 * len(clean)
+
+
+def test_mixing_stage_brings_small_languages_up_to_their_share(spark, tmp_path):
+    rnd = random.Random(11)
+    rows, marks = [], []
+    for k in range(480):
+        lang = "b" if k % 6 == 0 else "a"
+        toxic = k % 40 == 1
+        rows.append((k, " ".join(f"{lang}{rnd.randrange(300)}" for _ in range(60)) + (" badword" * 5 if toxic else ""), lang))
+        marks.append((k, 1, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels(spark, marks[:400]).write.parquet(f"{tmp_path}/labels.parquet")
+    kept = Counter(r.doc_id for r in corpus_pipeline.mixing_to_targets(spark, docs, str(tmp_path)).collect())
+    clean = {k for k, _, toxic in marks if not toxic}
+    assert set(kept) == clean
+    size = Counter()
+    for k, _, lang in rows:
+        size[lang] += k in clean
+    copies = Counter()
+    for k, n in kept.items():
+        copies[rows[k][2]] += n
+    assert copies["a"] <= 1.05 * size["a"]
+    want = (80 / 400) ** corpus_pipeline.LANGUAGE_POWER
+    assert abs(copies["b"] / copies["a"] - want) < 0.2 * want   # coins of 80 documents
+    assert max(kept.values()) >= 2
+    # without languages, without documents
+    one = corpus_pipeline.mixing_to_targets(spark, docs.drop("lang"), str(tmp_path))
+    assert {r.doc_id for r in one.collect()} == clean and one.columns == ["doc_id", "text"]
+    none = spark.createDataFrame(docs.withColumn("lang", F.lit(None).cast("string")).collect(), docs.schema)
+    assert {r.doc_id for r in corpus_pipeline.mixing_to_targets(spark, none, str(tmp_path)).collect()} == clean
+    assert corpus_pipeline.mixing_to_targets(spark, docs.limit(0), str(tmp_path)).collect() == []

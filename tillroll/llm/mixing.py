@@ -31,9 +31,9 @@ document along that has a trace of it, so ``SHARES`` leaves ``bad`` and ``toxic`
 what the classifier's errors put there.
 
 The pipeline's stage (``mixed``) must not lose clean documents, so its rates have
-a least value: 1 for a document whose posterior is mainly of the anchor, 0 for
-others; ``most`` bounds them above (1: no document comes twice). It emits as many
-copies as a rate says, so that the expected tokens of the output are those of the
+a least value: 1 for a document whose posterior is mainly of the anchor (or of the
+domains ``whole`` together), 0 for others; ``most`` bounds them above (1: no
+document comes twice). It emits as many copies as a rate says, so that the expected tokens of the output are those of the
 fit.
 
 Domains of the labels table: ``bad`` (quality 0), ``toxic``, ``clean``.
@@ -73,6 +73,7 @@ PULLS = tuple(10.0 ** -k for k in range(2, 12))   # of the sample's rates toward
 NEWTON = 50                                       # steps for a pull there
 RIDGES = 10.0 ** np.array([-9, -7, -6, -5, -4, -3, -2, -1])   # of the system of a scaled step: the larger, the shorter
 LENGTHS = np.array([1.0, 4.0, 16.0, 64.0])                    # of a plain step
+PARTS = 16      # values of a column with a domain of their own
 SAMPLE = 4096   # posteriors on the driver, for the first rates
 
 log = logging.getLogger(__name__)
@@ -110,8 +111,30 @@ def fit_domains(rows: list[np.ndarray], domains: np.ndarray, n: int = len(DOMAIN
     return DomainModel(np.column_stack([design.spread(w[:, k]) for k in range(n)]), bias)
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, min_rows: int = MIN_ROWS) -> DomainModel:
-    return fit_domains(*labelled_features(docs, labels, rating(), max_rows), min_rows=min_rows)
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, min_rows: int = MIN_ROWS, domain: Column | None = None,
+        n: int = len(DOMAINS)) -> DomainModel:
+    """``domain``: number of the domain under ``n``, a column over ``labels``; None: its rating."""
+    grade = rating() if domain is None else domain
+    return fit_domains(*labelled_features(docs, labels, grade, max_rows), n, min_rows=min_rows)
+
+
+def clean_parts(docs: DataFrame, part: str, tail: float, most: int = PARTS) -> tuple[dict[str, float], Column, str]:
+    """Domains for a mix over the values of a column: ``bad``, ``toxic``, and
+    ``clean`` cut into the ``most`` largest values by text and the rest with the
+    nulls. Returns target shares (0 for bad and toxic, text ** ``tail`` for a
+    part, so that small parts gain where it is under 1), the domain's number
+    over labels that have the column, and the largest part."""
+    sizes = docs.groupBy(F.col(part).cast("string").alias("part")).agg(F.sum(F.length(text_column())).alias("size"))
+    top = sizes.filter("part IS NOT NULL AND size > 0").orderBy(F.desc("size"), "part").limit(most).collect()
+    rest = (sizes.agg(F.sum("size")).first()[0] or 0) - sum(r["size"] for r in top)
+    parts = {f"clean {r['part']}": float(r["size"]) ** tail for r in top}
+    if rest or not parts:
+        parts[ANCHOR] = float(rest) ** tail or 1.0
+    shares = {"bad": 0.0, "toxic": 0.0, **parts}
+    number = F.lit(len(shares) - 1 if ANCHOR in parts else None).cast("int")
+    for k, r in enumerate(top):
+        number = F.when(F.col(part).cast("string") == r["part"], k + 2).otherwise(number)
+    return shares, F.when(rating() == 2, number).otherwise(rating()), max(parts, key=parts.get)
 
 
 def posterior(docs: DataFrame, model: DomainModel, tokenizer: str = TOKENIZER) -> Column:
@@ -132,7 +155,7 @@ class Rates:
     """Rates as a function of a document's posterior: the first ones and the
     steps from there."""
     start: np.ndarray                                      # first rates: 1 - p . start, within bounds
-    whole: int | None = None                               # domain whose documents keep a rate of 1 or more
+    whole: int | tuple[int, ...] | None = None             # domains whose documents keep a rate of 1 or more
     most: float = np.inf
     steps: tuple[tuple[np.ndarray, np.ndarray], ...] = ()  # slope and move of each domain
 
@@ -140,7 +163,7 @@ class Rates:
         return replace(self, steps=(*self.steps, (slope, move)))
 
     def least(self, p: np.ndarray) -> np.ndarray:
-        return np.zeros(len(p)) if self.whole is None else (p[:, self.whole] > 0.5).astype(float)
+        return np.zeros(len(p)) if self.whole is None else (p[:, np.atleast_1d(self.whole)].sum(axis=1) > 0.5).astype(float)
 
     def held(self, r: np.ndarray, p: np.ndarray, slope: np.ndarray) -> np.ndarray:
         """Documents at a bound that the slope pushes against."""
@@ -282,8 +305,8 @@ def first_rates(p: np.ndarray, n_tokens: np.ndarray, shares: dict[str, float], a
     return first
 
 
-def fit_rates(posts: DataFrame, shares: dict[str, float] = SHARES, anchor: str = ANCHOR, whole: int | None = None,
-              most: float = np.inf) -> Fit:
+def fit_rates(posts: DataFrame, shares: dict[str, float] = SHARES, anchor: str = ANCHOR,
+              whole: int | tuple[int, ...] | None = None, most: float = np.inf) -> Fit:
     """``posts`` is a written table: doc_id, p, n_tokens."""
     n = len(shares)
     over, rates = table_sums(posts), Rates(np.zeros(n), whole, most)
@@ -334,14 +357,15 @@ def mix_documents(docs: DataFrame, model: DomainModel, shares: dict[str, float]
 
 
 def mixed(docs: DataFrame, model: DomainModel, shares: dict[str, float] = SHARES, anchor: str = ANCHOR,
-          tokenizer: str = TOKENIZER, most: float = np.inf) -> DataFrame:
+          tokenizer: str = TOKENIZER, most: float = np.inf, whole: tuple[str, ...] = ()) -> DataFrame:
     """The documents, each as often as it has copies, with all their columns.
+    Mainly those of the domains ``whole`` (none: the anchor) stay at a rate of 1 or more.
     Every text is classified and counted once: its row is stored with what was
     found, the fit reads the found columns alone, and a last pass emits copies."""
     prepare(docs.sparkSession)
     small = DomainModel(model.weights, model.bias, SMALL_SLICE)
     shared = docs.sparkSession.sparkContext.broadcast(small)
-    whole = list(shares).index(anchor)
+    floor = tuple(list(shares).index(d) for d in whole or (anchor,))
     columns = docs.columns
     width = len(columns)
 
@@ -358,10 +382,12 @@ def mixed(docs: DataFrame, model: DomainModel, shares: dict[str, float] = SHARES
     schema = T.StructType([*numbered.schema.fields, T.StructField(f"c{width}", T.ArrayType(T.DoubleType())), T.StructField(f"c{width + 1}", T.LongType())])
     rows = materialize(docs.mapInArrow(tidy(weigh), schema).withColumn("row", F.monotonically_increasing_id()), "weighed")
     posts = rows.select(F.col(f"c{columns.index('doc_id')}").alias("doc_id"), F.col(f"c{width}").alias("p"), F.col(f"c{width + 1}").alias("n_tokens"))
-    rates = fit_rates(posts, shares, anchor, whole, most).rates
+    rates = fit_rates(posts, shares, anchor, floor, most).rates
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not batch.num_rows:
+                continue
             times = copies(rates(_matrix(batch, width)), _coins(batch))
             own = batch.select(range(width))
             for k in range(int(times.max(initial=0))):   # first copies, second ones, ...
