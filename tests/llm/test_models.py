@@ -3,11 +3,13 @@
 import math
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -105,6 +107,54 @@ def test_fit_is_bounded(spark):
     assert len(places) == len(grades) <= 50
 
 
+def plain_features(text):
+    """Places of a text's features and its number of words, by the definition, character by character."""
+    found = [w for w in re.split("[ \t\n\r\x0b\x0c]+", text) if w]
+    places = set()
+    for w in found:
+        for run in re.findall(r"\w+", w.lower()):
+            parts = [run] + [run[:k] + "\t" for k in (4, 5) if len(run) > k]
+            places |= {zlib.crc32(x.encode()) % features.HASHED for x in parts}
+    chars, n, most = max(1, len(text)), max(1, len(found)), max(Counter(found).values(), default=0)
+    signs = [sum(not c.isalnum() for c in w) for w in found]
+    each = [sum(c.isupper() for c in text), sum(signs), sum(sum(c.isdigit() for c in w) for w in found)]
+    shares = [len(set(found)) / n, *(x / chars for x in each), sum(x > 1 for x in signs) / n, most / n]
+    own = {features.HASHED + k * features.STEPS + min(features.STEPS - 1, int(x * features.STEPS)) for k, x in enumerate(shares)}
+    return sorted(places | own | {features.HASHED + features.SHARES * features.STEPS + len(found).bit_length()}), len(found)
+
+
+def odd_texts():
+    rnd = random.Random(11)
+    letters = "abcdeXYZ019_.,-'!\x00\x1c\x1f\x7f×÷ÀÖØÞßàöøÿªº²µéİıœΣςǅ漢’\U0001f600" + " \t\n\r\x0b\x0c\x85\xa0"
+    texts = ["", " ", "\t \n", "x" * 300 + ".", "É" * 300 + " éé", "Übergrößen, Übergröß. d'œuvre"]
+    texts += ["".join(rnd.choice(letters) for _ in range(rnd.randrange(90))) for _ in range(1500)]
+    return texts + [f"ab{chr(c)}CDefg {chr(c)} {chr(c)}." for c in range(0x500)] + [""]
+
+
+def test_features_are_those_of_the_definition():
+    texts = odd_texts()
+    places, n = zip(*map(plain_features, texts))
+    active = np.random.default_rng(2).random(features.WIDTH) < 0.3
+    for flags in (None, active):
+        keep = [[x for x in p if flags is None or x >= features.HASHED or flags[x]] for p in places]
+        made = features.Features(flags)
+        for at in range(0, len(texts), 700):   # slices, of which later ones meet known words
+            found, words_of = made.pairs(pa.array(texts[at: at + 700]))
+            assert words_of.tolist() == list(n[at: at + 700])
+            assert found.tolist() == [[k, x] for k, p in enumerate(keep[at: at + 700]) for x in p]
+    assert features.Features().pairs(pa.array([], pa.string()))[0].tolist() == []
+
+
+def test_plain_words_are_not_taken_one_by_one(monkeypatch):
+    """Most words are rare, so that a call for each of them was the cost of scoring."""
+    seen, word = [], features.Features._word
+    monkeypatch.setattr(features.Features, "_word", lambda self, raw: seen.append(raw) or word(self, raw))
+    text = " ".join(f"Word{k}, größe-{k}; (l'été_{k})×2" for k in range(500))
+    made = features.Features()
+    made.pairs(pa.array([text, "日本 und cœur", "", "cœur"]))
+    assert sorted(seen) == ["cœur", "日本"] and sorted(made.memo) == sorted(seen)
+
+
 def test_rates_meet_targets(spark):
     rows, marks = rated(300)
     docs = documents(spark, rows)

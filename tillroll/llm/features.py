@@ -20,6 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.llm.byteruns import checksums, joined, runs
 from tillroll.llm.common import SLICE_BYTES, prepare, text_buffers, text_column, text_slices, tidy
 
 HASHED = 1 << 18
@@ -27,11 +28,33 @@ SHARES = 6
 STEPS = 20
 WIDTH = HASHED + SHARES * STEPS + 64
 DEPENDENT = 23.0   # chance of about 1 in 100,000 for three classes
-MEMO = 300_000   # words whose places a worker keeps
+MEMO = 300_000   # words, not plain, whose places a worker keeps
 _WORD = re.compile(r"\w+")
-_BLANKS = " \t\n\r\x0b\x0c"
 _BLANK = np.zeros(256, bool)
-_BLANK[[ord(c) for c in _BLANKS]] = True
+_BLANK[[ord(c) for c in " \t\n\r\x0b\x0c"]] = True
+_TAB = np.array([zlib.crc32(b"\t")], np.uint32)
+
+# Plain words are of ASCII and U+00C0 to U+00FF alone, so that a second byte
+# always follows 0xC3 and a table by bytes tells what Python tells of characters.
+_LEAD = 0xC3
+_TIMES, _DIVIDED = 0x97, 0xB7   # second bytes of the two signs there
+_ODD = np.zeros(256, bool)      # bytes that plain words lack
+_ODD[0xC0:] = True
+_ODD[_LEAD] = False
+_DIGIT, _UPPER, _SIGN, _INSIDE = (np.zeros(256, bool) for _ in range(4))   # _INSIDE: of a run of \w
+_DIGIT[ord("0"): ord("9") + 1] = True
+_UPPER[ord("A"): ord("Z") + 1] = True
+_UPPER[0x80:0x9F] = True
+_UPPER[_TIMES] = False
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[_UPPER] += 32
+_INSIDE |= _DIGIT | _UPPER
+_INSIDE[ord("a"): ord("z") + 1] = True
+_INSIDE[0x80:0xC0] = True
+_INSIDE[[_TIMES, _DIVIDED]] = False
+_SIGN[:0x80] = ~_INSIDE[:0x80]
+_SIGN[[_TIMES, _DIVIDED, ord("_")]] = True
+_INSIDE[[_LEAD, ord("_")]] = True
 
 
 def _place(feature: str) -> int:
@@ -47,22 +70,16 @@ def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 class Features:
     """Features of texts; with ``active`` (a flag for each place) only of the
-    words' places that have it. What is known of a word is worked out once."""
+    words' places that have it. Plain words are worked out by arrays, all of a
+    slice's distinct ones at once; what is known of another is worked out once."""
 
     def __init__(self, active: np.ndarray | None = None):
         self.active, self.memo = active, {}
 
     def _word(self, raw: str) -> tuple[tuple[int, ...], int, int, int]:
         """Places of a word; its signs, upper-case letters and digits."""
-        core = raw.rstrip(".,")
-        low = core.lower()
-        if core.isalpha() and low.isalpha():   # most words
-            found, signs, digits = (low,), len(raw) - len(core), 0
-        else:
-            found, signs, digits = _WORD.findall(raw.lower()), sum(not x.isalnum() for x in raw), sum(map(str.isdigit, raw))
-        upper = 0 if raw.islower() else sum(map(str.isupper, raw))
         places = []
-        for w in found:
+        for w in _WORD.findall(raw.lower()):
             places.append(_place(w))
             if len(w) > 4:
                 places.append(_place(w[:4] + "\t"))
@@ -70,36 +87,75 @@ class Features:
                 places.append(_place(w[:5] + "\t"))
         if self.active is not None:
             places = [x for x in places if self.active[x]]
-        got = (tuple(places), signs, upper, digits)
+        got = (tuple(places), sum(not x.isalnum() for x in raw), sum(map(str.isupper, raw)), sum(map(str.isdigit, raw)))
         if len(self.memo) < MEMO and len(raw) <= 64:
             self.memo[raw] = got
         return got
 
-    def _words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    def _plain_words(self, offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What ``_word`` finds, of many plain words: word and place of each
+        feature; and a row of signs, upper-case letters and digits a word."""
+        def total(flags: np.ndarray) -> np.ndarray:
+            return np.diff(np.append(np.int32(0), np.cumsum(flags[data], dtype=np.int32))[offsets])
+
+        counts = np.column_stack([total(_SIGN), total(_UPPER), total(_DIGIT)])
+        inside = _INSIDE[data]
+        inside[np.flatnonzero((data == _TIMES) | (data == _DIVIDED)) - 1] = False   # the lead bytes of signs
+        starts, ends, word = runs(offsets, inside)
+        low = _LOWER[data]
+        leads = (data < 0x80) | (data == _LEAD)
+        chars = np.flatnonzero(leads)
+        number = np.cumsum(leads, dtype=np.int32) - 1   # of each byte's character
+        first = number[starts]
+        length = number[ends - 1] - first + 1
+        owners, places = [word], [checksums(low, starts, ends)]
+        for k in (4, 5):
+            longer = np.flatnonzero(length > k)
+            part = checksums(low, starts[longer], chars[first[longer] + k])
+            owners.append(word[longer])
+            places.append(joined(part, _TAB, np.ones(len(part), np.int64)))
+        owner, place = np.concatenate(owners), (np.concatenate(places) % HASHED).astype(np.int64)
+        if self.active is not None:
+            wanted = self.active[place]
+            owner, place = owner[wanted], place[wanted]
+        return owner, place, counts
+
+    def _facts(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number of places of each word; the places, word by word; and a row
+        of signs, upper-case letters and digits a word."""
+        offsets, data = text_buffers(distinct)
+        count = np.append(np.int32(0), np.cumsum(_ODD[data], dtype=np.int32))
+        odd = np.diff(count[offsets]) > 0
+        plain, others = np.flatnonzero(~odd), np.flatnonzero(odd)
+        counts = np.zeros((len(distinct), 3), np.int64)
+        owner, place, counts[plain] = self._plain_words(*text_buffers(distinct.take(pa.array(plain))))
+        facts = [self.memo.get(w) or self._word(w) for w in distinct.take(pa.array(others)).to_pylist()]
+        if facts:
+            counts[others] = [f[1:] for f in facts]
+        owner = np.concatenate([plain[owner], np.repeat(others, [len(f[0]) for f in facts])])
+        place = np.concatenate([place, np.array([x for f in facts for x in f[0]], np.int64)])
+        return np.bincount(owner, minlength=len(distinct)), place[np.argsort(owner, kind="stable")], counts
+
+    def _words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
         """Text and number of each word (a run without ASCII white space), and the distinct words."""
         offsets, data = text_buffers(texts)
-        blank = _BLANK[data]
-        fresh = np.append(True, blank[:-1]) if len(data) else np.zeros(0, bool)
+        solid = ~_BLANK[data]
+        fresh = np.append(True, ~solid[:-1]) if len(data) else np.zeros(0, bool)
         fresh[offsets[:-1][offsets[:-1] < len(data)]] = True
-        at = np.flatnonzero(fresh & ~blank)
-        bounds = np.append(at, len(data)).astype(np.int32)   # a word with the blanks behind it
-        array = pa.StringArray.from_buffers(len(at), pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data)))
+        at = np.flatnonzero(fresh & solid)
+        kept = data[solid]   # the words without the blanks between them
+        bounds = np.append(np.flatnonzero(fresh[solid]), len(kept)).astype(np.int32)
+        array = pa.StringArray.from_buffers(len(at), pa.py_buffer(bounds), pa.py_buffer(kept))
         coded = array.dictionary_encode()
-        numbers: dict[str, int] = {}
-        of_entry = [numbers.setdefault(w.rstrip(_BLANKS), len(numbers)) for w in coded.dictionary.to_pylist()]
-        word = np.array(of_entry, np.int64)[coded.indices.to_numpy(zero_copy_only=False)] if len(at) else np.zeros(0, np.int64)
-        return np.searchsorted(offsets, at, "right") - 1, word, list(numbers)
+        return np.searchsorted(offsets, at, "right") - 1, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
 
     def pairs(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(text, place) of every feature of every text, each once, ascending;
         and the number of words of each text. No nulls."""
         docs = len(texts)
         doc, word, distinct = self._words(texts)
-        known = self.memo.get
-        facts = [known(w) or self._word(w) for w in distinct]
-        n_places = np.array([len(f[0]) for f in facts], np.int64)
-        flat = np.array([x for f in facts for x in f[0]], np.int64)
-        signs, upper, digits = (np.array([f[k] for f in facts], np.int64) for k in (1, 2, 3))
+        n_places, flat, counts = self._facts(distinct)
+        signs, upper, digits = counts.T
         key, times = _runs(doc * max(1, len(distinct)) + word)
         doc, word = np.divmod(key, max(1, len(distinct)))
 
